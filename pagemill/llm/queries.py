@@ -10,18 +10,44 @@ from pyspark.sql import functions as F
 from pagemill.llm.chat import chat_digest
 from pagemill.llm.common import table
 from pagemill.llm.mixing import mix_digest
+from pagemill.llm.neardup import near_duplicates
+from pagemill.llm.packing import pack
+from pagemill.llm.quality import BASE, quality
+from pagemill.llm.secrets import secrets_digest
 from pagemill.llm.sharding import shard
+from pagemill.llm.substrings import dedup_substrings
+from pagemill.llm.topk import top_k
 from pagemill.llm.urls import judge
 
 #: A conversation of control strings, formatted along with the others.
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
     return chat_digest(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard(table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -31,12 +57,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", *BASE, "base_failed", "kept", "score")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_chat_format, op7_sharding, op8_mixing, op10_url_filter)}
+    return {f.__name__: f for f in (op1_packing, op2_near_dedup, op3_secrets, op4_topk, op5_chat_format, op6_substrings, op7_sharding, op8_mixing, op9_quality, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
