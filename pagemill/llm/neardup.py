@@ -101,8 +101,8 @@ def estimates(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> t
     both = (a != EMPTY) & (b != EMPTY)
     equal = ((a == b) & both).sum(axis=1)
     either = np.maximum(((a != EMPTY) | (b != EMPTY)).sum(axis=1), 1)
-    la, lb = na / BUCKETS, nb / BUCKETS
-    s, chance = np.maximum(la + lb - 1, 1e-9), np.zeros(len(a))
+    la, lb = np.maximum(na / BUCKETS, 1), np.maximum(nb / BUCKETS, 1)  # a filled bucket has one hash at least
+    s, chance = la + lb - 1, np.zeros(len(a))
     for i in range(40):  # cells of one leading-zero count are equally wide
         low, high = 2.0 ** -(i + 1), 2.0**-i
         chance += low / (1 << MANTISSA) * la * lb * ((1 - low) ** s - (1 - high) ** s) / s
