@@ -26,14 +26,14 @@ from pagemill.scratch import written
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-#: Rows labelled good that the forest is fitted on, at most; trees; rows of a tree.
+#: Rows of each label that the forest is fitted on or takes its ranges from, at most; trees; rows of a tree.
 SAMPLE, TREES, TREE_ROWS = 8192, 128, 256
 #: Share of rows labelled good that the threshold may reject.
 FALSE_REJECTS = 0.002
 #: Width of the score histogram by which the threshold is found.
 BINS = 2000
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-STATS = (*BASE, "n_lines", "n_upper", "n_letters", "n_marks", "n_digits")
+STATS = (*BASE, "n_lines", "n_upper", "n_letters", "n_marks", "n_digits", "n_stutter")
 
 
 def text_stats(data: bytes, cache: WordHashes) -> tuple[int, ...]:
@@ -46,7 +46,8 @@ def text_stats(data: bytes, cache: WordHashes) -> tuple[int, ...]:
     chars = len(data) - int(by[128:192].sum()) - int(by[9:14].sum()) - int(by[32])
     lines = [x for x in data.split(b"\n") if x.strip()]
     repeated = 0
-    h = windows(cache.of(words), WINDOW)
+    one = cache.of(words)
+    h = windows(one, WINDOW)
     if len(h):
         _, at, counts = np.unique(h, return_inverse=True, return_counts=True)
         if len(counts) < len(h):
@@ -57,7 +58,7 @@ def text_stats(data: bytes, cache: WordHashes) -> tuple[int, ...]:
             repeated = int((np.cumsum(step) > 0).sum())
     upper, lower = int(by[65:91].sum()), int(by[97:123].sum())
     letters = upper + lower + int(by[192:].sum())
-    return n, chars, int(by[list(SYMBOLS)].sum()), len(lines) - len(set(lines)), repeated, len(lines), upper, letters, int(by[33] + by[63]), int(by[48:58].sum())
+    return n, chars, int(by[list(SYMBOLS)].sum()), len(lines) - len(set(lines)), repeated, len(lines), upper, letters, int(by[33] + by[63]), int(by[48:58].sum()), int((one[1:] == one[:-1]).sum())
 
 
 def _add_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,16 +76,24 @@ def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def features(s: pd.DataFrame) -> np.ndarray:
+    """Ratios, on a scale that tells small ones apart."""
     n, chars, lines, letters = (np.maximum(s[c].to_numpy(dtype=np.float64), 1) for c in ("n_words", "word_chars", "n_lines", "n_letters"))
-    part = lambda c, of: s[c].to_numpy(dtype=np.float64) / of
-    return np.stack([chars / n, part("n_symbols", n), part("n_dup_lines", lines), part("n_repeat_words", n), part("n_upper", letters), part("n_marks", n), part("n_digits", chars), letters / chars], axis=1)
+    part = lambda c, of: np.sqrt(s[c].to_numpy(dtype=np.float64) / of)
+    other = np.maximum(chars - s["n_letters"].to_numpy() - s["n_digits"].to_numpy(), 0)
+    return np.stack([np.log(chars / n), part("n_symbols", n), part("n_dup_lines", lines), part("n_repeat_words", n), part("n_stutter", n), part("n_upper", letters), part("n_marks", n), np.sqrt(other / chars)], axis=1)
 
 
 class Forest:
-    """Trees as heaps: the children of node i are 2 i + 1 and 2 i + 2; a leaf has feature -1 and its path length."""
+    """Trees as heaps: the children of node i are 2 i + 1 and 2 i + 2; a leaf has feature -1 and its path length.
 
-    def __init__(self, x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7):
+    Splits are drawn from the whole range that a feature has in ``span``, so that a statistic that all fitted rows
+    share still sets apart the rows that differ in it.
+    """
+
+    def __init__(self, x: np.ndarray, span: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7):
         rng = np.random.default_rng(seed)
+        self.low, self.high = span.min(axis=0), span.max(axis=0)
+        self.open = np.nonzero(self.high > self.low)[0]
         self.rows = min(rows, len(x))
         self.depth = max(1, int(np.ceil(np.log2(max(self.rows, 2)))))
         size = 2 ** (self.depth + 1) - 1
@@ -100,14 +109,11 @@ class Forest:
         return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
     def _grow(self, t: int, node: int, depth: int, x: np.ndarray, rng: np.random.Generator) -> None:
-        low, high = x.min(axis=0), x.max(axis=0)
-        open_ = np.nonzero(high > low)[0]
-        if depth == self.depth or len(x) < 2 or not len(open_):
+        if depth == self.depth or len(x) < 2 or not len(self.open):
             self.path[t, node] = depth + self.extra(len(x))
             return
-        f = int(rng.choice(open_))
-        # Splits a little beyond the sample, so that rows outside its range can be told apart.
-        at = float(rng.uniform(low[f], high[f]))
+        f = int(rng.choice(self.open))
+        at = float(rng.uniform(self.low[f], self.high[f]))
         self.feature[t, node], self.split[t, node] = f, at
         left = x[:, f] < at
         for child, part in ((2 * node + 1, x[left]), (2 * node + 2, x[~left])):
@@ -134,10 +140,11 @@ def fit(stats: DataFrame, labels: DataFrame) -> tuple[Forest, float] | None:
     marked = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = stats.filter(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words").join(marked, "doc_id")
     rows = written(rows.select("doc_id", "quality", *STATS), "quality-labelled")
-    sample = rows.filter("quality > 0").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(SAMPLE).select(*STATS).toPandas()
-    if len(sample) < 2:
+    sample = lambda which: features(rows.filter(which).orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(SAMPLE).select(*STATS).toPandas())
+    good = sample("quality > 0")
+    if len(good) < 2:
         return None
-    forest = Forest(features(sample))
+    forest = Forest(good, np.concatenate((good, sample("quality <= 0"))))
     counts = rows.groupBy((F.col("quality") > 0).alias("good"), F.floor(scorer(forest) * BINS).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
     n = np.zeros((2, BINS + 1))
     for r in counts:
