@@ -82,13 +82,17 @@ def _pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return q, c, array(row["q_rows"]).reshape(len(q), row["dim"]), array(row["rows"]).reshape(len(c), row["dim"])
 
 
+def _alike(batch: pa.RecordBatch) -> list[dict]:
+    return [row for row in batch.to_pylist() if row["dim"] == row["q_dim"]]
+
+
 _LEAST = np.iinfo(np.int64).min
 
 
 def _gather(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _alike(batch):
                 q, c, qm, cm = _pair(row)
                 lists, own = _lists(qm, cm), q[:, None] == c[None, :]
                 total = sum(lists[1:], lists[0])
@@ -109,7 +113,7 @@ def _gather(k: int):
 def _resolve(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _alike(batch):
                 q, c, qm, cm = _pair(row)
                 known = dict(zip(row["cut_ids"] or [], row["cuts"] or [], strict=True))
                 cut = np.array([known.get(x, _LEAST) for x in q.tolist()], dtype=np.int64)[:, None]
@@ -117,11 +121,9 @@ def _resolve(k: int):
                 enough = np.zeros((len(q), len(c)), dtype=bool)
                 for scores in lists:  # at least cut / number of lists, without rounding
                     enough |= (cut == _LEAST) | (scores >= -(-cut // len(lists)))
-                enough &= q[:, None] != c[None, :]
-                i, j = np.nonzero(enough)
-                score = sum(x[i, j] for x in lists)
-                keep = score >= cut[i, 0]
-                i, j, score = i[keep], j[keep], score[keep]
+                total = sum(lists[1:], lists[0])
+                i, j = np.nonzero(enough & (total >= cut) & (q[:, None] != c[None, :]))
+                score = total[i, j]
                 order = np.lexsort((c[j], -score, i))
                 i, j, score = i[order], j[order], score[order]
                 first = np.searchsorted(i, i)  # where the query's entries begin
@@ -141,9 +143,10 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     queries = written(queries.select("dim", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.xxhash64("ids", "dim").alias("block")), "topk-queries")
 
     def meet(q: DataFrame) -> DataFrame:
-        return blocks.crossJoin(q.withColumnRenamed("dim", "q_dim")).filter("dim = q_dim")
+        # Tasks pass over pairs of different dimensions: as a join key, one dimension would make one task of it all.
+        return blocks.crossJoin(q.withColumnRenamed("dim", "q_dim"))
 
-    local = meet(queries).select("dim", "ids", "rows", "q_ids", "q_rows").mapInArrow(_gather(k), "query_id long, score long")
+    local = meet(queries).select("dim", "q_dim", "ids", "rows", "q_ids", "q_rows").mapInArrow(_gather(k), "query_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.col("score").desc())
     cutoffs = local.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k).filter(F.col("at") == k)
     cutoffs = written(cutoffs.select("query_id", "score"), "topk-cutoffs")
@@ -151,7 +154,7 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     members = queries.select("block", "q_ids").mapInArrow(_members, "block long, query_id long")
     cuts = members.join(cutoffs, "query_id").groupBy("block").agg(F.collect_list(F.struct("query_id", "score")).alias("c"))
     ready = written(queries.join(cuts, "block", "left").select("dim", "q_ids", "q_rows", F.col("c.query_id").alias("cut_ids"), F.col("c.score").alias("cuts")), "topk-ready")
-    found = meet(ready).select("dim", "ids", "rows", "q_ids", "q_rows", "cut_ids", "cuts").mapInArrow(_resolve(k), "query_id long, vec_id long, score long")
+    found = meet(ready).select("dim", "q_dim", "ids", "rows", "q_ids", "q_rows", "cut_ids", "cuts").mapInArrow(_resolve(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
