@@ -136,3 +136,14 @@ def chunk_pages(spark: SparkSession, sf: str) -> DataFrame:
     from pagemill.operators.chunks import word_chunks
 
     return word_chunks(table(spark, sf, "documents").select("doc_id", "text"), 200)
+
+
+_MARK_SQL = f"""list_transform(regexp_extract_all(text, '[A-Za-z0-9]+(?:''[A-Za-z]+)?|[^A-Za-z0-9]+'), lambda w: CASE WHEN regexp_matches(w, '^[A-Za-z0-9]') AND (({STEM_SQL.format("lower(w)")}) IN ('thing', 'hash') OR starts_with(lower(w), 'ther') OR levenshtein(lower(w), 'tions') <= 1)
+  THEN '<mark class="hl">' || replace(w, chr(39), '&#x27;') || '</mark>' ELSE replace(replace(replace(replace(replace(w, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') END)"""
+
+
+@query(f"SELECT doc_id, array_to_string({_MARK_SQL}, '') AS html FROM documents")
+def highlights(spark: SparkSession, sf: str) -> DataFrame:
+    from pagemill.operators.highlight import highlight
+
+    return table(spark, sf, "documents").select("doc_id", highlight(F.col("text"), ["things", "hash"], ["ther"], [("tions", 1)]).alias("html"))
