@@ -95,7 +95,7 @@ def int_or(text: Column, default: int) -> Column:
 
 def string_list(json_or_csv: Column) -> Column:
     """A JSON list of strings; what is not one is split at commas."""
-    split = F.filter(F.transform(F.split(json_or_csv, ","), F.trim), lambda x: x != "")
+    split = F.filter(F.transform(F.split(json_or_csv, ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(F.from_json(json_or_csv, "array<string>"), split)
 
 
