@@ -1,14 +1,14 @@
 """Substring dedup with a log-structured fingerprint index.
 
 A word goes if a window of WINDOW words that covers it also starts earlier.  Indexing every window would cost many
-times the input, so windows are held in groups: each window is represented by the smallest hash of its 8-word grams,
+times the input, so windows are held in groups: each window is represented by the smallest hash of its 6-word grams,
 and consecutive windows with the same representative form one entry (m: that hash; c: hash of all words the entry
 covers).  Equal windows have equal m.  Entries with equal (m, c) hold the same windows one by one, so that only the
 first of them matters; entries that share m alone are verified window by window against the texts.
 
-The index is a list of immutable runs: tables bucketed by m and sorted by (m, c), each with the first entry of every
-(m, c).  A batch of documents is judged by merge-joining its own run with the earlier runs (equal buckets, already
-sorted: no shuffle), and compaction merges runs into one.
+The index is a list of immutable runs: tables bucketed by m and sorted by (m, c).  A batch of documents is judged by merge-joining its own run with the earlier runs (equal buckets, already
+sorted: no shuffle), and compaction merges runs into one, of which only the
+first entry of every (m, c) is kept.
 
 Defined cases: null and short texts hold no window and stay whole; rows that are equal in doc_id and text are the
 same document (none is earlier); rows that share a doc_id but not the text are told apart by the text's hash, and a
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.common import BROADCAST_ROWS
 from pagemill.llm.hashing import WordHashes, mixed, windows
-from pagemill.scratch import scratch_path, written
+from pagemill.scratch import written
 
 #: Words of a window, and of the grams whose smallest hash represents it.
-WINDOW, GRAM = 20, 8
+WINDOW, GRAM = 20, 6
 #: Runs of an index before they are compacted.
 MAX_RUNS = 4
 #: Null doc_ids sort first.
@@ -139,6 +140,18 @@ def _among(texts: DataFrame, keys: DataFrame) -> DataFrame:
 _PLACE = ("b", "doc_id", "k", "start")
 
 
+@contextmanager
+def _copartitioned(spark: SparkSession):
+    """Tables bucketed by m meet on (m, c) as they lie, without a shuffle by both."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @dataclass
 class FingerprintIndex:
     """Runs of window fingerprints of all documents seen, for incremental dedup."""
@@ -151,14 +164,18 @@ class FingerprintIndex:
     def __post_init__(self):
         self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _save(self, df: DataFrame, name: str) -> str:
-        table = f"fingerprints_{name}_{uuid.uuid4().hex[:12]}"
-        rows = df.repartition(self.buckets, "m").sortWithinPartitions("m", "c")
-        rows.write.bucketBy(self.buckets, "m").sortBy("m", "c").option("path", scratch_path(self.spark, table)).saveAsTable(table)
+    def _save(self, df: DataFrame) -> str:
+        """``df`` must be partitioned by m in as many parts as there are buckets."""
+        table = f"fingerprints_{uuid.uuid4().hex}"
+        df.write.bucketBy(self.buckets, "m").sortBy("m", "c").saveAsTable(table)
         return table
 
+    @staticmethod
+    def _firsts(run: DataFrame) -> DataFrame:
+        return run.groupBy("m", "c").agg(F.min(F.struct(*_PLACE)).alias("p"), F.first("n").alias("n"), F.max("again").alias("again"))
+
     def add(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
-        """Judge ``batch`` (doc_id, text) against all earlier batches and itself, then index it.
+        """Judge ``batch`` (doc_id, text) against all earlier batches and itself, then keep its run.
 
         ``texts`` must hold every document of this and earlier batches (as ``named`` gives them); only those whose
         entries are not settled by their hashes are read.  Returns (doc_id, k, start, n): windows start to
@@ -166,16 +183,22 @@ class FingerprintIndex:
         """
         self.batches += 1
         schema = "m long, c long, doc_id long, k int, start int, n int, again boolean"
-        fresh = self._save(named(batch).mapInArrow(_entries, schema).select("m", "c", F.lit(self.batches).alias("b"), "doc_id", "k", "start", "n", "again"), "batch")
-        entries = self.spark.table(fresh)
-        place = F.struct(*_PLACE)
-        firsts = entries.groupBy("m", "c").agg(F.min(place).alias("p"), F.first("n").alias("n"), F.max("again").alias("again"))
-        old = [self.spark.table(r) for r in self.runs]
-        seen = firsts
+        found = named(batch).mapInArrow(_entries, schema).select("m", "c", F.lit(self.batches).alias("b"), "doc_id", "k", "start", "n", "again")
+        fresh = self._save(found.repartition(self.buckets, "m"))
+        with _copartitioned(self.spark):
+            repeats, unsettled = self._judge(self.spark.table(fresh))
+        self.runs.append(fresh)
+        if len(self.runs) > MAX_RUNS:
+            self.compact()
+        return repeats.union(self._verify(unsettled, texts))
+
+    def _judge(self, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Entries that repeat as a whole, and for each document the ranges of windows that hashes don't settle."""
+        old = [self._firsts(self.spark.table(r)) for r in self.runs]
+        seen = self._firsts(entries)
         for run in old:
-            known = run.select("m", "c", F.struct(*_PLACE).alias("q"))
+            known = run.select("m", "c", F.col("p").alias("q"))
             seen = seen.join(known, ["m", "c"], "left").withColumn("p", F.coalesce(F.least("p", "q"), "p")).drop("q")
-        # Whole entries that came earlier.
         repeats = entries.join(seen.select("m", "c", "p"), ["m", "c"]).filter(F.struct(*_PLACE) > F.col("p")).select("doc_id", "k", "start", "n")
         repeats = written(repeats, "repeats")
 
@@ -185,31 +208,31 @@ class FingerprintIndex:
         for run in old:
             other = run.groupBy("m").agg(F.lit(1).alias("o"))
             held = held.join(other, "m", "left").withColumn("cs", F.col("cs") + F.coalesce("o", F.lit(0))).drop("o")
-        unsettled = held.filter("cs > 1 OR again").select("m")
-        parts = [t.select("m", *_PLACE, "n").join(unsettled, "m", "left_semi") for t in [new.select("m", "p.*", "n"), *old]]
-        ranges = parts[0]
-        for p in parts[1:]:
-            ranges = ranges.union(p)
-        ranges = written(ranges.groupBy("b", "doc_id", "k").agg(F.collect_list(F.struct("start", "n")).alias("ranges")), "unsettled")
-        checked = _among(texts, ranges).select("b", "doc_id", "k", "text", "ranges")
+        open_ = held.filter("cs > 1 OR again").select("m")
+        ranges = None
+        for t in [new, *old]:
+            part = t.join(open_, "m", "left_semi").select("p.b", "p.doc_id", "p.k", "p.start", "n")
+            ranges = part if ranges is None else ranges.union(part)
+        return repeats, written(ranges, "unsettled")
+
+    def _verify(self, ranges: DataFrame, texts: DataFrame) -> DataFrame:
+        """Single windows of this batch that start earlier elsewhere, by 128-bit hashes of their words."""
+        by_doc = written(ranges.groupBy("b", "doc_id", "k").agg(F.collect_list(F.struct("start", "n")).alias("ranges")), "unsettled-docs")
+        checked = _among(texts, by_doc).select("b", "doc_id", "k", "text", "ranges")
         hashes = written(checked.mapInArrow(_window_hashes, "h1 long, h2 long, b int, doc_id long, k int, start int"), "windows")
-        first = hashes.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-        single = hashes.filter(F.col("b") == self.batches).join(first, ["h1", "h2"]).filter(F.struct(*_PLACE) > F.col("p"))
-        singles = written(single.select("doc_id", "k", "start", F.lit(1).alias("n")), "singles")
-
-        self.runs.append(self._save(new.select("m", "c", "p.*", "n", "again"), "run") if old else self._save(firsts.select("m", "c", "p.*", "n", "again"), "run"))
-        self.spark.sql(f"DROP TABLE {fresh}")
-        if len(self.runs) > MAX_RUNS:
-            self.compact()
-        return repeats.union(singles)
+        first = hashes.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("p"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
+        later = hashes.filter(F.col("b") == self.batches).join(first, ["h1", "h2"]).filter(F.struct(*_PLACE) > F.col("p"))
+        return written(later.select("doc_id", "k", "start", F.lit(1).alias("n")), "singles")
 
     def compact(self) -> None:
         """Merge all runs into one; of equal entries the first stays."""
-        rows = self.spark.table(self.runs[0])
-        for r in self.runs[1:]:
-            rows = rows.union(self.spark.table(r))
-        firsts = rows.groupBy("m", "c").agg(F.min(F.struct(*_PLACE)).alias("p"), F.first("n").alias("n"), F.max("again").alias("again"))
-        done = self._save(firsts.select("m", "c", "p.*", "n", "again"), "run")
+        with _copartitioned(self.spark):
+            rows = self._firsts(self.spark.table(self.runs[0]))
+            for r in self.runs[1:]:
+                more = self._firsts(self.spark.table(r)).select("m", "c", F.col("p").alias("q"), F.col("n").alias("o"), F.col("again").alias("a"))
+                rows = rows.join(more, ["m", "c"], "full").select("m", "c", F.least("p", "q").alias("p"), F.coalesce("n", "o").alias("n"), F.coalesce(F.greatest("again", "a"), F.lit(False)).alias("again"))
+            # A full join leaves its rows in no known partitioning.
+            done = self._save(rows.select("m", "c", "p.*", "n", "again").repartition(self.buckets, "m"))
         self.drop()
         self.runs = [done]
 
