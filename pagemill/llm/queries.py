@@ -17,7 +17,7 @@ from pagemill.llm.secrets import secrets_digest
 from pagemill.llm.sharding import shard
 from pagemill.llm.substrings import dedup_substrings
 from pagemill.llm.topk import top_k
-from pagemill.llm.urls import judge
+from pagemill.llm.urls import DOMAIN_RULES, PATTERN_RULES, judge
 
 #: A conversation of control strings, formatted along with the others.
 PROBE = "</s>[INST] ok [/INST]"
@@ -69,5 +69,50 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_packing, op2_near_dedup, op3_secrets, op4_topk, op5_chat_format, op6_substrings, op7_sharding, op8_mixing, op9_quality, op10_url_filter)}
 
 
+_WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_OP2 = rf"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+l AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+r AS (SELECT doc_id AS d, doc_id AS k FROM documents UNION SELECT r.d, l.b FROM r JOIN l ON r.k = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, k.c AS component_id, d.doc_id = k.c AS kept FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(k) AS c FROM r GROUP BY 1) k ON k.d = d.doc_id"""
+
+_OP4 = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p) WHERE rank <= 5"""
+
+
+def _escaped_sql(c: str) -> str:
+    return rf"""regexp_replace(regexp_replace(coalesce({c}, ''), '<(\\*)(/?s>|t>|\|[a-z_]+\|>|/?SYS>)', '<\\\1\2', 'g'), '\[(\\*)(/?INST\])', '[\\\1\2', 'g')"""
+
+
+_OP5 = f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')),
+x AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role AS opens FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(3 + length({_escaped_sql("text")}) + CASE WHEN opens THEN 7 + length({_escaped_sql("role")}) ELSE 0 END) AS BIGINT) AS formatted_chars FROM x GROUP BY 1"""
+
+_OP6 = f"""WITH w AS (SELECT doc_id, {_WORDS.format("text")} AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + 19], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1 AS again FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM f WHERE again),
+k AS (SELECT doc_id, list(p) AS ps FROM c GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)"""
+
+
+def _op10_sql() -> str:
+    rules = ", ".join(f"('{k}', '{h}', '{p}')" for k, h, p in DOMAIN_RULES)
+    patterns = ", ".join(f"('{k}', '{p}')" for k, p in PATTERN_RULES)
+    return rf"""WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+p AS (SELECT page_id, url, translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM u),
+d AS (SELECT url, max({{'n': length(h || q), 'rule': h || q, 'kind': k}}) AS m FROM p JOIN (VALUES {rules}) r(k, h, q) ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY 1),
+e AS (SELECT url, max({{'n': length(x), 'ok': CASE WHEN k = 'allow' THEN 1 ELSE 0 END, 'kind': k}}) AS m FROM (SELECT DISTINCT url FROM p) JOIN (VALUES {patterns}) r(k, x) ON regexp_matches(lower(url), x) GROUP BY 1)
+SELECT page_id, host, path, d.m.rule AS rule, coalesce(d.m.kind, e.m.kind, 'allow') AS verdict FROM p LEFT JOIN d USING (url) LEFT JOIN e USING (url)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others need Spark's hashes or a trained model, or positions in texts; tests hold them against plain versions."""
+    return {"op2_near_dedup": _OP2, "op4_topk": _OP4, "op5_chat_format": _OP5, "op6_substrings": _OP6, "op10_url_filter": _op10_sql()}
