@@ -8,8 +8,9 @@
 4. Within a bucket the smallest document is compared with each other one; what the collision-corrected Jaccard
    estimate leaves is verified on full sets: first one partner for each document, then the rest between different
    components.
-5. Buckets that still hold several components compare their documents in blocks, across components only.  So no
-   link that a bucket can show is lost, and no group of copies is expanded into its pairs.
+5. Buckets that still hold several components compare their documents in blocks, across components only, and verify
+   in rounds: the likeliest pair of each two components, then more, at last every pair between components still
+   apart.  So no link that a bucket can show is lost, and no group of copies is expanded into its pairs.
 6. Components come from min-label propagation with pointer jumping over the verified links, in Spark.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a text of fewer than 5 words
@@ -26,9 +27,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from pagemill.llm.common import small
-from pagemill.llm.hashing import WordHashes, shingles
+from pagemill.llm.hashing import shingles, word_hashes
 from pagemill.scratch import written
 
 #: Buckets of a sketch (a power of two), and bits kept after the leading one.
@@ -44,6 +46,8 @@ PERCENT = 75
 SIGMAS = 4.5
 #: Documents in a block when a bucket is compared across components.
 BLOCK = 512
+#: Pairs of each two components that a round of those comparisons verifies; the last one takes all.
+ROUNDS = (1, 16, None)
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -96,26 +100,42 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def estimates(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates of pairs of sketches, corrected for accidental equality of registers, and their cutoffs."""
-    both = (a != EMPTY) & (b != EMPTY)
-    equal = ((a == b) & both).sum(axis=1)
-    either = np.maximum(((a != EMPTY) | (b != EMPTY)).sum(axis=1), 1)
+def accidents(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Chance that the registers of a bucket that both sets fill are equal although their smallest hashes differ."""
     la, lb = np.maximum(na / BUCKETS, 1), np.maximum(nb / BUCKETS, 1)  # a filled bucket has one hash at least
-    s, chance = la + lb - 1, np.zeros(len(a))
+    s, chance = la + lb - 1, np.zeros(len(la))
     for i in range(40):  # cells of one leading-zero count are equally wide
         low, high = 2.0 ** -(i + 1), 2.0**-i
         chance += low / (1 << MANTISSA) * la * lb * ((1 - low) ** s - (1 - high) ** s) / s
-    accidents = np.minimum(chance, 1) * both.sum(axis=1)
+    return np.minimum(chance, 1)
+
+
+def estimates(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard estimates of pairs of sketches, corrected for accidental equality of registers, and their cutoffs."""
+    full_a, full_b = a != EMPTY, b != EMPTY
+    both = (full_a & full_b).sum(axis=1)
+    equal = ((a == b) & full_a).sum(axis=1)
+    either = np.maximum((full_a | full_b).sum(axis=1), 1)
     t = PERCENT / 100
-    est = np.clip((equal - accidents) / np.maximum(either - accidents, 1), 0, 1)
-    return est, t - SIGMAS * np.sqrt(t * (1 - t) / either)
+    cutoff = t - SIGMAS * np.sqrt(t * (1 - t) / either)
+    est = equal / either
+    near = np.nonzero(est >= cutoff)[0]  # the correction only lowers an estimate
+    if len(near):
+        wrong = accidents(na[near], nb[near]) * both[near]
+        est[near] = np.clip((equal[near] - wrong) / np.maximum(either[near] - wrong, 1), 0, 1)
+    return est, cutoff
 
 
-def _sketch_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: what is worked out for one is held at once."""
     for batch in batches:
-        sets = [shingles((t or b"").lower().split(), cache) for t in batch.column(1).to_pylist()]
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _sketch_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _sliced(batches):
+        sets = [shingles(h) for h in word_hashes(batch.column(1).to_pylist(), lower=True)]
         ids = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype=np.int64) for s in sets], dtype=np.int64).reshape(-1, 2)
         regs = registers(sets)
         yield pa.RecordBatch.from_arrays(
@@ -146,9 +166,8 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
-    for batch in batches:
-        sets = [shingles((t or b"").lower().split(), cache).tobytes() for t in batch.column(1).to_pylist()]
+    for batch in _sliced(batches):
+        sets = [shingles(h).tobytes() for h in word_hashes(batch.column(1).to_pylist(), lower=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc", "hashes"])
 
 
@@ -167,51 +186,64 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, i, j): pairs of a block pair's documents that lie in different components and may link."""
-
-    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        col = {c: rows.column(c).to_numpy() for c in ("doc", "label", "n", "block", "i", "j")}
-        regs = _matrix(rows.column("sketch").combine_chunks())
-        first = np.nonzero(col["block"] == col["i"])[0]
-        second = first if col["i"][0] == col["j"][0] else np.nonzero(col["block"] == col["j"])[0]
-        out_a, out_b = [], []
-        for p in first:
-            q = second[(col["label"][second] != col["label"][p])]
-            if second is first:
-                q = q[q > p]
-            small_, large = np.minimum(col["n"][q], col["n"][p]), np.maximum(col["n"][q], col["n"][p])
-            q = q[100 * small_ >= PERCENT * large]
-            if len(q):
-                na = np.full(len(q), col["n"][p], dtype=np.float64)
-                est, cutoff = estimates(np.broadcast_to(regs[p], (len(q), BUCKETS)), regs[q], na, col["n"][q].astype(np.float64))
-                q = q[est >= cutoff]
-                out_a.append(np.minimum(col["doc"][p], col["doc"][q]))
-                out_b.append(np.maximum(col["doc"][p], col["doc"][q]))
-        empty = np.empty(0, dtype=np.int64)
-        return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (empty, empty)
-
-    held: list[pa.Table] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if held:
-            a, b = pairs(pa.concat_tables(held))
-            held.clear()
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    last = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        ids = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
-        starts = np.nonzero((ids[1:] != ids[:-1]).any(axis=1))[0] + 1
-        for s, e in zip([0, *starts], [*starts, len(ids)], strict=True):
-            if s < e:
-                if last is not None and tuple(ids[s]) != last:
-                    yield from flush()
-                held.append(rows.slice(s, e - s))
-                last = tuple(ids[s])
-    yield from flush()
+def _block_pairs(rows: pa.Table, most: int | None) -> pa.RecordBatch | None:
+    """Pairs of a block pair's documents that lie in different components and may link; the ``most`` best of each two."""
+    col = {c: rows.column(c).to_numpy() for c in ("doc", "label", "n", "block", "i", "j")}
+    regs = _matrix(rows.column("sketch").combine_chunks())
+    first = np.nonzero(col["block"] == col["i"])[0]
+    second = first if col["i"][0] == col["j"][0] else np.nonzero(col["block"] == col["j"])[0]
+    found = []
+    for p in first:
+        q = second[col["label"][second] != col["label"][p]]
+        if second is first:
+            q = q[q > p]
+        few, many = np.minimum(col["n"][q], col["n"][p]), np.maximum(col["n"][q], col["n"][p])
+        q = q[100 * few >= PERCENT * many]
+        if len(q):
+            na = np.full(len(q), col["n"][p], dtype=np.float64)
+            est, cutoff = estimates(np.broadcast_to(regs[p], (len(q), BUCKETS)), regs[q], na, col["n"][q].astype(np.float64))
+            ok = est >= cutoff
+            found.append((np.full(int(ok.sum()), p), q[ok], est[ok]))
+    if not found:
+        return None
+    p, q, est = (np.concatenate(x) for x in zip(*found, strict=True))
+    low, high = (f(col["label"][p], col["label"][q]) for f in (np.minimum, np.maximum))
+    if most is not None:
+        order = np.lexsort((-est, high, low))
+        p, q, est, low, high = (x[order] for x in (p, q, est, low, high))
+        new = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+        keep = np.arange(len(p)) - np.maximum.accumulate(np.where(new, np.arange(len(p)), 0)) < most
+        p, q, est, low, high = (x[keep] for x in (p, q, est, low, high))
+    a, b = (f(col["doc"][p], col["doc"][q]) for f in (np.minimum, np.maximum))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, est, low, high)], names=["a", "b", "est", "la", "lb"])
+
+
+def _across(most: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by (key, i, j), a block pair after the other."""
+        held: list[pa.Table] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                out = _block_pairs(pa.concat_tables(held), most)
+                held.clear()
+                if out is not None and out.num_rows:
+                    yield out
+
+        last = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            ids = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
+            starts = np.nonzero((ids[1:] != ids[:-1]).any(axis=1))[0] + 1
+            for s, e in zip([0, *starts], [*starts, len(ids)], strict=True):
+                if s < e:
+                    if last is not None and tuple(ids[s]) != last:
+                        yield from flush()
+                    held.append(rows.slice(s, e - s))
+                    last = tuple(ids[s])
+        yield from flush()
+
+    return run
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -277,7 +309,29 @@ def link(docs: DataFrame, rows: DataFrame) -> DataFrame:
             links = links.union(more)
             labels = components(links)
 
-    # Buckets of three or more in several components: all but the pivot's pairs are still to be compared.
+    # Buckets of three or more in several components: all but the pivot's pairs are still to be compared.  First the
+    # likeliest pair of each two components, since one link joins them; in the last round every pair that is left.
+    tested = likely.select("a", "b")
+    for most in ROUNDS:
+        cross = _cross(shared, labels, reps, most).join(tested, ["a", "b"], "left_anti")
+        if most is not None:
+            best_first = W.partitionBy("la", "lb").orderBy(F.col("est").desc(), "a", "b")
+            cross = cross.withColumn("k", F.row_number().over(best_first)).filter(F.col("k") <= most)
+        cross = written(cross.select("a", "b").distinct(), "dup-cross")
+        if cross.isEmpty():
+            if most is None:
+                break
+            continue
+        more = _verify(docs, cross)
+        tested = tested.union(cross)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+    return labels
+
+
+def _cross(shared: DataFrame, labels: DataFrame, reps: DataFrame, most: int | None) -> DataFrame:
+    """a, b, est, la, lb: pairs across components in common buckets, the ``most`` best of each block pair and two components."""
     at = shared.filter("members > 2").join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     at = written(at.select("key", "doc", "label", "members"), "dup-at")
     mixed_ = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
@@ -286,14 +340,7 @@ def link(docs: DataFrame, rows: DataFrame) -> DataFrame:
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
     others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
     open_ = open_.withColumn("p", F.explode(others)).select("key", "doc", "label", "n", "sketch", "block", "p.i", "p.j")
-    cross = open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across, "a long, b long")
-    cross = written(cross.distinct(), "dup-cross")
-    cross = cross.join(likely.select("a", "b"), ["a", "b"], "left_anti")
-    if not cross.isEmpty():
-        more = _verify(docs, written(cross, "dup-cross-new"))
-        if not more.isEmpty():
-            labels = components(links.union(more))
-    return labels
+    return open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across(most), "a long, b long, est double, la long, lb long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

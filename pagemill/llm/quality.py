@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.hashing import WordHashes, windows
+from pagemill.llm.hashing import repeated, windows, word_hashes
 from pagemill.scratch import written
 
 WINDOW = 8
@@ -29,42 +29,38 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: Rows of each label that the forest is fitted on or takes its ranges from, at most; trees; rows of a tree.
 SAMPLE, TREES, TREE_ROWS = 8192, 128, 256
 #: Share of rows labelled good that the threshold may reject.
-FALSE_REJECTS = 0.002
+FALSE_REJECTS = 0.004
 #: Width of the score histogram by which the threshold is found.
 BINS = 2000
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATS = (*BASE, "n_lines", "n_upper", "n_letters", "n_marks", "n_digits", "n_stutter")
 
 
-def text_stats(data: bytes, cache: WordHashes) -> tuple[int, ...]:
-    """STATS of one text."""
-    words = data.split()
+def text_stats(data: bytes, words: np.ndarray) -> tuple[int, ...]:
+    """STATS of one text; ``words``: the hashes of its words."""
     n = len(words)
     if not n:
         return (0,) * len(STATS)
     by = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
     chars = len(data) - int(by[128:192].sum()) - int(by[9:14].sum()) - int(by[32])
     lines = [x for x in data.split(b"\n") if x.strip()]
-    repeated = 0
-    one = cache.of(words)
-    h = windows(one, WINDOW)
-    if len(h):
-        _, at, counts = np.unique(h, return_inverse=True, return_counts=True)
-        if len(counts) < len(h):
-            starts = np.nonzero(counts[at] > 1)[0]
-            step = np.zeros(n + 1, dtype=np.int32)
-            step[starts] += 1
-            step[starts + WINDOW] -= 1
-            repeated = int((np.cumsum(step) > 0).sum())
+    covered = 0
+    twice = repeated(windows(words, WINDOW))
+    if twice is not None:
+        starts = np.nonzero(twice)[0]
+        step = np.zeros(n + 1, dtype=np.int32)
+        step[starts] += 1
+        step[starts + WINDOW] -= 1
+        covered = int((np.cumsum(step) > 0).sum())
     upper, lower = int(by[65:91].sum()), int(by[97:123].sum())
     letters = upper + lower + int(by[192:].sum())
-    return n, chars, int(by[list(SYMBOLS)].sum()), len(lines) - len(set(lines)), repeated, len(lines), upper, letters, int(by[33] + by[63]), int(by[48:58].sum()), int((one[1:] == one[:-1]).sum())
+    return n, chars, int(by[list(SYMBOLS)].sum()), len(lines) - len(set(lines)), covered, len(lines), upper, letters, int(by[33] + by[63]), int(by[48:58].sum()), int((words[1:] == words[:-1]).sum())
 
 
 def _add_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
     for batch in batches:
-        rows = np.array([text_stats(t or b"", cache) for t in batch.column(batch.num_columns - 1).to_pylist()], dtype=np.int64).reshape(-1, len(STATS))
+        texts = [t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        rows = np.array([text_stats(t, h) for t, h in zip(texts, word_hashes(texts), strict=True)], dtype=np.int64).reshape(-1, len(STATS))
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(rows[:, k].copy()) for k in range(len(STATS)))], names=[*batch.schema.names[:-1], *STATS])
 
 

@@ -1,7 +1,7 @@
 """Substring dedup with a log-structured fingerprint index.
 
 A word goes if a window of WINDOW words that covers it also starts earlier.  Indexing every window would cost many
-times the input, so windows are held in groups: each window is represented by the smallest hash of its 6-word grams,
+times the input, so windows are held in groups: each window is represented by the smallest hash of its 8-word grams,
 and consecutive windows with the same representative form one entry (m: that hash; c: hash of all words the entry
 covers).  Equal windows have equal m.  Entries with equal (m, c) hold the same windows one by one, so that only the
 first of them matters; entries that share m alone are verified window by window against the texts.
@@ -27,13 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from pagemill.llm.common import BROADCAST_ROWS
-from pagemill.llm.hashing import WordHashes, mixed, windows
+from pagemill.llm.hashing import Powers, mixed, repeated, windows, word_hashes
 from pagemill.scratch import written
 
 #: Words of a window, and of the grams whose smallest hash represents it.
-WINDOW, GRAM = 20, 6
+WINDOW, GRAM = 20, 8
 #: Runs of an index before they are compacted.
 MAX_RUNS = 4
 #: Null doc_ids sort first.
@@ -51,40 +52,23 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-class _Powers:
-    def __init__(self, base: int):
-        self.base, self.of = base, np.ones(1, dtype=np.uint64)
-
-    def upto(self, n: int) -> np.ndarray:
-        if len(self.of) < n:
-            steps = np.full(max(n, 2 * len(self.of)), self.base, dtype=np.uint64)
-            steps[0] = 1
-            with np.errstate(over="ignore"):
-                self.of = np.multiply.accumulate(steps)
-        return self.of[:n]
-
-
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, up, down = WordHashes(), _Powers(_B), _Powers(_B_INVERSE)
+    up, down = Powers(_B), Powers(_B_INVERSE)
     for batch in batches:
         docs, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "k"))
         parts: list[tuple[np.ndarray, ...]] = []
-        for d, k, text in zip(docs, keys, batch.column("text").to_pylist(), strict=True):
-            words = (text or b"").split()
-            n = len(words)
+        for d, k, h in zip(docs, keys, word_hashes(batch.column("text").to_pylist()), strict=True):
+            n = len(h)
             if n < WINDOW:
                 continue
-            h = cache.of(words)
             m = sliding_min(windows(h, GRAM), WINDOW - GRAM + 1)
             start = np.concatenate(([0], np.nonzero(m[1:] != m[:-1])[0] + 1))
             count = np.diff(np.append(start, len(m)))
             with np.errstate(over="ignore"):
                 sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(h * up.upto(n))))
                 c = mixed((sums[start + count + WINDOW - 1] - sums[start]) * down.upto(n)[start] + count.astype(np.uint64))
-            again = np.zeros(len(start), dtype=bool)
-            _, at, times = np.unique(windows(h, WINDOW), return_inverse=True, return_counts=True)
-            if len(times) < len(m):
-                again = np.logical_or.reduceat(times[at] > 1, start)
+            twice = repeated(windows(h, WINDOW))
+            again = np.zeros(len(start), dtype=bool) if twice is None else np.logical_or.reduceat(twice, start)
             parts.append((m[start].view(np.int64), c.view(np.int64), np.full(len(start), d), np.full(len(start), k, dtype=np.int32), start.astype(np.int32), count.astype(np.int32), again))
         if parts:
             columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
@@ -93,11 +77,10 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two hashes (128 bits) of each window in the given ranges of a text."""
-    cache = WordHashes()
     for batch in batches:
         parts: list[tuple[np.ndarray, ...]] = []
-        for b, d, k, text, ranges in zip(*(batch.column(c).to_pylist() for c in ("b", "doc_id", "k", "text", "ranges")), strict=True):
-            h = cache.of(text.split())
+        hashes = word_hashes(batch.column("text").to_pylist())
+        for b, d, k, ranges, h in zip(*(batch.column(c).to_pylist() for c in ("b", "doc_id", "k", "ranges")), hashes, strict=True):
             one, two = windows(h, WINDOW).view(np.int64), windows(h, WINDOW, second=True).view(np.int64)
             at = np.unique(np.concatenate([np.arange(r["start"], r["start"] + r["n"], dtype=np.int32) for r in ranges]))
             parts.append((one[at], two[at], np.full(len(at), b, dtype=np.int32), np.full(len(at), d, dtype=np.int64), np.full(len(at), k, dtype=np.int32), at))
@@ -193,27 +176,27 @@ class FingerprintIndex:
         return repeats.union(self._verify(unsettled, texts))
 
     def _judge(self, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Entries that repeat as a whole, and for each document the ranges of windows that hashes don't settle."""
+        """Entries that repeat as a whole, and the ranges of windows that hashes don't settle.
+
+        One pass over the batch's run, in the order of its buckets, merged with each earlier run by (m, c) and by m.
+        """
         old = [self._firsts(self.spark.table(r)) for r in self.runs]
-        seen = self._firsts(entries)
+        place = F.struct(*_PLACE)
+        rows = entries.withColumn("p", F.min(place).over(W.partitionBy("m", "c"))).withColumn("others", F.lit(0).cast("long"))
         for run in old:
-            known = run.select("m", "c", F.col("p").alias("q"))
-            seen = seen.join(known, ["m", "c"], "left").withColumn("p", F.coalesce(F.least("p", "q"), "p")).drop("q")
-        repeats = entries.join(seen.select("m", "c", "p"), ["m", "c"]).filter(F.struct(*_PLACE) > F.col("p")).select("doc_id", "k", "start", "n")
-        repeats = written(repeats, "repeats")
-
-        # Entries new by (m, c) whose m is held by another entry, or that repeat within themselves.
-        new = seen.filter(F.col("p.b") == self.batches)
-        held = new.groupBy("m").agg(F.count(F.lit(1)).alias("cs"), F.max("again").alias("again"))
+            rows = rows.join(run.select("m", "c", F.col("p").alias("q")), ["m", "c"], "left").withColumn("p", F.coalesce(F.least("p", "q"), "p")).drop("q")
+            rows = rows.join(run.groupBy("m").agg(F.count(F.lit(1)).alias("o")), "m", "left").withColumn("others", F.col("others") + F.coalesce("o", F.lit(0))).drop("o")
+        # An entry is unsettled if it is the first of its (m, c) and another (m, c') exists, or it repeats within itself.
+        held = W.partitionBy("m")
+        rows = rows.withColumn("repeat", place > F.col("p"))
+        rows = rows.withColumn("firsts", F.sum(F.when(F.col("repeat"), 0).otherwise(1)).over(held)).withColumn("loops", F.max("again").over(held))
+        judged = rows.filter("repeat OR firsts + others > 1 OR loops").select("m", *_PLACE, "n", "repeat")
+        judged = written(judged, "judged")
+        ranges = judged.filter("NOT repeat").select(*_PLACE, "n")
+        open_ = judged.filter("NOT repeat").select("m").distinct()
         for run in old:
-            other = run.groupBy("m").agg(F.lit(1).alias("o"))
-            held = held.join(other, "m", "left").withColumn("cs", F.col("cs") + F.coalesce("o", F.lit(0))).drop("o")
-        open_ = held.filter("cs > 1 OR again").select("m")
-        ranges = None
-        for t in [new, *old]:
-            part = t.join(open_, "m", "left_semi").select("p.b", "p.doc_id", "p.k", "p.start", "n")
-            ranges = part if ranges is None else ranges.union(part)
-        return repeats, written(ranges, "unsettled")
+            ranges = ranges.union(run.join(open_, "m", "left_semi").select("p.b", "p.doc_id", "p.k", "p.start", "n"))
+        return judged.filter("repeat").select("doc_id", "k", "start", "n"), written(ranges, "unsettled")
 
     def _verify(self, ranges: DataFrame, texts: DataFrame) -> DataFrame:
         """Single windows of this batch that start earlier elsewhere, by 128-bit hashes of their words."""
