@@ -54,7 +54,7 @@ def test_archive_to_pages(spark, tmp_path):
     base = "sn85026945/1915/07/03/ed-1/seq-"
     _archive(tmp_path / "nbu_test_ver01.tar.bz2", {base + "1/ocr.txt": " Front page\n", base + "1/ocr.xml": alto(), base + "2/ocr.xml": alto(), base + "3/ocr.txt": " ", "readme": "x", "00225879/00175032496/1915/07/03/ed-1/seq-1/ocr.txt": "Other"})
     pages = archives.archive_pages(archives.read_members(spark, f"file://{tmp_path}"))
-    titles = spark.createDataFrame([("sn85026945", "The Evening Herald. (Omaha, Neb.) 1915-19??", "Omaha", "Nebraska")], "lccn string, name string, city string, state string")
+    titles = spark.createDataFrame([("sn85026945", "The Evening Star. (Omaha, Neb.) 1915-19??", "Omaha", "Nebraska")], "lccn string, name string, city string, state string")
     lines = spark.createDataFrame([("d41d data/sn85026945/1915070301/0002.jp2",), ("d41d data/sn85026945/1915070301/0001.jp2",), ("d41d  data/sn85026945/1915070301/0001.pdf",), ("bad",)], "value string")
     rows = etl.page_table(pages, titles, listings.manifest_assets(lines, "https://x.test/b/"), "nbu_test_ver01", "https://v.test", "https://x.test")
     etl.write_pages(rows, f"file://{tmp_path}/pages")
@@ -63,7 +63,7 @@ def test_archive_to_pages(spark, tmp_path):
     assert set(got) == {"sn85026945_1915-07-03_ed-1_seq-1", "sn85026945_1915-07-03_ed-1_seq-2", "00225879_1915-07-03_ed-1_seq-1"}
     a, b, c = (got[k] for k in ("sn85026945_1915-07-03_ed-1_seq-1", "sn85026945_1915-07-03_ed-1_seq-2", "00225879_1915-07-03_ed-1_seq-1"))
     assert (a.text, a.char_count, a.word_count, a.year, a.awardee) == ("Front page", 12, 2, 1915, "University of Nebraska-Lincoln")
-    assert a.image_url.endswith("/1915070301/0001.jp2") and a.pdf_url.endswith("/1915070301/0001.pdf") and a.newspaper_title == "The Evening Herald."
+    assert a.image_url.endswith("/1915070301/0001.jp2") and a.pdf_url.endswith("/1915070301/0001.pdf") and a.newspaper_title == "The Evening Star."
     assert b.text.startswith("THE MONITOR") and b.image_url.endswith("0002.jp2") and b.page_width == 15000
     assert c.reel_id == "00175032496" and c.title == "Newspaper 00225879" and c.state == "Unknown" and c.page_unit == "inch1200"
     cat = {r.lccn: r for r in etl.catalog(spark, f"file://{tmp_path}/pages").collect()}
