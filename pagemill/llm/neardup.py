@@ -8,9 +8,9 @@
 4. Within a bucket the smallest document is compared with each other one; what the collision-corrected Jaccard
    estimate leaves is verified on full sets: first one partner for each document, then the rest between different
    components.
-5. Buckets that still hold several components compare their documents in blocks, across components only, and verify
-   in rounds: the likeliest pair of each two components, then more, at last every pair between components still
-   apart.  So no link that a bucket can show is lost, and no group of copies is expanded into its pairs.
+5. Buckets that still hold several components compare their documents in blocks, across components only, on full
+   sets and by falling estimate, until a link has joined two components or every pair has been tried.  So no link
+   that a bucket can show is lost, and no group of copies is expanded into rows for its pairs.
 6. Components come from min-label propagation with pointer jumping over the verified links, in Spark.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a text of fewer than 5 words
@@ -27,9 +27,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from pagemill.llm.common import small
+from pagemill.llm.common import BROADCAST_ROWS, small
 from pagemill.llm.hashing import shingles, word_hashes
 from pagemill.scratch import written
 
@@ -45,9 +44,7 @@ PERCENT = 75
 #: Estimates this many standard errors below the threshold are dropped unverified.
 SIGMAS = 4.5
 #: Documents in a block when a bucket is compared across components.
-BLOCK = 512
-#: Pairs of each two components that a round of those comparisons verifies; the last one takes all.
-ROUNDS = (1, 16, None)
+BLOCK = 256
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -149,7 +146,8 @@ def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if batch.num_rows:
             keys = band_keys(_matrix(batch.column("sketch")))
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(docs, BANDS))], names=["key", "doc"])
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(docs))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(docs, BANDS)), pa.array(band)], names=["key", "doc", "band"])
 
 
 def _matrix(sketches: pa.Array) -> np.ndarray:
@@ -171,79 +169,96 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc", "hashes"])
 
 
+def _link(p: np.ndarray, q: np.ndarray) -> bool:
+    """Do two ascending sets link?"""
+    if len(p) > len(q):
+        p, q = q, p
+    if not len(p):
+        return False
+    at = np.searchsorted(q, p)
+    at[at == len(q)] = 0
+    common = int((q[at] == p).sum())
+    return 100 * common >= PERCENT * (len(p) + len(q) - common)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            p, q = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-            if len(p) > len(q):
-                p, q = q, p
-            at = np.searchsorted(q, p)
-            at[at == len(q)] = 0
-            common = int((q[at] == p).sum()) if len(q) else 0
-            ok.append(100 * common >= PERCENT * (len(p) + len(q) - common))
-        keep = pa.array(ok, pa.bool_())
+        sets = ([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(c)] for c in ("x", "y"))
+        keep = pa.array([_link(p, q) for p, q in zip(*sets, strict=True)], pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
-def _block_pairs(rows: pa.Table, most: int | None) -> pa.RecordBatch | None:
-    """Pairs of a block pair's documents that lie in different components and may link; the ``most`` best of each two."""
-    col = {c: rows.column(c).to_numpy() for c in ("doc", "label", "n", "block", "i", "j")}
+def _block_links(rows: pa.Table) -> pa.RecordBatch | None:
+    """Links between documents of a block pair, as many as join what can be joined.
+
+    Pairs in different components come by falling estimate; a pair whose components a link has joined meanwhile has
+    nothing to add.  Pairs that share an earlier band are met there.
+    """
+    col = {c: rows.column(c).to_numpy() for c in ("doc", "label", "n", "block", "i", "j", "band")}
     regs = _matrix(rows.column("sketch").combine_chunks())
+    keys, band = band_keys(regs), int(col["band"][0])
     first = np.nonzero(col["block"] == col["i"])[0]
     second = first if col["i"][0] == col["j"][0] else np.nonzero(col["block"] == col["j"])[0]
-    found = []
-    for p in first:
-        q = second[col["label"][second] != col["label"][p]]
-        if second is first:
-            q = q[q > p]
-        few, many = np.minimum(col["n"][q], col["n"][p]), np.maximum(col["n"][q], col["n"][p])
-        q = q[100 * few >= PERCENT * many]
-        if len(q):
-            na = np.full(len(q), col["n"][p], dtype=np.float64)
-            est, cutoff = estimates(np.broadcast_to(regs[p], (len(q), BUCKETS)), regs[q], na, col["n"][q].astype(np.float64))
-            ok = est >= cutoff
-            found.append((np.full(int(ok.sum()), p), q[ok], est[ok]))
-    if not found:
+    n, label = col["n"].astype(np.float64), col["label"]
+    may = label[first][:, None] != label[second][None, :]
+    if second is first:
+        may &= np.triu(np.ones(may.shape, dtype=bool), 1)
+    few, many = np.minimum(n[first][:, None], n[second][None, :]), np.maximum(n[first][:, None], n[second][None, :])
+    may &= 100 * few >= PERCENT * many
+    for k in range(band):
+        may &= keys[first, k][:, None] != keys[second, k][None, :]
+    ps, qs = (side[at] for side, at in zip((first, second), np.nonzero(may), strict=True))
+    parts = [np.empty(0)]
+    for at in range(0, len(ps), 8192):
+        p, q = ps[at : at + 8192], qs[at : at + 8192]
+        est, cutoff = estimates(regs[p], regs[q], n[p], n[q])
+        parts.append(np.where(est >= cutoff, est, -1.0))
+    est = np.concatenate(parts)
+    ps, qs, est = ps[est >= 0], qs[est >= 0], est[est >= 0]
+    if not len(ps):
         return None
-    p, q, est = (np.concatenate(x) for x in zip(*found, strict=True))
-    low, high = (f(col["label"][p], col["label"][q]) for f in (np.minimum, np.maximum))
-    if most is not None:
-        order = np.lexsort((-est, high, low))
-        p, q, est, low, high = (x[order] for x in (p, q, est, low, high))
-        new = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
-        keep = np.arange(len(p)) - np.maximum.accumulate(np.where(new, np.arange(len(p)), 0)) < most
-        p, q, est, low, high = (x[keep] for x in (p, q, est, low, high))
-    a, b = (f(col["doc"][p], col["doc"][q]) for f in (np.minimum, np.maximum))
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, est, low, high)], names=["a", "b", "est", "la", "lb"])
-
-
-def _across(most: int | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (key, i, j), a block pair after the other."""
-        held: list[pa.Table] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                out = _block_pairs(pa.concat_tables(held), most)
-                held.clear()
-                if out is not None and out.num_rows:
-                    yield out
-
-        last = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            ids = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
-            starts = np.nonzero((ids[1:] != ids[:-1]).any(axis=1))[0] + 1
-            for s, e in zip([0, *starts], [*starts, len(ids)], strict=True):
-                if s < e:
-                    if last is not None and tuple(ids[s]) != last:
-                        yield from flush()
-                    held.append(rows.slice(s, e - s))
-                    last = tuple(ids[s])
-        yield from flush()
-
-    return run
+    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("hashes")]
+    top: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in top:
+            x = top[x]
+        return x
+
+    a, b = [], []
+    for k in np.argsort(-est, kind="stable"):
+        p, q = ps[k], qs[k]
+        x, y = root(int(col["label"][p])), root(int(col["label"][q]))
+        if x != y and _link(sets[p], sets[q]):
+            top[max(x, y)] = min(x, y)
+            a.append(min(col["doc"][p], col["doc"][q]))
+            b.append(max(col["doc"][p], col["doc"][q]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, i, j), a block pair after the other."""
+    held: list[pa.Table] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if held:
+            out = _block_links(pa.concat_tables(held))
+            held.clear()
+            if out is not None:
+                yield out
+
+    last = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        ids = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
+        starts = np.nonzero((ids[1:] != ids[:-1]).any(axis=1))[0] + 1
+        for s, e in zip([0, *starts], [*starts, len(ids)], strict=True):
+            if s < e:
+                if last is not None and tuple(ids[s]) != last:
+                    yield from flush()
+                held.append(rows.slice(s, e - s))
+                last = tuple(ids[s])
+    yield from flush()
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -254,12 +269,14 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``links``: a, b. Returns doc, label: the smallest document reachable. Only linked documents appear."""
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "cc-edges")
+    both = written(links.select("a", "b").union(links.select("b", "a")), "cc-edges")
     labels = written(both.groupBy(F.col("a").alias("doc")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "cc")
+    few = labels.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # as many rows in every round
+    side = F.broadcast if few else lambda df: df
     while True:
-        near = both.join(labels.withColumnRenamed("doc", "b"), "b").groupBy(F.col("a").alias("doc")).agg(F.min("label").alias("near"))
+        near = both.join(side(labels.withColumnRenamed("doc", "b")), "b").groupBy(F.col("a").alias("doc")).agg(F.min("label").alias("near"))
         jump = labels.select(F.col("doc").alias("label"), F.col("label").alias("far"))
-        step = labels.join(near, "doc").join(jump, "label", "left")
+        step = near.join(side(labels), "doc").join(side(jump), "label", "left")
         step = written(step.select("doc", F.least("near", "label", "far").alias("label"), (F.least("near", "far") < F.col("label")).alias("moved")), "cc")
         labels = step.select("doc", "label")
         if step.filter("moved").isEmpty():
@@ -273,13 +290,18 @@ def _with_sketches(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(close).select("a", "b", "na", "nb", "ska", "skb")
 
 
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc, hashes: the full shingle sets of the documents in ``wanted`` (doc)."""
+    wanted = written(wanted.distinct(), "dup-wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text")).join(small(wanted), "doc")
+    return written(texts.mapInArrow(_full_sets, "doc long, hashes binary"), "dup-sets")
+
+
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link by their full shingle sets."""
-    wanted = written(pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct(), "dup-wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text")).join(small(wanted), "doc")
-    sets = written(texts.mapInArrow(_full_sets, "doc long, hashes binary"), "dup-sets")
+    sets = _sets(docs, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))))
     one, two = sets.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("doc").alias("b"), F.col("hashes").alias("y"))
-    checked = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
+    checked = one.join(small(pairs.select("a", "b")), "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
     return written(checked.distinct(), "dup-links")
 
 
@@ -287,60 +309,56 @@ def link(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Labels (doc, label) of the representatives of equal sets that link with another one."""
     reps = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     reps = written(reps.select("doc_id", "n", "sketch"), "dup-reps")
-    bands = written(reps.select("doc_id", "sketch").mapInArrow(_explode_bands, "key long, doc long"), "dup-bands")
+    bands = written(reps.select("doc_id", "sketch").mapInArrow(_explode_bands, "key long, doc long, band int"), "dup-bands")
     buckets = bands.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(bands.join(buckets, "key"), "dup-shared")
 
     stars = shared.filter("doc != pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
     likely = written(_with_sketches(stars, reps).mapInArrow(_likely, "a long, b long, est double"), "dup-likely")
-    best = likely.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
+    best = written(likely.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b"), "dup-best")
     links = _verify(docs, best)
     labels = components(links)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        la, lb = labels.select(F.col("doc").alias("a"), F.col("label").alias("la")), labels.select(F.col("doc").alias("b"), F.col("label").alias("lb"))
-        out = pairs.join(la, "a", "left").join(lb, "b", "left")
-        return out.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-
-    rest = written(apart(likely.select("a", "b").join(links, ["a", "b"], "left_anti").join(best, ["a", "b"], "left_anti")), "dup-rest")
+    rest = written(_labelled(likely.join(best, ["a", "b"], "left_anti"), labels).select("a", "b"), "dup-rest")
     if not rest.isEmpty():
-        more = _verify(docs, rest)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-
-    # Buckets of three or more in several components: all but the pivot's pairs are still to be compared.  First the
-    # likeliest pair of each two components, since one link joins them; in the last round every pair that is left.
-    tested = likely.select("a", "b")
-    for most in ROUNDS:
-        cross = _cross(shared, labels, reps, most).join(tested, ["a", "b"], "left_anti")
-        if most is not None:
-            best_first = W.partitionBy("la", "lb").orderBy(F.col("est").desc(), "a", "b")
-            cross = cross.withColumn("k", F.row_number().over(best_first)).filter(F.col("k") <= most)
-        cross = written(cross.select("a", "b").distinct(), "dup-cross")
-        if cross.isEmpty():
-            if most is None:
-                break
-            continue
-        more = _verify(docs, cross)
-        tested = tested.union(cross)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-    return labels
-
-
-def _cross(shared: DataFrame, labels: DataFrame, reps: DataFrame, most: int | None) -> DataFrame:
-    """a, b, est, la, lb: pairs across components in common buckets, the ``most`` best of each block pair and two components."""
-    at = shared.filter("members > 2").join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    at = written(at.select("key", "doc", "label", "members"), "dup-at")
+        labels = _joined(labels, _verify(docs, rest))
+    # Buckets of three or more in several components: all but the pivot's pairs are still to be compared.
+    return _joined(labels, _cross(docs, shared, labels, reps))
+
+
+def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pairs`` whose documents lie in different components, with these (la below lb)."""
+    la, lb = (labels.select(F.col("doc").alias(x), F.col("label").alias(f"l{x}")) for x in ("a", "b"))
+    out = pairs.join(small(la), "a", "left").join(small(lb), "b", "left")
+    out = out.withColumn("x", F.coalesce("la", "a")).withColumn("y", F.coalesce("lb", "b")).filter("x != y")
+    return out.drop("la", "lb").withColumn("la", F.least("x", "y")).withColumn("lb", F.greatest("x", "y")).drop("x", "y")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after components that ``links`` connect are one; a component counts as one node, however large."""
+    if links.isEmpty():
+        return labels
+    between = _labelled(links, labels).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    merged = components(between).select(F.col("doc").alias("old"), F.col("label").alias("new"))
+    moved = labels.join(small(merged), F.col("label") == F.col("old"), "left").select("doc", F.coalesce("new", "label").alias("label"))
+    # Documents that were alone so far are their own labels.
+    fresh = merged.join(small(labels.select(F.col("doc").alias("known"))), F.col("old") == F.col("known"), "left_anti").select(F.col("old").alias("doc"), F.col("new").alias("label"))
+    return written(moved.union(fresh), "dup-labels")
+
+
+def _cross(docs: DataFrame, shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between components within buckets, found block by block on full sets."""
+    at = shared.filter("members > 2").join(small(labels), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    at = written(at.select("key", "doc", "band", "label", "members"), "dup-at")
     mixed_ = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
-    open_ = at.join(mixed_, "key").join(reps.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc")
+    open_ = written(at.join(small(mixed_), "key"), "dup-open")
+    sets = _sets(docs, open_.select("doc"))
+    open_ = open_.join(reps.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc").join(sets, "doc")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
     others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    open_ = open_.withColumn("p", F.explode(others)).select("key", "doc", "label", "n", "sketch", "block", "p.i", "p.j")
-    return open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across(most), "a long, b long, est double, la long, lb long")
+    open_ = open_.withColumn("p", F.explode(others)).select("key", "doc", "band", "label", "n", "sketch", "hashes", "block", "p.i", "p.j")
+    return written(open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across, "a long, b long"), "dup-cross")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
