@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill import scratch
+
 #: A word: a longest run of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Tables of at most so many rows may be broadcast; larger ones are joined by shuffle.
@@ -23,3 +28,26 @@ def word_count(text: Column) -> Column:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark for broadcast if ``df`` (cheap to evaluate, narrow rows) is checked to be small; else leave the join to Spark."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots as underscores after ``spark.sql.``) for the jobs that run meanwhile."""
+    before = {k: spark.conf.get(f"spark.sql.{k.replace('_', '.')}") for k in values}
+    for k, v in values.items():
+        spark.conf.set(f"spark.sql.{k.replace('_', '.')}", v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k.replace('_', '.')}", v)
+
+
+#: Rows that go to Python at a time: texts are large, and a task holds a batch in several forms.
+BATCH_ROWS = "1000"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``scratch.written`` with batches for Python that suit whole texts."""
+    with settings(df.sparkSession, execution_arrow_maxRecordsPerBatch=BATCH_ROWS):
+        return scratch.written(df, name)

@@ -28,9 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import BROADCAST_ROWS, small
+from pagemill.llm.common import BROADCAST_ROWS, small, written
 from pagemill.llm.hashing import shingles, word_hashes
-from pagemill.scratch import written
 
 #: Buckets of a sketch (a power of two), and bits kept after the leading one.
 BUCKET_BITS, MANTISSA = 7, 10

@@ -16,12 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.common import written
 from pagemill.llm.hashing import repeated, windows, word_hashes
-from pagemill.scratch import written
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -57,18 +56,17 @@ def text_stats(data: bytes, words: np.ndarray) -> tuple[int, ...]:
     return n, chars, int(by[list(SYMBOLS)].sum()), len(lines) - len(set(lines)), covered, len(lines), upper, letters, int(by[33] + by[63]), int(by[48:58].sum()), int((words[1:] == words[:-1]).sum())
 
 
-def _add_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stats(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        texts = [t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        texts = [t or b"" for t in batch]
         rows = np.array([text_stats(t, h) for t, h in zip(texts, word_hashes(texts), strict=True)], dtype=np.int64).reshape(-1, len(STATS))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(rows[:, k].copy()) for k in range(len(STATS)))], names=[*batch.schema.names[:-1], *STATS])
+        yield pd.DataFrame(rows, columns=list(STATS))
 
 
 def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` and STATS (which replace columns of their names)."""
-    kept = docs.select([c for c in keep if c not in STATS])
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + [f"{s} long" for s in STATS])
-    return docs.select(*kept.columns, F.col("text").cast("binary").alias("_bytes")).mapInArrow(_add_stats, schema)
+    stats = F.pandas_udf(_stats, ", ".join(f"{s} long" for s in STATS))(F.col("text").cast("binary"))
+    return docs.select(*[c for c in keep if c not in STATS], stats.alias("_stats")).select(*[c for c in keep if c not in STATS], "_stats.*")
 
 
 def features(s: pd.DataFrame) -> np.ndarray:

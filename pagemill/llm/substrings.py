@@ -29,9 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagemill.llm.common import BROADCAST_ROWS
+from pagemill.llm.common import BATCH_ROWS, BROADCAST_ROWS, settings, written
 from pagemill.llm.hashing import Powers, mixed, repeated, windows, word_hashes
-from pagemill.scratch import written
 
 #: Words of a window, and of the grams whose smallest hash represents it.
 WINDOW, GRAM = 20, 8
@@ -150,7 +149,8 @@ class FingerprintIndex:
     def _save(self, df: DataFrame) -> str:
         """``df`` must be partitioned by m in as many parts as there are buckets."""
         table = f"fingerprints_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.buckets, "m").sortBy("m", "c").saveAsTable(table)
+        with settings(self.spark, execution_arrow_maxRecordsPerBatch=BATCH_ROWS):
+            df.write.bucketBy(self.buckets, "m").sortBy("m", "c").saveAsTable(table)
         return table
 
     @staticmethod
