@@ -6,6 +6,11 @@ weak secret candidates of a text become intervals, and an interval join within s
 a weak candidate only if a complementary part lies in its scope.  The parts of a text never leave its row, so the
 join runs on sorted starts inside the task.
 
+A candidate may be a value (``key=...``) and may stand inside its endpoint: the password in an endpoint's userinfo
+(``://user:password@``, of 6 characters or more, whatever the scheme) has its identifier and endpoint beside it, and an
+endpoint is complementary to a candidate among its own parameters (after ``?`` or ``#``).  To a candidate in its own
+path it is not: long paths are no secrets.
+
 Defined cases: a null text is empty; repeated rows each get their spans; an empty table gives no rows.  Positions are
 code points, ends exclusive.  Added spans never overlap base spans.
 """
@@ -13,7 +18,7 @@ code points, ends exclusive.  Added spans never overlap base spans.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,7 +36,9 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Parts for linking.
 IDENTIFIER = re.compile(r"""(?:client_?id|access_?key(?:_?id)?|account(?:_?id)?|user(?:name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}""", re.IGNORECASE | re.ASCII)
 ENDPOINT = re.compile(r"""(?:https?|s3|ftp|postgres(?:ql)?|mysql|mongodb)://[^\s"'<>]{4,}|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}""", re.IGNORECASE | re.ASCII)
-WEAK = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+WEAK = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+#: User and password; a password with slashes, which a URL should not hold, must look secret.
+USERINFO = re.compile(r"""://([^\s"'<>/?#:@]*):([^\s"'<>/?#]{6,}|[A-Za-z0-9+/_=-]{20,})@""")
 #: Greatest distance, in code points, between parts of one credential.
 SCOPE = 240
 
@@ -52,15 +59,23 @@ def _looks_secret(token: str) -> bool:
     return bool(re.search(r"[0-9]", token) and re.search(r"[a-z]", token) and re.search(r"[A-Z]", token)) and len(set(token)) >= 10
 
 
-def _near(starts: list[int], ends: list[int], start: int, end: int) -> bool:
-    """Does one of the intervals, ascending and apart, lie within SCOPE of [start, end)?"""
-    i = bisect_left(ends, start - SCOPE)
-    return i < len(starts) and starts[i] <= end + SCOPE
+def _near(parts: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Does one of the intervals, ascending and apart, lie within SCOPE of [start, end) without overlapping it?"""
+    before, after = bisect_right(parts, start, key=lambda p: p[1]) - 1, bisect_left(parts, end, key=lambda p: p[0])
+    return (before >= 0 and parts[before][1] >= start - SCOPE) or (after < len(parts) and parts[after][0] <= end + SCOPE)
+
+
+def _among_parameters(endpoints: list[tuple[int, int]], text: str, start: int) -> bool:
+    """Does ``start`` lie in one of the intervals, after its ``?`` or ``#``?"""
+    i = bisect_right(endpoints, start, key=lambda p: p[0]) - 1
+    return i >= 0 and start < endpoints[i][1] and any(text.find(c, endpoints[i][0], start) >= 0 for c in "?#")
 
 
 def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    users = [m for m in USERINFO.finditer(text) if "/" not in m[2] or _looks_secret(m[2])] if "://" in text else []
+    passwords = [m.span(2) for m in users]
     weak = [m.span() for m in WEAK.finditer(text) if _looks_secret(m.group())]
-    if not weak:
+    if not weak and not passwords:
         return []
     taken, high = [], 0
     for s, e, _ in base:  # disjoint cover of the base spans
@@ -70,15 +85,15 @@ def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
             taken.append([s, e])
             high = e
     starts = [t[0] for t in taken]
-    identifiers = sorted([m.span() for m in IDENTIFIER.finditer(text)] + [(s, e) for s, e, k in base if k == "access"])
-    parts = [_flat(identifiers), _flat([m.span() for m in ENDPOINT.finditer(text)])]
-    out = []
+    free = lambda s, e: (i := bisect_left(starts, e) - 1) < 0 or taken[i][1] <= s
+    out = [(s, e, "linked") for s, e in passwords if free(s, e)]
+    identifiers = _flat(sorted([m.span() for m in IDENTIFIER.finditer(text)] + [(s, e) for s, e, k in base if k == "access"] + [m.span(1) for m in users if m[1]]))
+    endpoints = [m.span() for m in ENDPOINT.finditer(text)]
     for s, e in weak:
-        i = bisect_left(starts, e) - 1
-        if i >= 0 and taken[i][1] > s:
+        i = bisect_right(passwords, s, key=lambda p: p[0]) - 1
+        if not free(s, e) or (i >= 0 and passwords[i][1] > s):
             continue
-        others = [[p for p in part if p[1] <= s or p[0] >= e] for part in parts]
-        if any(_near([p[0] for p in o], [p[1] for p in o], s, e) for o in others):
+        if _near(identifiers, s, e) or _near(endpoints, s, e) or _among_parameters(endpoints, text, s):
             out.append((s, e, "linked"))
     return out
 
