@@ -96,14 +96,14 @@ def _gather(k: int):
                 q, c, qm, cm = _pair(row)
                 lists, own = _lists(qm, cm), q[:, None] == c[None, :]
                 total = sum(lists[1:], lists[0])
-                best = np.zeros(own.shape, dtype=bool)
+                best, most = np.zeros(own.shape, dtype=bool), min(k, len(c))
                 for scores in lists:
                     scores = np.where(own, _LEAST, scores)
-                    top = np.argpartition(-scores, min(k, scores.shape[1] - 1), axis=1)[:, :k]
+                    # Ascending: negated, _LEAST would stay the least.
+                    top = np.argpartition(scores, -most, axis=1)[:, -most:]
                     np.put_along_axis(best, top, True, axis=1)
                 best &= ~own
-                found = np.where(best, total, _LEAST)
-                top = -np.sort(-found, axis=1)[:, :k]
+                top = np.partition(np.where(best, total, _LEAST), -most, axis=1)[:, -most:]
                 i, j = np.nonzero(top > _LEAST)
                 yield pa.RecordBatch.from_arrays([pa.array(q[i]), pa.array(top[i, j])], names=["query_id", "score"])
 

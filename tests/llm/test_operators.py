@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,6 +235,21 @@ def test_topk_cases(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_every_query_gets_a_cutoff(spark, monkeypatch):
+    """Of blocks much larger than what is marked in them, whose vectors are their queries' best in all lists."""
+    rng, kept = np.random.default_rng(6), {}
+    rows = [(i, v) for i, v in enumerate(rng.uniform(-1, 1, (600, 8)).tolist())]
+    monkeypatch.setattr(topk, "written", lambda df, name, real=topk.written: kept.setdefault(name, real(df, name)))
+    check_topk(topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), rows)
+    want, cuts = brute.top_k(rows), {r.query_id: r.score for r in kept["topk-cutoffs"].collect()}
+    assert set(cuts) == set(range(0, 600, 50)) and all(cuts[q] <= want[q][-1][2] for q in cuts)
+    ids, v = np.arange(400, dtype=np.int64), rng.integers(-9, 9, (400, 8))
+    v[:20] = v[20] * np.arange(1, 21)[:, None]
+    row = {"dim": 8, "q_dim": 8, "ids": ids.tobytes(), "rows": v.tobytes(), "q_ids": ids[19:20].tobytes(), "q_rows": v[19:20].tobytes()}
+    out = next(iter(topk._gather(5)([pa.RecordBatch.from_pylist([row])])))
+    assert sorted(out.column("score").to_pylist()) == sorted((v[14:19] @ v[19]).tolist())
+
+
 # 5
 
 
