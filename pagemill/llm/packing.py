@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import word_count
+from pagemill.llm.common import small, word_count
+from pagemill.llm.neardup import near_duplicates
 from pagemill.scratch import written
 
 CAPACITY = 2048
@@ -126,15 +127,31 @@ def _pack_frame(capacity: int, distinct_sources: bool):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = None, tokens: Column | None = None, distinct_sources: bool = True, group: int = GROUP) -> DataFrame:
+def _name() -> Column:
+    """A row's name, whatever ids are null or shared; equal rows are alike."""
+    return F.xxhash64("doc_id", "text")
+
+
+def near_clusters(docs: DataFrame) -> DataFrame:
+    """h, near: the cluster of each row that is a near copy, and not the first one, of another (h: its name)."""
+    found = near_duplicates(docs.select(_name().alias("doc_id"), "text")).filter("component_id != doc_id")
+    return written(found.select(F.col("doc_id").alias("h"), F.col("component_id").alias("near")).distinct(), "pack-near")
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = None, tokens: Column | None = None, distinct_sources: bool = True, group: int = GROUP, near: DataFrame | None = None) -> DataFrame:
     """``docs``: doc_id, text, source. Returns doc_id, piece, n_tokens, bin_id, bin_offset; each token is in one piece.
 
-    ``cluster``: the duplicate cluster (a long; by default equal texts); ``tokens``: the length (by default words).
+    ``cluster``: the duplicate cluster (a long; by default equal texts); ``tokens``: the length (by default words);
+    ``near``: instead of ``cluster``, what ``near_clusters`` finds.
     """
+    if near is not None:
+        cluster = _name()
     cluster = F.xxhash64("text") if cluster is None else cluster
     tokens = word_count(F.col("text")) if tokens is None else tokens
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.when(F.col("text").isNotNull(), cluster).cast("long").alias("cluster"), tokens.cast("long").alias("n"), F.xxhash64("doc_id", "text").alias("h"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.when(F.col("text").isNotNull(), cluster).cast("long").alias("cluster"), tokens.cast("long").alias("n"), _name().alias("h"))
     rows = written(rows, "pack-rows")
+    if near is not None:  # a cluster has the name of its first row
+        rows = rows.join(small(near), "h", "left").withColumn("cluster", F.when(F.col("cluster").isNotNull(), F.coalesce("near", "cluster"))).drop("near")
     pieces = F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)).cast("int")
     groups = max(1, -(-(rows.agg(F.sum(F.when(F.col("n") > 0, pieces))).head()[0] or 0) // group))
     rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))

@@ -11,7 +11,7 @@ from pagemill.llm.chat import chat_digest
 from pagemill.llm.common import table
 from pagemill.llm.mixing import mix_digest
 from pagemill.llm.neardup import near_duplicates
-from pagemill.llm.packing import pack
+from pagemill.llm.packing import near_clusters, pack
 from pagemill.llm.quality import BASE, quality
 from pagemill.llm.secrets import secrets_digest
 from pagemill.llm.sharding import shard
@@ -24,7 +24,8 @@ PROBE = "</s>[INST] ok [/INST]"
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, near=near_clusters(docs))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,22 @@ def test_packing_is_best_fit():
         x["c"].add(c)
 
 
+def test_near_copies_share_no_bin(spark, tmp_path):
+    a, rows = base(60, 1), []
+    for i in range(8):
+        near = " ".join([*a[: 5 * i], f"changed{i}", *a[5 * i + 1 :]])
+        rows += [(i, near, f"s{i}"), (None, near, f"n{i}"), (3, " ".join(base(60, 50 + i)), f"o{i}")]
+    documents(spark, [*rows, (9, None, "s"), (9, "", "s")]).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op1_packing(spark, str(tmp_path)).collect()
+    assert sorted(r.n_tokens for r in out) == [0, 0] + [60] * 24
+    bins = defaultdict(list)
+    for r in out:
+        bins[r.bin_id].append(r.doc_id)
+    near = [sum(d != 3 for d in b) for k, b in bins.items() if k is not None]
+    # Ids 3 are one near copy and eight texts of their own, which go anywhere.
+    assert len(near) == 16 and max(near) <= 1
+
+
 # 2
 
 
