@@ -2,8 +2,9 @@ r"""URL filters: pattern rules fetched by their rarest literal token, and domain
 
 A pattern rule is a regular expression with a verdict.  Its literal tokens are the runs of [a-z0-9] of three or more
 characters that every match must contain; of these the one that the fewest of the given urls hold becomes its key.
+Where groups and optional parts leave a choice, a rule has several keys of which every match holds one.
 A url's tokens fetch the rules with those keys, and only these run their expressions.  A rule without any literal
-token has the empty key, which every url fetches.
+token (of the rules below: the one with ``porn[a-z]*``) has the empty key, which every url fetches.
 
 Domain rules (host suffix and path prefix) come first; the pattern rules judge what no domain rule fits.
 
@@ -16,7 +17,9 @@ repeated page_id stay rows of their own.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from re import _constants as code
+from re import _parser as parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +87,41 @@ def literal_tokens(pattern: str) -> list[str]:
     return re.findall(rf"(?<=[^a-z0-9\x00])({_TOKEN})(?=[^a-z0-9\x00])", flat)
 
 
+#: Ways through a pattern that are followed at most.
+_WAYS = 256
+
+
+def _ways(parsed: Iterable) -> list[str]:
+    """What each way through a parsed pattern spells: its literals, / for other delimiters and ends, NUL for the unknown."""
+    ways = [""]
+    for op, arg in parsed:
+        if op is code.LITERAL:
+            tails = [chr(arg)]
+        elif op is code.IN and all(o is code.LITERAL and not re.match("[a-z0-9]", chr(x)) for o, x in arg):
+            tails = ["/"]
+        elif op is code.AT and arg in (code.AT_BEGINNING, code.AT_END):
+            tails = ["/"]
+        elif op is code.SUBPATTERN and not arg[1] and not arg[2]:
+            tails = _ways(arg[3])
+        elif op is code.BRANCH:
+            tails = [w for branch in arg[1] for w in _ways(branch)]
+        elif op in (code.MAX_REPEAT, code.MIN_REPEAT) and tuple(arg[:2]) == (0, 1):
+            tails = ["", *_ways(arg[2])]
+        else:
+            tails = ["\x00"]
+        ways = [w + t for w in ways for t in (tails if len(ways) * len(tails) <= _WAYS else ["\x00"])]
+    return ways
+
+
+def token_sets(pattern: str) -> list[list[str]]:
+    """Sets of tokens; every match of the pattern holds, as a whole token, at least one of each set."""
+    ways = [re.findall(rf"(?<=[^a-z0-9\x00])({_TOKEN})(?=[^a-z0-9\x00])", w) for w in _ways(parser.parse(pattern))]
+    common = set(literal_tokens(pattern)).union(set.intersection(*map(set, ways)))
+    others = [[t for t in w if t not in common] for w in ways]
+    choice = sorted({max(w, key=lambda t: (len(t), t)) for w in others}) if all(others) else []
+    return [[t] for t in sorted(common)] + ([choice] if len(choice) > 1 else [])
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path."""
     url = F.coalesce(url, F.lit(""))
@@ -102,14 +140,15 @@ def domain_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
 
 
 def pattern_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """``urls``: url; ``rules``: pattern, kind, tokens. Returns url, pattern, kind for each distinct url that a rule matches."""
+    """``urls``: url; ``rules``: pattern, kind, tokens (sets of which every match holds a token). Returns url, pattern, kind for each distinct url that a rule matches."""
     rules = rules.dropDuplicates(["pattern"])
     lower = F.lower(F.coalesce("url", F.lit("")))
     words = urls.select("url", lower.alias("low"), F.explode(F.array_distinct(F.concat(F.regexp_extract_all(lower, F.lit(f"({_TOKEN})"), F.lit(1)), F.array(F.lit(""))))).alias("token"))
-    keys = rules.select("pattern", F.explode_outer("tokens").alias("token")).withColumn("token", F.coalesce("token", F.lit("")))
+    keys = rules.select("pattern", F.posexplode_outer("tokens").alias("at", "set")).select("pattern", "at", F.explode_outer("set").alias("token")).withColumn("token", F.coalesce("token", F.lit("")))
     names = small(keys.select("token").distinct())
     held = words.join(names, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rarest = keys.join(held, "token", "left").groupBy("pattern").agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
+    sets = keys.join(held, "token", "left").groupBy("pattern", "at").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.array_sort(F.collect_set("token")).alias("set"))
+    rarest = sets.groupBy("pattern").agg(F.min_by("set", F.struct("n", "set")).alias("set")).select("pattern", F.explode("set").alias("token"))
     index = written(rules.select("pattern", "kind").join(rarest, "pattern"), "url-index")
     found = words.join(small(index), "token").filter("regexp_like(low, pattern)")
     best = F.max(F.struct(F.length("pattern").alias("len"), F.when(F.col("kind") == "allow", 1).otherwise(0).alias("ok"), "pattern", "kind")).alias("m")
@@ -118,7 +157,7 @@ def pattern_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def rule_table(spark, rules: Sequence[tuple[str, str]] = PATTERN_RULES) -> DataFrame:
     """Pattern rules as a table; larger sets can be read from storage instead."""
-    return spark.createDataFrame([(p, k, literal_tokens(p)) for k, p in rules], "pattern string, kind string, tokens array<string>")
+    return spark.createDataFrame([(p, k, token_sets(p)) for k, p in rules], "pattern string, kind string, tokens array<array<string>>")
 
 
 def judge(pages: DataFrame, domains: Sequence[tuple[str, str, str]] = DOMAIN_RULES, patterns: DataFrame | None = None) -> DataFrame:

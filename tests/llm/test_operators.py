@@ -523,6 +523,24 @@ def test_url_cases(spark):
     assert urls.literal_tokens(r"[?&]replytocom=\d+") == ["replytocom"] and urls.literal_tokens(r"/checkout(?:/|\?|$)") == [] and urls.literal_tokens(r"/calendar/\d{4}") == ["calendar"]
 
 
+def test_rules_have_keys(spark, monkeypatch):
+    keyless = [p for _, p in urls.PATTERN_RULES if not urls.token_sets(p)]
+    assert keyless == [r"[./-]porn[a-z]*[./-]"]
+    assert urls.token_sets(r"\.(?:exe|apk)(?:\?|$)") == [["apk", "exe"]] and urls.token_sets(r"/(?:wp-)?login(?:\.php|/|\?|$)") == [["login"]]
+    assert urls.token_sets(r"[?&]session_?id=[0-9a-f]+") == [["session", "sessionid"]] and urls.token_sets(r"/docs?/[^?]+\.html$") == [["html"], ["doc", "docs"]]
+    for p in (r"/(?:abc|d+)/", r"/abc(?:/|x)", r"(?:/abc)?/", r"abc/", r"/abc\b", r"/abc(?=/)", r"/[a/]abc/", r"/(?i:abc)/"):
+        assert urls.token_sets(p) == [], p
+    # Every url that a rule matches holds a token of each of its sets.
+    paths = [f"{a}{b}{c}" for a in ("/", "/wp-", "?", "-", "/doc/x") for b in ("login", "sign-in", "signin", "session_id=0", "sessionid=f", "checkout", "add-to-cart", "feed", "torrents", "x.zip", ".html", "docs/a.html", "a.exe") for c in ("", "/", ".php", ".xml", "?", "-", "s/")]
+    for u in (f"http://x.test{p}" for p in paths):
+        for _, p in urls.PATTERN_RULES:
+            assert not __import__("re").search(p, u) or all(set(s) & set(__import__("re").findall(urls._TOKEN, u)) for s in urls.token_sets(p)), (p, u)
+    rows, kept = list(enumerate(f"http://x.test{p}" for p in paths)), {}
+    monkeypatch.setattr(urls, "written", lambda df, name, real=urls.written: kept.setdefault(name, real(df, name)))
+    check_urls(urls.judge(spark.createDataFrame(rows, "page_id long, url string")), rows)
+    assert kept["url-index"].filter("token = ''").count() == 1
+
+
 # pipeline
 
 
