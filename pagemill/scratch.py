@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+#: By application, the folder used where the setting is unset.
+_own: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -20,8 +22,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError(f"set {KEY} to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set(KEY, root)
+        app = spark.sparkContext.applicationId
+        root = _own[app] = _own.get(app) or "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
     return root.rstrip("/")
 
 
