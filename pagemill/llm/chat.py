@@ -5,8 +5,11 @@ each turn's text follows its own ``<t>``.  The control strings of this template
 escaped inside roles and texts by one backslash after their first character (``</s>`` becomes ``<\/s>``, and
 ``<\/s>`` becomes ``<\\/s>``), which is undone by removing one.  So the turns can be read back exactly.
 
-Defined cases: a null text or role is empty; turns sort by (turn, role, text), null turns first, and equal rows
-stay as turns of their own; null is a conversation id like any other; an empty table gives no rows.
+Defined cases: a null text or role is empty; turns sort by (turn, role, text as given), null turns first, and equal
+rows stay as turns of their own; null is a conversation id like any other; an empty table gives no rows; columns other
+than the four are left out, whatever their names.  A conversation of very many or very long turns is one string in one
+task, as its format demands; it is cut up in two steps (GROUP spans at a time), so that no step reads all of it for
+every turn.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ LEARNED = "assistant"
 _CONTROL = r"(/?s>|t>|\|[a-z_]+\|>|/?SYS>)"
 _BRACKET = r"(/?INST\])"
 OPEN, TEXT, CLOSE = "<s>", "<t>", "</s>"
+#: Spans that are cut from the text between them, rather than each from the whole conversation.
+GROUP = 256
 
 
 def escape(text: Column) -> Column:
@@ -38,35 +43,45 @@ def format_chats(turns: DataFrame) -> DataFrame:
     Returns conv_id, formatted and spans: for each turn in order whether its text carries loss, and where the text
     starts and ends (exclusive) in ``formatted``, in code points.
     """
-    role = F.coalesce("role", F.lit(""))
-    rows = turns.select("conv_id", "turn", role.alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text"), escape(role).alias("name"))
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.length(escape(text)).alias("size"))
     order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
     before = F.lag("role").over(order)
     opens = F.when(before.isNull(), len(OPEN)).when(before != F.col("role"), len(CLOSE) + len(OPEN))
-    rows = rows.withColumn("chars", F.coalesce(opens + F.length("name"), F.lit(0)) + len(TEXT) + F.length("text"))
+    rows = rows.withColumn("chars", F.coalesce(opens + F.length(escape(F.col("role"))), F.lit(0)) + len(TEXT) + F.col("size"))
     rows = rows.withColumn("end", F.sum("chars").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    sorted_ = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "end", "name"))).alias("t"))
+    sorted_ = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "end", "size"))).alias("t"))
     size = F.size("t")
     starts = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get("t", i)["role"] != F.get("t", i - 1)["role"]))
-    spans = F.transform("t", lambda x: F.struct((x["role"] == LEARNED).alias("learned"), (x["end"] - F.length(x["text"])).alias("start"), x["end"].alias("end")))
+    spans = F.transform("t", lambda x: F.struct((x["role"] == LEARNED).alias("learned"), (x["end"] - x["size"]).alias("start"), x["end"].alias("end")))
     merged = sorted_.select("conv_id", "t", starts.alias("starts"), spans.alias("spans"))
     until = lambda k: F.coalesce(F.get("starts", k + 1), size)
-    texts = lambda i, k: F.array_join(F.transform(F.slice("t", i + 1, until(k) - i), lambda x: x["text"]), TEXT)
-    blocks = F.transform("starts", lambda i, k: F.concat(F.lit(OPEN), F.get("t", i)["name"], F.lit(TEXT), texts(i, k), F.lit(CLOSE)))
+    texts = lambda i, k: F.array_join(F.transform(F.slice("t", i + 1, until(k) - i), lambda x: escape(x["text"])), TEXT)
+    blocks = F.transform("starts", lambda i, k: F.concat(F.lit(OPEN), escape(F.get("t", i)["role"]), F.lit(TEXT), texts(i, k), F.lit(CLOSE)))
     return merged.select("conv_id", F.array_join(blocks, "").alias("formatted"), "spans")
 
 
+def masked(formatted: str, spans: Column) -> Column:
+    """The texts that ``spans`` (in order) cut out of the column ``formatted``, unescaped one by one."""
+    size = F.size(spans)
+    groups = F.when(size > 0, F.transform(F.sequence(F.lit(0), F.floor((size - 1) / GROUP).cast("int")), lambda g: F.slice(spans, g * GROUP + 1, GROUP)))
+    low, high = lambda g: F.get(g, F.lit(0))["start"], lambda g: F.element_at(g, -1)["end"]
+    cut = lambda text, start, end: F.substr(text, (start + 1).cast("int"), (end - start).cast("int"))
+    pieces = F.transform(groups, lambda g: F.struct(cut(F.col(formatted), low(g), high(g)).alias("text"), low(g).alias("low"), g.alias("spans")))
+    texts = F.flatten(F.transform(pieces, lambda p: F.transform(p["spans"], lambda x: unescape(cut(p["text"], x["start"] - p["low"], x["end"] - p["low"])))))
+    return F.coalesce(texts, F.array().cast("array<string>"))
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """From ``formatted`` and ``spans``: conv_id, formatted, turns (role, text) and the texts that carry loss."""
+    """From ``formatted`` and ``spans``: conv_id, formatted, turns (role, text; from the template's marks) and learned
+    (the texts under the loss mask; from the positions in ``spans``)."""
     literal = lambda s: "\\Q" + s + "\\E"
     # No text contains a control string; what follows the last closing mark is empty.
     blocks = F.slice(F.split("formatted", literal(CLOSE), -1), 1, F.size(F.split("formatted", literal(CLOSE), -1)) - 1)
     parts = F.transform(blocks, lambda b: F.split(F.substring(b, len(OPEN) + 1, 2147483647), literal(TEXT), -1))
-    df = formatted.select("conv_id", "formatted", "spans", parts.alias("parts"))
+    df = formatted.select("conv_id", "formatted", F.filter("spans", lambda s: s["learned"]).alias("spans"), parts.alias("parts"))
     turns = F.flatten(F.transform("parts", lambda b: F.transform(F.slice(b, 2, F.size(b)), lambda x: F.struct(unescape(F.get(b, F.lit(0))).alias("role"), unescape(x).alias("text")))))
-    df = df.select("conv_id", "formatted", "spans", turns.alias("turns"))
-    learned = F.transform(F.filter("turns", lambda t, k: F.get("spans", k)["learned"]), lambda t: t["text"])
-    return df.select("conv_id", "formatted", "turns", learned.alias("learned"))
+    return df.select("conv_id", "formatted", turns.alias("turns"), masked("formatted", F.col("spans")).alias("learned"))
 
 
 def chat_digest(turns: DataFrame) -> DataFrame:
