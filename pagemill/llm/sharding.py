@@ -8,8 +8,9 @@ on C meet.  The cuts are hash values, so rows find their shard without a sort or
 
 Defined cases: a null text counts as empty; equal texts never part, even when one group outgrows a shard (C is
 then that group's size and the others are balanced around it); an empty table gives no rows; repeated rows are
-rows of their own; other columns are kept, new ones named ``size``, ``text_crc32``, ``shard``, ``slot`` replace
-columns of that name.
+rows of their own; the columns named in ``keep`` are kept whatever their names, but new ones named ``size``,
+``text_crc32``, ``shard``, ``slot`` replace columns of that name; a null doc_id is one like any other; of a very long
+text only its size and hashes leave the scan.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from pagemill.llm.common import quoted, whole_row
 from pagemill.scratch import written
 
 #: Bytes that a row costs besides its text.
@@ -139,9 +141,10 @@ def _cut(cells: _Cells, capacity: int, shards: int) -> Cuts:
 def shard(docs: DataFrame, shards: int = 24, keep: list[str] | None = None, max_cells: int = MAX_CELLS) -> DataFrame:
     """Rows of ``docs`` (``doc_id``, ``text``; ``keep`` names further columns) with size, text_crc32, shard, slot."""
     text = F.coalesce("text", F.lit(""))
-    keep = [c for c in keep or [] if c not in ("doc_id", "size", "text_crc32", "shard", "slot", "h")]
+    keep = [c for c in keep or [] if c not in ("doc_id", "size", "text_crc32", "shard", "slot")]
+    kept = [whole_row(docs, keep).alias("kept")] if keep else []
     rows = written(
-        docs.select("doc_id", *keep, (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h")),
+        docs.select("doc_id", *kept, (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h")),
         "shard-rows",
     )
     groups = written(rows.groupBy("h").agg(F.sum("size").alias("size")), "shard-groups")
@@ -154,4 +157,4 @@ def shard(docs: DataFrame, shards: int = 24, keep: list[str] | None = None, max_
     numbered = rows.withColumn("k", F.row_number().over(W.partitionBy("shard", "block").orderBy("doc_id", "h")))
     # At most shards * SLOT_BLOCKS rows of three numbers.
     out = numbered.join(F.broadcast(offsets), (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b")))
-    return out.select("doc_id", *keep, "size", "text_crc32", "shard", (F.col("before") + F.col("k") - 1).cast("long").alias("slot"))
+    return out.select("doc_id", *[F.col("kept." + quoted(c)) for c in keep], "size", "text_crc32", "shard", (F.col("before") + F.col("k") - 1).cast("long").alias("slot"))
