@@ -11,7 +11,8 @@ Domain rules (host suffix and path prefix) come first; the pattern rules judge w
 Defined cases: a null url, or one without ``://``, has an empty host and path and fits no domain rule; pattern rules
 see the whole lower-cased url (null: empty); of several that match, the one with the longest pattern decides, allow
 before block on a tie; a url that nothing matches is allowed; equal urls get equal verdicts; rows with a null or
-repeated page_id stay rows of their own.
+repeated page_id stay rows of their own; very long urls are judged whole; other columns stay, whatever their names,
+but for those that are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from collections.abc import Iterable, Sequence
 from re import _constants as code
 from re import _parser as parser
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import small
+from pagemill.llm.common import quoted, small, whole_row
 from pagemill.scratch import written
 
 #: (verdict, host, path)
@@ -155,20 +156,25 @@ def pattern_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return found.groupBy("url").agg(best).select("url", "m.pattern", "m.kind")
 
 
-def rule_table(spark, rules: Sequence[tuple[str, str]] = PATTERN_RULES) -> DataFrame:
-    """Pattern rules as a table; larger sets can be read from storage instead."""
-    return spark.createDataFrame([(p, k, token_sets(p)) for k, p in rules], "pattern string, kind string, tokens array<array<string>>")
+def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str]] = PATTERN_RULES) -> DataFrame:
+    """Pattern rules as a table of literals (no Python on the executors); larger sets can be read from storage instead."""
+    strings = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    sets = lambda p: F.array(*map(strings, token_sets(p))).cast("array<array<string>>")
+    rows = [F.struct(F.lit(p).alias("pattern"), F.lit(k).alias("kind"), sets(p).alias("tokens")) for k, p in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def judge(pages: DataFrame, domains: Sequence[tuple[str, str, str]] = DOMAIN_RULES, patterns: DataFrame | None = None) -> DataFrame:
     """``pages`` with host, path, rule, pattern and verdict (columns of these names are replaced)."""
-    pages = pages.drop("host", "path", "rule", "pattern", "verdict")
+    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "pattern", "verdict")]
+    # The caller's row is one column, so that no name of its columns can meet one of ours.
+    rows = pages.select(whole_row(pages, keep).alias("row"), F.coalesce(pages["url"], F.lit("")).alias("url"))
     host, path = split_url(F.col("url"))
-    pages = pages.withColumn("host", host).withColumn("path", path)
+    rows = rows.withColumns({"host": host, "path": path})
     rule, kind = domain_rule(F.col("host"), F.col("path"), domains)
-    pages = pages.withColumn("rule", rule).withColumn("_kind", kind)
+    rows = rows.withColumns({"rule": rule, "kind": kind})
     rules = patterns if patterns is not None else rule_table(pages.sparkSession)
-    hits = written(pattern_verdicts(pages.filter("_kind IS NULL").select("url"), rules), "url-hits")
-    hits = hits.select(F.coalesce("url", F.lit("")).alias("_url"), "pattern", F.col("kind").alias("_found"))
-    out = pages.join(small(hits), F.col("_kind").isNull() & (F.coalesce("url", F.lit("")) == F.col("_url")), "left")
-    return out.withColumn("verdict", F.coalesce("_kind", "_found", F.lit("allow"))).drop("_kind", "_found", "_url")
+    hits = written(pattern_verdicts(rows.filter("kind IS NULL").select("url"), rules), "url-hits")
+    hits = hits.select(F.col("url").alias("hit"), "pattern", F.col("kind").alias("found"))
+    out = rows.join(small(hits), F.col("kind").isNull() & (F.col("url") == F.col("hit")), "left")
+    return out.select(*[F.col("row." + quoted(c)) for c in keep], "host", "path", "rule", "pattern", F.coalesce("kind", "found", F.lit("allow")).alias("verdict"))
