@@ -11,16 +11,19 @@ Documents are packed in groups of about GROUP pieces, dealt by a hash of the row
 over all groups, and a group's work and memory are bounded.
 
 Defined cases: a document longer than the capacity is cut into pieces of the capacity and a rest, none of it lost;
-pieces of one document may not share a bin (they are one cluster); a document without words has piece 0 of 0 tokens
-and no bin (null); a null source is a source, a null cluster is none; repeated rows are packed as often as they
-come; an empty table gives no rows.
+pieces of one document may not share a bin (they are one cluster), however long it is; a document without words has
+piece 0 of 0 tokens and no bin (null); a null doc_id is kept, a null source is a source, a null cluster is none;
+repeated rows are packed as often as they come; other columns are left out, whatever their names; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,24 +108,30 @@ def pack_group(sizes: Sequence[int], sources: Sequence[int], clusters: Sequence[
     return [bins.place(int(n), int(s), int(c)) for n, s, c in zip(sizes, sources, clusters, strict=True)]
 
 
-def _pack_frame(capacity: int, distinct_sources: bool):
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["n_tokens", "cluster", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """A small number for each distinct value, null included."""
+    return column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+
+def _pack_table(capacity: int, distinct_sources: bool):
+    def run(g: pa.Table) -> pa.Table:
+        keys = (("n_tokens", "descending"), ("cluster", "ascending"), ("doc_id", "ascending"), ("piece", "ascending"), ("source", "ascending"))
+        g = g.take(pc.sort_indices(g, sort_keys=list(keys)))
+        sizes = g.column("n_tokens").to_numpy()
         # Small numbers for what can conflict in this group: -1 for what can't.
-        repeated = g["cluster"].notna() & g["cluster"].duplicated(keep=False)
-        clusters = pd.Series(-1, index=g.index)
-        clusters[repeated] = pd.factorize(g.loc[repeated, "cluster"])[0]
-        sources = pd.factorize(g["source"], use_na_sentinel=False)[0] if distinct_sources else [-1] * len(g)
-        full = g["n_tokens"] == capacity
-        rest = g[~full]
-        placed = pack_group(rest["n_tokens"].to_list(), pd.Series(sources, index=g.index)[~full].to_list(), clusters[~full].to_list(), capacity)
-        first = int(g["grp"].iloc[0]) << 32
-        bins = pd.Series(0, index=g.index, dtype="int64")
-        offsets = bins.copy()
+        known = ~g.column("cluster").is_null().to_numpy()
+        numbers, times = np.unique(g.column("cluster").fill_null(0).to_numpy()[known], return_inverse=True, return_counts=True)[1:]
+        clusters = np.full(len(sizes), -1)
+        clusters[known] = np.where(times[numbers] > 1, numbers, -1)
+        sources = _numbers(g.column("source")) if distinct_sources else np.full(len(sizes), -1)
+        full = sizes == capacity
+        placed = pack_group(sizes[~full].tolist(), sources[~full].tolist(), clusters[~full].tolist(), capacity)
+        bins, offsets = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
         bins[~full], offsets[~full] = [b for b, _ in placed], [o for _, o in placed]
         top = max((b for b, _ in placed), default=-1) + 1
-        bins[full] = range(top, top + int(full.sum()))
-        return pd.DataFrame({"doc_id": g["doc_id"], "piece": g["piece"], "n_tokens": g["n_tokens"], "bin_id": bins + first, "bin_offset": offsets})
+        bins[full] = np.arange(top, top + int(full.sum()))
+        first = g.column("grp")[0].as_py() << 32
+        return pa.Table.from_arrays([*(g.column(c) for c in ("doc_id", "piece", "n_tokens")), pa.array(bins + first), pa.array(offsets)], names=["doc_id", "piece", "n_tokens", "bin_id", "bin_offset"])
 
     return run
 
@@ -157,6 +166,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
     rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     size = F.least(F.lit(capacity), F.col("n") - F.col("piece").cast("long") * capacity)
     rows = rows.withColumn("n_tokens", size).withColumn("grp", F.pmod(F.xxhash64("h", "piece"), F.lit(groups)))
-    packed = rows.filter("n > 0").select("grp", "doc_id", "piece", "n_tokens", "source", "cluster").groupBy("grp").applyInPandas(_pack_frame(capacity, distinct_sources), _SCHEMA)
+    packed = rows.filter("n > 0").select("grp", "doc_id", "piece", "n_tokens", "source", "cluster").groupBy("grp").applyInArrow(_pack_table(capacity, distinct_sources), _SCHEMA)
     none = rows.filter("n <= 0").select("doc_id", "piece", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("long").alias("bin_id"), F.lit(None).cast("long").alias("bin_offset"))
     return packed.unionByName(none)
