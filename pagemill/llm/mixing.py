@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagemill.llm.common import small, word_count
+from pagemill.llm.common import small, whole_row, word_count
 from pagemill.scratch import written
 
 #: Bits of each histogram's hash digit, and the number of digits.
@@ -93,7 +93,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
     _, want = plan(docs, weights, most)
     want = want.select(F.col("source").alias("_s"), "times", "below")
     # Each text is hashed again here, rather than joined by doc_id, so that repeated ids can't multiply rows.
-    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("source").alias("_source"), hash_key("doc_id", "text").alias("_u"))
+    named = docs.select(whole_row(docs).alias("_row"), F.col("source").alias("_source"), hash_key("doc_id", "text").alias("_u"))
     taken = named.join(small(want), F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_n", copies(F.col("_u"))).filter("_n > 0")
     return taken.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
 

@@ -8,19 +8,21 @@
 4. Within a bucket the smallest document is compared with each other one; what the collision-corrected Jaccard
    estimate leaves is verified on full sets: first one partner for each document, then the rest between different
    components.
-5. Buckets that still hold several components compare their documents in blocks, across components only, on full
-   sets and by falling estimate, until a link has joined two components or every pair has been tried.  So no link
-   that a bucket can show is lost, and no group of copies is expanded into rows for its pairs.
+5. Buckets that still hold several components compare their documents in blocks, across components only: first by
+   sketches alone, which leaves the documents that have a likely partner, then those on full sets and by falling
+   estimate, until a link has joined two components or every pair has been tried.  So no link that a bucket can show is
+   lost, and no group of copies is expanded into rows for its pairs.
 6. Components come from min-label propagation with pointer jumping over the verified links, in Spark.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a text of fewer than 5 words
-is one shingle; rows that share a doc_id count as one document; a null doc_id takes no part (component null, kept);
-an empty table gives no rows; other columns stay out of the way.
+is one shingle; very long texts are hashed whole, in parts; rows that share a doc_id are one document: what any of
+their texts links with is in one component with all of them, n_shingles is each row's own; a null doc_id takes no part
+(component null, kept); an empty table gives no rows; other columns stay out of the way, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import BROADCAST_ROWS, small, written
+from pagemill.llm.common import BROADCAST_ROWS, small, whole_row, written
 from pagemill.llm.hashing import shingles, word_hashes
 
 #: Buckets of a sketch (a power of two), and bits kept after the leading one.
@@ -42,8 +44,10 @@ BANDS = BUCKETS // ROWS
 PERCENT = 75
 #: Estimates this many standard errors below the threshold are dropped unverified.
 SIGMAS = 4.5
-#: Documents in a block when a bucket is compared across components.
-BLOCK = 256
+#: Documents in a block when a bucket is compared across components, by sketches and by full sets.
+WIDE, BLOCK = 2048, 256
+#: Pairs with one document that are worked on together at most; more are dealt out.
+PART = 4096
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -187,13 +191,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
-def _block_links(rows: pa.Table) -> pa.RecordBatch | None:
-    """Links between documents of a block pair, as many as join what can be joined.
-
-    Pairs in different components come by falling estimate; a pair whose components a link has joined meanwhile has
-    nothing to add.  Pairs that share an earlier band are met there.
-    """
-    col = {c: rows.column(c).to_numpy() for c in ("doc", "label", "n", "block", "i", "j", "band")}
+def _candidates(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Likely pairs between components of a block pair: their rows and estimates. Pairs that share an earlier band are met there."""
+    col = {c: rows.column(c).to_numpy() for c in ("label", "n", "block", "i", "j", "band")}
     regs = _matrix(rows.column("sketch").combine_chunks())
     keys, band = band_keys(regs), int(col["band"][0])
     first = np.nonzero(col["block"] == col["i"])[0]
@@ -213,9 +213,26 @@ def _block_links(rows: pa.Table) -> pa.RecordBatch | None:
         est, cutoff = estimates(regs[p], regs[q], n[p], n[q])
         parts.append(np.where(est >= cutoff, est, -1.0))
     est = np.concatenate(parts)
-    ps, qs, est = ps[est >= 0], qs[est >= 0], est[est >= 0]
+    return ps[est >= 0], qs[est >= 0], est[est >= 0]
+
+
+def _block_live(rows: pa.Table) -> pa.RecordBatch | None:
+    """The documents of a block pair that have a likely partner."""
+    ps, qs, _ = _candidates(rows)
+    at = np.unique(np.concatenate((ps, qs)))
+    return pa.RecordBatch.from_arrays([pa.array(rows.column(c).to_numpy()[at]) for c in ("key", "doc")], names=["key", "doc"]) if len(at) else None
+
+
+def _block_links(rows: pa.Table) -> pa.RecordBatch | None:
+    """Links between documents of a block pair, as many as join what can be joined.
+
+    Pairs in different components come by falling estimate; a pair whose components a link has joined meanwhile has
+    nothing to add.
+    """
+    ps, qs, est = _candidates(rows)
     if not len(ps):
         return None
+    doc, label = rows.column("doc").to_numpy(), rows.column("label").to_numpy()
     sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("hashes")]
     top: dict[int, int] = {}
 
@@ -227,37 +244,41 @@ def _block_links(rows: pa.Table) -> pa.RecordBatch | None:
     a, b = [], []
     for k in np.argsort(-est, kind="stable"):
         p, q = ps[k], qs[k]
-        x, y = root(int(col["label"][p])), root(int(col["label"][q]))
+        x, y = root(int(label[p])), root(int(label[q]))
         if x != y and _link(sets[p], sets[q]):
             top[max(x, y)] = min(x, y)
-            a.append(min(col["doc"][p], col["doc"][q]))
-            b.append(max(col["doc"][p], col["doc"][q]))
+            a.append(min(doc[p], doc[q]))
+            b.append(max(doc[p], doc[q]))
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_block_pair(work: Callable[[pa.Table], pa.RecordBatch | None]):
     """Rows sorted by (key, i, j), a block pair after the other."""
-    held: list[pa.Table] = []
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        if held:
-            out = _block_links(pa.concat_tables(held))
-            held.clear()
-            if out is not None:
-                yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
 
-    last = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        ids = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
-        starts = np.nonzero((ids[1:] != ids[:-1]).any(axis=1))[0] + 1
-        for s, e in zip([0, *starts], [*starts, len(ids)], strict=True):
-            if s < e:
-                if last is not None and tuple(ids[s]) != last:
-                    yield from flush()
-                held.append(rows.slice(s, e - s))
-                last = tuple(ids[s])
-    yield from flush()
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                out = work(pa.concat_tables(held))
+                held.clear()
+                if out is not None:
+                    yield out
+
+        last = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            ids = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
+            starts = np.nonzero((ids[1:] != ids[:-1]).any(axis=1))[0] + 1
+            for s, e in zip([0, *starts], [*starts, len(ids)], strict=True):
+                if s < e:
+                    if last is not None and tuple(ids[s]) != last:
+                        yield from flush()
+                    held.append(rows.slice(s, e - s))
+                    last = tuple(ids[s])
+        yield from flush()
+
+    return run
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -282,11 +303,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _dealt(pairs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``pairs`` (a, b) with ``part``, so that one ``a`` of very many pairs is several tasks' work, and a function that
+    gives rows named by ``a`` a copy for each of its parts."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).filter("parts > 1")
+    many = small(written(many, "dup-parts"))
+    of = F.coalesce("parts", F.lit(1))
+    dealt = pairs.join(many, "a", "left").withColumn("part", F.pmod(F.xxhash64("b"), of).cast("int")).drop("parts")
+    return dealt, lambda rows: rows.join(many, "a", "left").withColumn("part", F.explode(F.sequence(F.lit(0), of - 1))).drop("parts")
+
+
 def _with_sketches(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     a = reps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ska"))
     b = reps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("skb"))
     close = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
-    return pairs.join(a, "a").join(b, "b").filter(close).select("a", "b", "na", "nb", "ska", "skb")
+    pairs, copied = _dealt(pairs)
+    return pairs.join(copied(a), ["a", "part"]).join(b, "b").filter(close).select("a", "b", "na", "nb", "ska", "skb")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -300,23 +332,24 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link by their full shingle sets."""
     sets = _sets(docs, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))))
     one, two = sets.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("doc").alias("b"), F.col("hashes").alias("y"))
-    checked = one.join(small(pairs.select("a", "b")), "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
+    dealt, copied = _dealt(pairs.select("a", "b"))
+    checked = copied(one).join(small(dealt), ["a", "part"]).join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
     return written(checked.distinct(), "dup-links")
 
 
-def link(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Labels (doc, label) of the representatives of equal sets that link with another one."""
+def link(docs: DataFrame, rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Labels (doc, label) of the representatives of equal sets that link with another one, or that ``known`` (a, b) links."""
     reps = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     reps = written(reps.select("doc_id", "n", "sketch"), "dup-reps")
     bands = written(reps.select("doc_id", "sketch").mapInArrow(_explode_bands, "key long, doc long, band int"), "dup-bands")
     buckets = bands.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(bands.join(buckets, "key"), "dup-shared")
 
-    stars = shared.filter("doc != pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = written(shared.filter("doc != pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "dup-stars")
     likely = written(_with_sketches(stars, reps).mapInArrow(_likely, "a long, b long, est double"), "dup-likely")
     best = written(likely.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b"), "dup-best")
     links = _verify(docs, best)
-    labels = components(links)
+    labels = components(links.union(known) if known is not None else links)
 
     rest = written(_labelled(likely.join(best, ["a", "b"], "left_anti"), labels).select("a", "b"), "dup-rest")
     if not rest.isEmpty():
@@ -345,46 +378,72 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.union(fresh), "dup-labels")
 
 
+def _in_blocks(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (key, doc, members, ...) once for each pair of blocks of their key that they belong to."""
+    blocks = F.ceil(F.col("members") / size).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
+    rows = rows.withColumn("p", F.explode(others)).select(*rows.columns, "p.i", "p.j")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def _cross(docs: DataFrame, shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links (a, b) between components within buckets, found block by block on full sets."""
+    """Links (a, b) between components within buckets, found block by block."""
     at = shared.filter("members > 2").join(small(labels), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     at = written(at.select("key", "doc", "band", "label", "members"), "dup-at")
     mixed_ = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
-    open_ = written(at.join(small(mixed_), "key"), "dup-open")
-    sets = _sets(docs, open_.select("doc"))
-    open_ = open_.join(reps.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc").join(sets, "doc")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    open_ = open_.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    open_ = open_.withColumn("p", F.explode(others)).select("key", "doc", "band", "label", "n", "sketch", "hashes", "block", "p.i", "p.j")
-    return written(open_.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across, "a long, b long"), "dup-cross")
+    open_ = at.join(small(mixed_), "key").join(reps.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc")
+    open_ = written(open_.select("key", "doc", "band", "label", "members", "n", "sketch"), "dup-open")
+    live = written(_in_blocks(open_, WIDE).mapInArrow(_by_block_pair(_block_live), "key long, doc long").distinct(), "dup-live")
+    if live.isEmpty():
+        return live.select(F.col("doc").alias("a"), F.col("doc").alias("b"))
+    members = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    rows = open_.drop("members").join(small(live), ["key", "doc"]).join(small(members), "key").join(_sets(docs, live.select("doc")), "doc")
+    return written(_in_blocks(rows, BLOCK).mapInArrow(_by_block_pair(_block_links), "a long, b long"), "dup-cross")
+
+
+def _shared_ids(rows: DataFrame) -> DataFrame:
+    """doc_id, n, s1, s2 of the rows whose doc_id has several different sets."""
+    differ = [f"{f}({c})" for c in ("s1", "s2") for f in ("min", "max")]
+    ids = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*map(F.expr, differ)).filter(f"`{differ[0]}` != `{differ[1]}` OR `{differ[2]}` != `{differ[3]}`")
+    return written(rows.join(small(written(ids.select("doc_id"), "dup-ids")), "doc_id").select("doc_id", "n", "s1", "s2"), "dup-shared-ids")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, for each row of ``docs`` (doc_id, text)."""
     rows = written(sketches(docs), "dup-sketches")
-    labels = link(docs, rows).withColumnRenamed("doc", "rep")
     sets = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    sets = sets.join(labels, "rep", "left").filter("copies > 1 OR label IS NOT NULL")
-    sets = written(sets.select("s1", "s2", F.coalesce("label", "rep").alias("component")), "dup-components")
-    named = sets.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), "component")
-    out = rows.join(small(named), (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")) & (F.col("n") > 0), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    several = _shared_ids(rows)
+    alone = several.isEmpty()
+    known = None if alone else several.filter("n > 0").join(sets, ["s1", "s2"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    labels = link(docs, rows, known).withColumnRenamed("doc", "rep")
+    named = sets.join(labels, "rep", "left").filter("copies > 1 OR label IS NOT NULL")
+    named = written(named.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("label", "rep").alias("component")), "dup-components")
+
+    def with_component(some: DataFrame) -> DataFrame:
+        return some.join(small(named), (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")) & (F.col("n") > 0), "left")
+
+    out = with_component(rows).withColumn("component", F.coalesce("component", "doc_id"))
+    if not alone:  # all rows of such an id, those without words too
+        ids = with_component(several).groupBy(F.col("doc_id").alias("id")).agg(F.min(F.coalesce("component", "doc_id")).alias("common"))
+        out = out.join(small(written(ids, "dup-common")), F.col("doc_id") == F.col("id"), "left").withColumn("component", F.coalesce("common", "component"))
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near-duplicates the one with the smallest doc_id.
 
-    Rows with a null doc_id stay; of rows that share a doc_id and stay, one does.
+    Rows with a null doc_id stay; of rows that share a doc_id and stay, one does.  The columns stay, whatever their names.
     """
     found = written(near_duplicates(docs), "dup-found")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(small(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
-    twice = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_twice"))
+    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
+    rows = docs.select(whole_row(docs).alias("row"), docs["doc_id"].cast("long").alias("doc_id"))
+    out = rows.join(small(gone), "doc_id", "left_anti")
+    twice = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     twice = written(twice, "dup-twice")
-    if twice.isEmpty():
-        return out
-    # Rows that share an id are rare; only they are gathered by it.
-    single = out.join(small(twice), out["doc_id"] == F.col("_twice"), "left_anti")
-    return single.unionByName(out.join(small(twice), out["doc_id"] == F.col("_twice"), "left_semi").dropDuplicates(["doc_id"]))
+    if not twice.isEmpty():
+        # Rows that share an id are rare; only they are gathered by it.
+        several = out.join(small(twice), "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", F.struct("row.text", F.xxhash64("row"))).alias("row"))
+        out = out.join(small(twice), "doc_id", "left_anti").unionByName(several)
+    return out.select("row.*")
