@@ -7,7 +7,8 @@ most FALSE_REJECTS of the rows labelled good.
 
 Defined cases: a null text has no words and fails the base rules; equal texts get equal verdicts; without labels of
 both kinds the forest rejects nothing; repeated or null doc_ids are rows of their own (a label applies to all rows of
-its id); an empty table gives no rows.
+its id); very long texts are counted whole; an empty table gives no rows; other columns stay out of the way, whatever
+their names (``filter_quality`` keeps them).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import written
+from pagemill.llm.common import small, whole_row, written
 from pagemill.llm.hashing import repeated, windows, word_hashes
 
 WINDOW = 8
@@ -80,14 +81,12 @@ def features(s: pd.DataFrame) -> np.ndarray:
 class Forest:
     """Trees as heaps: the children of node i are 2 i + 1 and 2 i + 2; a leaf has feature -1 and its path length.
 
-    Splits are drawn from the whole range that a feature has in ``span``, so that a statistic that all fitted rows
-    share still sets apart the rows that differ in it.
+    Splits are drawn from the node's own cell: what earlier splits on the way to it have left of the range that the
+    features have in ``span``.  So a statistic that all fitted rows share still sets apart the rows that differ in it.
     """
 
     def __init__(self, x: np.ndarray, span: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.low, self.high = span.min(axis=0), span.max(axis=0)
-        self.open = np.nonzero(self.high > self.low)[0]
         self.rows = min(rows, len(x))
         self.depth = max(1, int(np.ceil(np.log2(max(self.rows, 2)))))
         size = 2 ** (self.depth + 1) - 1
@@ -95,24 +94,25 @@ class Forest:
         self.split = np.zeros((trees, size))
         self.path = np.zeros((trees, size))
         for t in range(trees):
-            self._grow(t, 0, 0, x[rng.choice(len(x), self.rows, replace=False)], rng)
+            self._grow(t, 0, 0, x[rng.choice(len(x), self.rows, replace=False)], span.min(axis=0), span.max(axis=0), rng)
 
     @staticmethod
     def extra(n: int) -> float:
         """Mean path length of an unsuccessful search among n."""
         return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
-    def _grow(self, t: int, node: int, depth: int, x: np.ndarray, rng: np.random.Generator) -> None:
-        if depth == self.depth or len(x) < 2 or not len(self.open):
+    def _grow(self, t: int, node: int, depth: int, x: np.ndarray, low: np.ndarray, high: np.ndarray, rng: np.random.Generator) -> None:
+        open_ = np.nonzero(high > low)[0]
+        if depth == self.depth or len(x) < 2 or not len(open_):
             self.path[t, node] = depth + self.extra(len(x))
             return
-        f = int(rng.choice(self.open))
-        at = float(rng.uniform(self.low[f], self.high[f]))
+        f = int(rng.choice(open_))
+        at = float(rng.uniform(low[f], high[f]))
         self.feature[t, node], self.split[t, node] = f, at
-        left = x[:, f] < at
-        for child, part in ((2 * node + 1, x[left]), (2 * node + 2, x[~left])):
+        left, edge = x[:, f] < at, np.arange(len(low)) == f
+        for child, part, lo, hi in ((2 * node + 1, x[left], low, np.where(edge, at, high)), (2 * node + 2, x[~left], np.where(edge, at, low), high)):
             if len(part):
-                self._grow(t, child, depth + 1, part, rng)
+                self._grow(t, child, depth + 1, part, lo, hi, rng)
             else:
                 self.path[t, child] = depth + 1
 
@@ -131,14 +131,21 @@ class Forest:
 
 def fit(stats: DataFrame, labels: DataFrame) -> tuple[Forest, float] | None:
     """``stats``: doc_id and STATS; ``labels``: doc_id, quality. None if there aren't labels of both kinds."""
-    marked = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = stats.filter(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words").join(marked, "doc_id")
+    marked = written(labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")), "quality-marks")
+    rows = stats.filter(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words").join(small(marked), "doc_id")
     rows = written(rows.select("doc_id", "quality", *STATS), "quality-labelled")
-    sample = lambda which: features(rows.filter(which).orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(SAMPLE).select(*STATS).toPandas())
-    good = sample("quality > 0")
+    many = {r.good: r.n for r in rows.groupBy((F.col("quality") > 0).alias("good")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def sample(good: bool) -> np.ndarray:
+        # About twice SAMPLE rows pass the threshold, in all tasks together, before the smallest hashes are taken.
+        share = min(1.0, 2 * SAMPLE / max(many.get(good, 0), 1))
+        below = rows.filter((F.col("quality") > 0) == good).filter(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) <= int(share * (1 << 53)))
+        return features(below.orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(SAMPLE).select(*STATS).toPandas())
+
+    good = sample(True)
     if len(good) < 2:
         return None
-    forest = Forest(good, np.concatenate((good, sample("quality <= 0"))))
+    forest = Forest(good, np.concatenate((good, sample(False))))
     counts = rows.groupBy((F.col("quality") > 0).alias("good"), F.floor(scorer(forest) * BINS).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
     n = np.zeros((2, BINS + 1))
     for r in counts:
@@ -178,6 +185,6 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns. Statistics are worked out once and kept with the rows."""
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text")
+    row = docs.select(whole_row(docs).alias("_row"), "doc_id", "text")
     rows = written(with_stats(row, ["_row", "doc_id"]), "quality-rows")
     return judged(rows, labels).filter("kept").select("_row.*")
