@@ -99,6 +99,55 @@ def test_packing_is_best_fit():
         x["c"].add(c)
 
 
+def test_packing_keeps_ids(spark):
+    big = 9007199254740993  # not a double
+    rows = [(big, "a b c", "s"), (None, "d e", "t"), (big + 2, "f", None), (None, "d e", "t"), (1, "", "u")]
+    out = packing.pack(documents(spark, rows), 8).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in out) == sorted((d or 0, len(brute.words(t))) for d, t, _ in rows)
+    # Clusters, too, are whole numbers, and a null one is none.
+    near = documents(spark, [(i, f"w{i}", f"s{i}") for i in range(4)])
+    cluster = F.when(F.col("doc_id") < 3, F.lit(big) + F.col("doc_id") % 2)
+    bins = {r.doc_id: r.bin_id for r in packing.pack(near, 8, cluster=cluster).collect()}
+    assert bins[0] != bins[2] and len(set(bins.values())) == 2
+    clash = documents(spark, rows).withColumns({c: F.lit("x") for c in ("grp", "piece", "h", "cluster", "n", "n_tokens", "near")})
+    assert packing.pack(clash, 8).count() == len(rows) and packing.pack(empty(spark)).count() == 0
+
+
+def plain_packing(rows, capacity):
+    """rows: (group, size, cluster, doc_id, piece, source). Bins by trying every one: the tightest without conflict."""
+    out = {}
+    last = lambda x: (x is None, x)
+    by = defaultdict(list)
+    for g, *x in rows:
+        by[g].append(x)
+    for g, group in by.items():
+        bins = []
+        for n, c, d, p, s in sorted(group, key=lambda x: (-x[0], last(x[1]), last(x[2]), x[3], last(x[4]))):
+            fits = [b for b in bins if b["room"] >= n and s not in b["s"] and (c is None or c not in b["c"])] if n < capacity else []
+            room = min((b["room"] for b in fits), default=None)
+            out.setdefault((d, p), []).append((g, n, capacity if room is None else room))
+            b = next((b for b in fits if b["room"] == room), None)
+            if b is None:
+                b = {"room": capacity, "s": set(), "c": set()}
+                bins.append(b)
+            b["room"] -= n
+            b["s"].add(s)
+            b["c"].add(c)
+    return out
+
+
+def test_packing_of_a_table_is_best_fit(spark, docs):
+    """Each piece finds the room that a plain version finds for it (which of several bins alike it takes is open)."""
+    out = packing.pack(docs, 512, group=64).collect()
+    h, n = F.xxhash64("doc_id", "text"), packing.word_count(F.col("text"))
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("c"), h.alias("h"), n.alias("n"), F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(n / 512), F.lit(1)).cast("int") - 1)).alias("p")).filter("n > 0")
+    groups = -(-rows.count() // 64)
+    rows = rows.withColumn("g", F.pmod(F.xxhash64("h", "p"), F.lit(groups))).collect()
+    want = plain_packing([(r.g, min(512, r.n - 512 * r.p), r.c, r.doc_id, r.p, r.source) for r in rows], 512)
+    got = {(r.doc_id, r.piece): [(r.bin_id >> 32, r.n_tokens, 512 - r.bin_offset)] for r in out if r.bin_id is not None}
+    assert got == want
+
+
 def test_near_copies_share_no_bin(spark, tmp_path):
     a, rows = base(60, 1), []
     for i in range(8):
@@ -140,6 +189,30 @@ def test_near_duplicate_cases(spark, awkward):
     assert neardup.keep_one(awkward).filter("doc_id IN (6, 7, 10)").count() == 1
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    s, t, u = (" ".join(base(30, i)) for i in (1, 2, 3))
+    near = " ".join([*base(30, 3)[:29], "changed"])
+    rows = [(3, s), (7, s), (7, t), (5, t), (7, ""), (9, u), (9, u), (8, near), (10, ""), (10, "x"), (11, "")]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in out} == {(3, 3), (7, 3), (5, 3), (9, 8), (8, 8), (10, 10), (11, 11)} and len(out) == len(rows)
+    clash = documents(spark, [(d, x, "s") for d, x in rows]).withColumns({c: F.lit(1) for c in ("_gone", "_twice", "row", "kept", "count")})
+    kept = neardup.keep_one(clash)
+    assert kept.columns == clash.columns and sorted(r.doc_id for r in kept.collect()) == [3, 8, 10, 11]
+
+
+def test_blocks_and_parts(spark, monkeypatch):
+    """Buckets of many blocks and pivots of many parts give what one block gives."""
+    rng, g, rows = random.Random(4), base(80, 5), []
+    for i in range(150):  # pairs within a family are often too far apart
+        x = list(g)
+        for _ in range(rng.randint(0, 5)):
+            x[rng.randrange(80)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(x)))
+    for name, size in (("WIDE", 16), ("BLOCK", 8), ("PART", 4)):
+        monkeypatch.setattr(neardup, name, size)
+    check_near(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+
+
 def test_chains_and_groups(spark):
     """Each text is near the next one only; and a group in which not all pairs link."""
     a, rows = base(200, 2), []
@@ -296,10 +369,32 @@ def test_chat_cases(spark):
         assert len(r.spans) == len(turns)
         spoken = {chat_text for s in r.spans if s.learned for chat_text in [r.formatted[s.start : s.end]]}
         assert all(not any(mark in t for mark in ("<s>", "</s>", "<t>", "[INST]", "[/INST]", "<|im_end|>")) for t in spoken)
+    for r in made:  # the mask's positions cut out the escaped texts
+        turns = sorted(((t is not None, t or 0, a or "", x or "") for c, t, a, x in rows if c == r.conv_id))
+        escaped = {x: e for x, e in spark.createDataFrame([(t[3],) for t in turns], "x string").select("x", chat.escape(F.col("x"))).collect()}
+        assert [r.formatted[s.start : s.end] for s in r.spans] == [escaped[t[3]] for t in turns]
     assert chat.chat_digest(df.limit(0)).count() == 0
     assert [r.formatted for r in made if r.conv_id == 3] == ["<s>user<t>same<t>same</s>"]
 
 
+def test_the_mask_is_read(spark, monkeypatch):
+    """Another mask gives another digest, and many spans are cut as few are; ties go by the text, not by its escape."""
+    rows = [(1, i, "assistant" if i % 2 else "user", f"é{i} </s> " * (i % 7)) for i in range(50)] + [(2, 0, "assistant", "</s>"), (2, 0, "assistant", "<A")]
+    made = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    loss = lambda df: {r.conv_id: list(r.learned) for r in chat.read_back(df).collect()}
+    whole = loss(made)
+    assert whole == {1: [x for _, _, a, x in rows[:50] if a == "assistant"], 2: ["</s>", "<A"]}
+    for size in (1, 7):
+        monkeypatch.setattr(chat, "GROUP", size)
+        assert loss(made) == whole
+    shifted = made.withColumn("spans", F.transform("spans", lambda s: F.struct(s["learned"].alias("learned"), (s["start"] + 1).alias("start"), s["end"].alias("end"))))
+    assert loss(shifted) != whole
+    none = made.withColumn("spans", F.filter("spans", lambda s: F.lit(False)))
+    assert loss(none) == {1: [], 2: []}
+    clash = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("end", "size", "chars", "t", "spans", "starts")})
+    assert loss(chat.format_chats(clash)) == whole
+
+
 # 6
 
 
@@ -398,6 +493,13 @@ def test_sharding_cases(spark, awkward):
     out = sharding.shard(awkward.withColumn("size", F.lit("clash")), 5, keep=["source", "size"])
     check_shards(out.collect(), rows, 5)
     assert "source" in out.columns and sharding.shard(empty(spark), 5).count() == 0
+    names = ["block", "s", "b", "before", "n", "k", "h", "kept", "a.b"]
+    clash = awkward.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    kept = sharding.shard(clash, 5, keep=names)
+    assert kept.columns == ["doc_id", *names, "size", "text_crc32", "shard", "slot"]
+    for r in kept.collect():
+        assert [r[c] for c in names] == [f"{c}{r.doc_id}" for c in names]
+    check_shards(kept.collect(), rows, 5)
 
 
 # 8
@@ -520,6 +622,9 @@ def test_url_cases(spark):
     assert out.count() == 2 * len(rows)
     check_urls(out, rows)
     assert urls.judge(df.limit(0)).count() == 0
+    clash = spark.createDataFrame([(None, "http://x.test/login"), (None, "http://x.test/login"), (3, None)], "page_id long, url string").withColumns({c: F.lit("x") for c in ("_url", "_kind", "_found", "kind", "found", "hit", "row", "host")})
+    got = urls.judge(clash)
+    assert sorted((r.page_id or 0, r.verdict, r._url, r._kind, r.hit, r.row) for r in got.collect()) == [(0, "block", *"xxxx")] * 2 + [(3, "allow", *"xxxx")]
     assert urls.literal_tokens(r"[?&]replytocom=\d+") == ["replytocom"] and urls.literal_tokens(r"/checkout(?:/|\?|$)") == [] and urls.literal_tokens(r"/calendar/\d{4}") == ["calendar"]
 
 
