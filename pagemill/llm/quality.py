@@ -27,9 +27,9 @@ WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: Rows of each label that the forest is fitted on or takes its ranges from, at most; trees; rows of a tree.
-SAMPLE, TREES, TREE_ROWS = 8192, 128, 256
+SAMPLE, TREES, TREE_ROWS = 8192, 128, 1024
 #: Share of rows labelled good that the threshold may reject.
-FALSE_REJECTS = 0.004
+FALSE_REJECTS = 0.002
 #: Width of the score histogram by which the threshold is found.
 BINS = 2000
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
