@@ -1,21 +1,26 @@
 """Exact top-k search by three-phase uniform thresholds.
 
 A score is the sum of the inner products over SLICES ranges of the dimensions: SLICES score lists.
-Phase 1 gathers from every block of candidates the top of each of its lists and what these add up to; the k-th best
-total found for a query, t, is safe: k candidates reach it.  Phase 2 sends each query's t back; a candidate that
-reaches t in sum must reach t / SLICES in some list, so the entries at or above that are sufficient.  Phase 3
-resolves exactly what they add up to, and each block returns its k best that reach t.
+Phase 1 gathers score lists from every block: the best totals among every GATHER-th of its rows.  The k-th best of them
+for a query, t, is a safe cutoff: k candidates reach it.  Phase 2 sends each query's t back to all blocks.  By the
+uniform threshold, what reaches t in sum must reach t / SLICES in some list, so a query passes over the blocks whose
+norms keep every list below that.  Elsewhere lists are added up, and a pair is collected only if its sum and the most that its other lists can add (the
+product of the norms) reach t.  As soon as the collected pairs are few, phase 3 resolves them alone, list by list,
+dropping them when their bound falls below t; each block returns its k best that reach t, with exact scores.
 
-Queries and candidates meet in blocks of bounded size, as matrices; no list is longer than a block.
+Queries and candidates meet in blocks of bounded size, as matrices; no list is longer than a block.  Blocks hold rows of
+similar norms, so that whole blocks can be passed over.
 
 Defined cases: null vectors and those with null or non-finite components take no part; vectors of different lengths
 are not compared; equal rows (vec_id and vector) count once, and no row with the query's vec_id is its candidate;
-a null vec_id takes no part; ties go to the smaller vec_id, and no tie is lost; an empty table gives no rows.
+a null vec_id takes no part; ties go to the smaller vec_id, and no tie is lost; a vector is whole in one row of a block,
+however long; an empty table gives no rows; other columns are left out, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +30,11 @@ from pyspark.sql.window import Window as W
 
 from pagemill.scratch import written
 
-SLICES = 4
+SLICES = 8
+#: Phase 1 looks at one row in so many.
+GATHER = 8
+#: Share of a block's pairs up to which the collected ones are resolved alone, and not as a whole matrix.
+DENSE = 0.02
 #: Rows of a block of candidates, and of queries.
 BLOCK, QUERY_BLOCK = 4096, 512
 #: Components are floor(SCALE * x).
@@ -36,7 +45,8 @@ _BLOCKS = "dim int, ids binary, rows binary"
 def integer_vectors(embeddings: DataFrame) -> DataFrame:
     """vec_id, v (array of long): the vectors that take part."""
     # NaN and infinities are what x - x = 0 leaves out.
-    finite = embeddings.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda x: F.coalesce(x - x == F.lit(0), F.lit(False))))
+    named = embeddings.select("vec_id", "embedding")
+    finite = named.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda x: F.coalesce(x - x == F.lit(0), F.lit(False))))
     return finite.select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(SCALE) * x.cast("double")).cast("long")).alias("v")).distinct()
 
 
@@ -67,13 +77,59 @@ def _to_blocks(size: int):
     return blocks
 
 
-def _lists(q: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
-    """Scores of all queries and candidates of two blocks, for each slice, exact."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
-    kind = np.float64 if most < 2.0**53 else np.int64
-    q, c = q.astype(kind), c.astype(kind)
+@dataclass
+class Scored:
+    """Pairs of a block with their exact scores, and how many of its (pair, list) products were computed."""
+
+    i: np.ndarray
+    j: np.ndarray
+    score: np.ndarray
+    products: int
+
+
+def _kind(q: np.ndarray, c: np.ndarray) -> type:
+    """Doubles where they are exact."""
+    return np.float64 if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1] < 2.0**53 else np.int64
+
+
+def _norms(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.sqrt((x[:, s].astype(np.float64) ** 2).sum(axis=1)) for s in cuts], axis=1)
+
+
+def reaching(q: np.ndarray, c: np.ndarray, cut: np.ndarray) -> Scored:
+    """All pairs of a query and a candidate that reach the query's cutoff; pairs that cannot are dropped on the way."""
     cuts = np.array_split(np.arange(q.shape[1]), min(SLICES, max(q.shape[1], 1)))
-    return [(q[:, s] @ c[:, s].T).astype(np.int64) for s in cuts]
+    kind, m = _kind(q, c), len(cuts)
+    qn, cn = _norms(q, cuts), _norms(c, cuts)
+    # Norms are rounded, and so are sums beyond 2 ** 53.
+    slack = 1 + 1e-9 * float((qn.max(axis=0, initial=0) * cn.max(axis=0, initial=0)).sum())
+    least = cut - slack
+    rows = np.nonzero((qn * cn.max(axis=0, initial=0) >= least[:, None] / m).any(axis=1))[0]
+    q, c, least, qn = q.astype(kind)[rows], c.astype(kind), least[rows], qn[rows]
+    rest = lambda n, at: np.sqrt((n[:, at:] ** 2).sum(axis=1))
+    at = -(-m // 2)
+    head = np.concatenate(cuts[:at])
+    total = q[:, head] @ c[:, head].T
+    products = total.size * at
+    while True:
+        collected = total + np.outer(rest(qn, at), rest(cn, at)) >= least[:, None]
+        if at == m or collected.sum() <= DENSE * collected.size:
+            break
+        total += q[:, cuts[at]] @ c[:, cuts[at]].T
+        products, at = products + total.size, at + 1
+    i, j = np.nonzero(collected)
+    score = total[i, j]
+    while at < m and len(i):
+        step = cuts[at]
+        for lo in range(0, len(i), 1 << 16):
+            part = slice(lo, lo + (1 << 16))
+            score[part] += np.einsum("ij,ij->i", q[i[part]][:, step], c[j[part]][:, step])
+        products, at = products + len(i), at + 1
+        keep = score + rest(qn, at)[i] * rest(cn, at)[j] >= least[i]
+        i, j, score = i[keep], j[keep], score[keep]
+    score = score.astype(np.int64)
+    keep = score >= cut[rows][i]
+    return Scored(rows[i[keep]], j[keep], score[keep], products)
 
 
 def _pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +142,8 @@ def _alike(batch: pa.RecordBatch) -> list[dict]:
     return [row for row in batch.to_pylist() if row["dim"] == row["q_dim"]]
 
 
-_LEAST = np.iinfo(np.int64).min
+#: No cutoff; far enough from the least long to be reckoned with.
+_LEAST = -(1 << 62)
 
 
 def _gather(k: int):
@@ -94,16 +151,12 @@ def _gather(k: int):
         for batch in batches:
             for row in _alike(batch):
                 q, c, qm, cm = _pair(row)
-                lists, own = _lists(qm, cm), q[:, None] == c[None, :]
-                total = sum(lists[1:], lists[0])
-                best, most = np.zeros(own.shape, dtype=bool), min(k, len(c))
-                for scores in lists:
-                    scores = np.where(own, _LEAST, scores)
-                    # Ascending: negated, _LEAST would stay the least.
-                    top = np.argpartition(scores, -most, axis=1)[:, -most:]
-                    np.put_along_axis(best, top, True, axis=1)
-                best &= ~own
-                top = np.partition(np.where(best, total, _LEAST), -most, axis=1)[:, -most:]
+                step = GATHER if len(c) >= GATHER * (k + 1) else 1
+                kind = _kind(qm, cm)
+                total = (qm.astype(kind) @ cm[::step].astype(kind).T).astype(np.int64)
+                total[q[:, None] == c[None, ::step]] = _LEAST
+                most = min(k, total.shape[1])
+                top = np.partition(total, -most, axis=1)[:, -most:]
                 i, j = np.nonzero(top > _LEAST)
                 yield pa.RecordBatch.from_arrays([pa.array(q[i]), pa.array(top[i, j])], names=["query_id", "score"])
 
@@ -116,14 +169,9 @@ def _resolve(k: int):
             for row in _alike(batch):
                 q, c, qm, cm = _pair(row)
                 known = dict(zip(row["cut_ids"] or [], row["cuts"] or [], strict=True))
-                cut = np.array([known.get(x, _LEAST) for x in q.tolist()], dtype=np.int64)[:, None]
-                lists = _lists(qm, cm)
-                enough = np.zeros((len(q), len(c)), dtype=bool)
-                for scores in lists:  # at least cut / number of lists, without rounding
-                    enough |= (cut == _LEAST) | (scores >= -(-cut // len(lists)))
-                total = sum(lists[1:], lists[0])
-                i, j = np.nonzero(enough & (total >= cut) & (q[:, None] != c[None, :]))
-                score = total[i, j]
+                found = reaching(qm, cm, np.array([known.get(x, _LEAST) for x in q.tolist()], dtype=np.int64))
+                other = q[found.i] != c[found.j]
+                i, j, score = found.i[other], found.j[other], found.score[other]
                 order = np.lexsort((c[j], -score, i))
                 i, j, score = i[order], j[order], score[order]
                 first = np.searchsorted(i, i)  # where the query's entries begin
@@ -136,7 +184,9 @@ def _resolve(k: int):
 def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """For each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of its k best."""
     vectors = written(integer_vectors(embeddings), "topk-vectors")
-    blocks = written(vectors.mapInArrow(_to_blocks(BLOCK), _BLOCKS), "topk-blocks")
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    by_norm = vectors.withColumn("norm", norm).sortWithinPartitions("norm").select("vec_id", "v")
+    blocks = written(by_norm.mapInArrow(_to_blocks(BLOCK), _BLOCKS), "topk-blocks")
     queries = vectors.filter(F.col("vec_id") % every == 0)
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
     queries = queries.repartition(parts, "vec_id").mapInArrow(_to_blocks(QUERY_BLOCK), _BLOCKS)

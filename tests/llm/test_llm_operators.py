@@ -9,7 +9,6 @@ from collections import defaultdict
 
 import brute
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -325,18 +324,35 @@ def test_topk_cases(spark, monkeypatch):
 
 
 def test_every_query_gets_a_cutoff(spark, monkeypatch):
-    """Of blocks much larger than what is marked in them, whose vectors are their queries' best in all lists."""
+    """Also from blocks much larger than what is gathered from them."""
     rng, kept = np.random.default_rng(6), {}
     rows = [(i, v) for i, v in enumerate(rng.uniform(-1, 1, (600, 8)).tolist())]
     monkeypatch.setattr(topk, "written", lambda df, name, real=topk.written: kept.setdefault(name, real(df, name)))
-    check_topk(topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), rows)
+    more = [(None, [1.0] * 8), (None, None)]
+    check_topk(topk.top_k(spark.createDataFrame(rows + more, "vec_id long, embedding array<double>")), rows)
     want, cuts = brute.top_k(rows), {r.query_id: r.score for r in kept["topk-cutoffs"].collect()}
     assert set(cuts) == set(range(0, 600, 50)) and all(cuts[q] <= want[q][-1][2] for q in cuts)
-    ids, v = np.arange(400, dtype=np.int64), rng.integers(-9, 9, (400, 8))
-    v[:20] = v[20] * np.arange(1, 21)[:, None]
-    row = {"dim": 8, "q_dim": 8, "ids": ids.tobytes(), "rows": v.tobytes(), "q_ids": ids[19:20].tobytes(), "q_rows": v[19:20].tobytes()}
-    out = next(iter(topk._gather(5)([pa.RecordBatch.from_pylist([row])])))
-    assert sorted(out.column("score").to_pylist()) == sorted((v[14:19] @ v[19]).tolist())
+
+
+@pytest.mark.parametrize("dense", [0.0, 0.02, 1.1])
+def test_the_cutoff_spares_work(monkeypatch, dense):
+    """It prunes most products, and changes nothing else; nor do long vectors, beyond what doubles hold, or norms of 0."""
+    monkeypatch.setattr(topk, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    for scale, shape in ((40, (900, 64)), (1 << 27, (300, 5)), (3, (500, 2))):
+        c = rng.integers(-scale, scale, (30, shape[1]))[rng.integers(0, 30, shape[0])] + rng.integers(-3, 4, shape)
+        c[::7] //= 9
+        c[5] = 0
+        q, full = c[:40], c[:40] @ c.T
+        cut = np.sort(full, axis=1)[:, -6]
+        every, best = topk.reaching(q, c, np.full(40, topk._LEAST)), topk.reaching(q, c, cut)
+        assert len(every.i) == full.size and (every.score == full[every.i, every.j]).all()
+        i, j = np.nonzero(full >= cut[:, None])
+        assert (best.i == i).all() and (best.j == j).all() and (best.score == full[i, j]).all()
+        assert every.products == full.size * min(8, shape[1])
+        assert best.products <= every.products and (not dense or shape[1] < 64 or best.products < 0.9 * every.products)
+    far = topk.reaching(np.full((3, 8), 5), np.full((4, 8), 1), np.full(3, 1000))
+    assert far.products == 0 and not len(far.i)
 
 
 # 5
