@@ -339,8 +339,8 @@ def test_the_cutoff_spares_work(monkeypatch, dense):
     """It prunes most products, and changes nothing else; nor do long vectors, beyond what doubles hold, or norms of 0."""
     monkeypatch.setattr(topk, "DENSE", dense)
     rng = np.random.default_rng(8)
-    for scale, shape in ((40, (900, 64)), (1 << 27, (300, 5)), (3, (500, 2))):
-        c = rng.integers(-scale, scale, (30, shape[1]))[rng.integers(0, 30, shape[0])] + rng.integers(-3, 4, shape)
+    for scale, shape in ((40, (4000, 64)), (1 << 27, (300, 5)), (3, (500, 2))):
+        c = rng.integers(-scale, scale, (300, shape[1]))[rng.integers(0, 300, shape[0])] + rng.integers(-3, 4, shape)
         c[::7] //= 9
         c[5] = 0
         q, full = c[:40], c[:40] @ c.T
