@@ -5,8 +5,8 @@ Phase 1 gathers score lists from every block: the best totals among every GATHER
 for a query, t, is a safe cutoff: k candidates reach it.  Phase 2 sends each query's t back to all blocks.  By the
 uniform threshold, what reaches t in sum must reach t / SLICES in some list, so a query passes over the blocks whose
 norms keep every list below that.  Elsewhere lists are added up, and a pair is collected only if its sum and the most that its other lists can add (the
-product of the norms) reach t.  As soon as the collected pairs are few, phase 3 resolves them alone, list by list,
-dropping them when their bound falls below t; each block returns its k best that reach t, with exact scores.
+product of the norms) reach t.  As soon as a query's collected pairs are few, phase 3 resolves them alone, list by
+list, dropping them when their bound falls below t; each block returns its k best that reach t, with exact scores.
 
 Queries and candidates meet in blocks of bounded size, as matrices; no list is longer than a block.  Blocks hold rows of
 similar norms, so that whole blocks can be passed over.
@@ -33,7 +33,7 @@ from pagemill.scratch import written
 SLICES = 8
 #: Phase 1 looks at one row in so many.
 GATHER = 8
-#: Share of a block's pairs up to which the collected ones are resolved alone, and not as a whole matrix.
+#: Share of a block up to which a query's collected pairs are resolved alone, and not with the whole block.
 DENSE = 0.02
 #: Rows of a block of candidates, and of queries.
 BLOCK, QUERY_BLOCK = 4096, 512
@@ -111,25 +111,28 @@ def reaching(q: np.ndarray, c: np.ndarray, cut: np.ndarray) -> Scored:
     head = np.concatenate(cuts[:at])
     total = q[:, head] @ c[:, head].T
     products = total.size * at
-    while True:
-        collected = total + np.outer(rest(qn, at), rest(cn, at)) >= least[:, None]
-        if at == m or collected.sum() <= DENSE * collected.size:
-            break
-        total += q[:, cuts[at]] @ c[:, cuts[at]].T
-        products, at = products + total.size, at + 1
-    i, j = np.nonzero(collected)
-    score = total[i, j]
-    while at < m and len(i):
-        step = cuts[at]
-        for lo in range(0, len(i), 1 << 16):
-            part = slice(lo, lo + (1 << 16))
-            score[part] += np.einsum("ij,ij->i", q[i[part]][:, step], c[j[part]][:, step])
-        products, at = products + len(i), at + 1
-        keep = score + rest(qn, at)[i] * rest(cn, at)[j] >= least[i]
-        i, j, score = i[keep], j[keep], score[keep]
-    score = score.astype(np.int64)
-    keep = score >= cut[rows][i]
-    return Scored(rows[i[keep]], j[keep], score[keep], products)
+    live, out = np.arange(len(rows)), []
+    while len(live):
+        collected = total + np.outer(rest(qn[live], at), rest(cn, at)) >= least[live, None]
+        few = collected.sum(axis=1) <= (DENSE * len(c) if at < m else len(c))
+        i, j = np.nonzero(collected & few[:, None])
+        i, score = live[i], total[i, j]
+        live, total = live[~few], total[~few]
+        for late in range(at, m):
+            step = cuts[late]
+            for lo in range(0, len(i), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                score[part] += np.einsum("ij,ij->i", q[i[part]][:, step], c[j[part]][:, step])
+            products += len(i)
+            keep = score + rest(qn, late + 1)[i] * rest(cn, late + 1)[j] >= least[i]
+            i, j, score = i[keep], j[keep], score[keep]
+        out.append((rows[i], j, score.astype(np.int64)))
+        if len(live):
+            total += q[live][:, cuts[at]] @ c[:, cuts[at]].T
+            products, at = products + total.size, at + 1
+    i, j, score = (np.concatenate([o[k] for o in out] or [np.empty(0, dtype=np.int64)]) for k in range(3))
+    keep = score >= cut[i]
+    return Scored(i[keep], j[keep], score[keep], products)
 
 
 def _pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
