@@ -289,7 +289,47 @@ def test_split_credentials_in_all_forms():
     for text in (f"sig={WEAK}", f"https://api.test/a/{WEAK}", "http://x.test:8080/some/long/path/abcdef@c", f"k={WEAK}{' ' * 241}user=robot", f"x=y={WEAK}=z user=robot"):
         assert sec.redacted(text) == text
     many = "https://x.test/?a=" + f"{WEAK}&user=robot&k=" * 20_000  # in time that does not grow with the square
-    assert len(sec.linked_spans(many, [])) == 20_000
+    assert len(sec.credentials(many, [])) == 20_000
+
+
+def plain_credentials(text):
+    """By trying every candidate with every part."""
+    base, inside = sec.base_spans(text), lambda x, y: x[0] < y[1] and y[0] < x[1]
+    users = [m for m in sec.USERINFO.finditer(text) if "/" not in m[2] or sec._looks_secret(m[2])]
+    names = [m.span() for m in sec.IDENTIFIER.finditer(text)] + [m.span(1) for m in users if m[1]] + [b[:2] for b in base if b[2] == "access"]
+    places = [m.span() for m in sec.ENDPOINT.finditer(text)]
+    out = [m.span(2) for m in users]
+    for m in sec.WEAK.finditer(text):
+        w = m.span()
+        if not sec._looks_secret(m[0]) or any(inside(w, p) for p in out[: len(users)]):
+            continue
+        beside = lambda p, w=w: not inside(p, w) and max(p[0] - w[1], w[0] - p[1]) <= 240
+        around = any(p[0] <= w[0] < p[1] and set("?#") & set(text[p[0] : w[0]]) for p in places)
+        if any(map(beside, names)) or ((around or any(map(beside, places))) and sec.KEYWORD.search(text[: w[0]][-40:])):
+            out.append(w)
+    return sorted(w for w in out if not any(inside(w, b) for b in base))
+
+
+def test_credentials_are_linked_by_definition():
+    rng = random.Random(12)
+    parts = [f"{WEAK}", f"token {WEAK}", f"user=robot", f"https://api.test/a", f"https://api.test/?sig={WEAK}", f"http://u:{WEAK}@h.test/", KEY, "password=hunter22", "x" * 200, " and then some words ", f"value={AWS}", "host: db.test", f"client_id={WEAK}", f'"auth": "{WEAK[::-1]}"', "0123456789abcdef01234567"]
+    found = 0
+    for _ in range(400):
+        text = rng.choice([" ", "\n", "; "]).join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        got = sec.credentials(text, sec.base_spans(text))
+        assert [(s, e) for s, e, _ in got] == plain_credentials(text), text
+        found += len(got)
+        for s, e, linked in got:
+            assert linked and all(k in ("identifier", "endpoint") and 0 <= a < b <= len(text) for k, a, b in linked)
+    assert found > 300
+    assert sec.credentials(f"see https://x.test/page and {WEAK} there", []) == [] and sec.credentials(f"see https://x.test/page with token {WEAK} there", [])
+
+
+def test_links_name_their_parts(spark):
+    text = f"user=robot and {WEAK} for https://api.test/v1"
+    row = sec.secrets_digest(spark.createDataFrame([(1, text), (2, "none")], "doc_id long, text string")).orderBy("doc_id").collect()
+    s = text.index(WEAK)
+    assert row[0].links == f"linked:{s}:{s + 24}<identifier:0:10+endpoint:{text.index('https')}:{len(text)}" and row[1].links == ""
 
 
 # 4
