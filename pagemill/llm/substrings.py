@@ -4,15 +4,22 @@ A word goes if a window of WINDOW words that covers it also starts earlier.  Ind
 times the input, so windows are held in groups: each window is represented by the smallest hash of its 8-word grams,
 and consecutive windows with the same representative form one entry (m: that hash; c: hash of all words the entry
 covers).  Equal windows have equal m.  Entries with equal (m, c) hold the same windows one by one, so that only the
-first of them matters; entries that share m alone are verified window by window against the texts.
-
-The index is a list of immutable runs: tables bucketed by m and sorted by (m, c).  A batch of documents is judged by merge-joining its own run with the earlier runs (equal buckets, already
-sorted: no shuffle), and compaction merges runs into one, of which only the
-first entry of every (m, c) is kept.
-
-Defined cases: null and short texts hold no window and stay whole; rows that are equal in doc_id and text are the
-same document (none is earlier); rows that share a doc_id but not the text are told apart by the text's hash, and a
-null doc_id counts as the smallest; an empty table gives no rows.
+first of them matters; entries that share m alone are verified window by window, by 128-bit hashes of the texts' words.
+
+The index is a list of immutable runs: tables bucketed by m and sorted by (m, c), in a catalog, with a manifest beside
+them from which another session goes on.  A batch of documents is judged by merge-joining its own run with the earlier
+runs (equal buckets, already sorted: no shuffle).  When there are MAX_RUNS runs, they are compacted into one, of which
+only the first entry of every (m, c) is kept, before the next batch comes.
+
+Hot passages: of equal entries or windows of the documents that a task holds at a time only the first leaves it, the
+others are repeats at once.  An m of very many different entries (a passage that ends differently everywhere) is kept
+apart from the buckets, in plain tables, and its windows are verified one by one, dealt by their hashes.  Which m is hot
+is told from a sample of the batch's entries of bounded size; it decides where rows are worked on, not what comes out.
+
+Defined cases: null and short texts hold no window and stay whole; very long ones are hashed whole, in parts; rows that
+are equal in doc_id and text are the same document (none is earlier); rows that share a doc_id but not the text are told
+apart by the text's hash, and a null doc_id counts as the smallest; an empty table gives no rows; other columns are left
+out, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,8 +27,8 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +36,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagemill.llm.common import BATCH_ROWS, BROADCAST_ROWS, settings, written
+from pagemill.llm.common import BATCH_ROWS, BROADCAST_ROWS, settings, small, written
 from pagemill.llm.hashing import Powers, mixed, repeated, windows, word_hashes
 
 #: Words of a window, and of the grams whose smallest hash represents it.
 WINDOW, GRAM = 20, 8
-#: Runs of an index before they are compacted.
-MAX_RUNS = 4
+#: Batches that the query feeds, and runs of an index before they are compacted.
+BATCHES, MAX_RUNS = 3, 2
+#: An m is hot if it has more than 1 / HOT of a bucket's mean number of entries; sampled entries of such a one.
+HOT, SEEN = 4, 64
 #: Null doc_ids sort first.
 NO_ID = -(1 << 63)
 _B = 0x9E3779B97F4A7C15
@@ -51,6 +60,26 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
+def _new_groups(columns: list[np.ndarray]) -> np.ndarray:
+    """Which rows (sorted) differ from the one before."""
+    out = np.ones(len(columns[0]), dtype=bool)
+    if len(out):
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def _firsts_of(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with equal keys: which is first in place, and which come later (rows of the first's own place do neither)."""
+    order = np.lexsort([*place[::-1], *keys[::-1]])
+    keys, place = [c[order] for c in keys], [c[order] for c in place]
+    new = _new_groups(keys)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    first, later = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+    first[order] = new
+    later[order] = np.logical_or.reduce([c != c[head] for c in place])
+    return first, later
+
+
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     up, down = Powers(_B), Powers(_B_INVERSE)
     for batch in batches:
@@ -71,7 +100,9 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append((m[start].view(np.int64), c.view(np.int64), np.full(len(start), d), np.full(len(start), k, dtype=np.int32), start.astype(np.int32), count.astype(np.int32), again))
         if parts:
             columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["m", "c", "doc_id", "k", "start", "n", "again"])
+            first, later = _firsts_of(columns[:2], columns[2:5])
+            keep = first | later
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (*columns, later)], names=["m", "c", "doc_id", "k", "start", "n", "again", "later"])
 
 
 def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +115,10 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             at = np.unique(np.concatenate([np.arange(r["start"], r["start"] + r["n"], dtype=np.int32) for r in ranges]))
             parts.append((one[at], two[at], np.full(len(at), b, dtype=np.int32), np.full(len(at), d, dtype=np.int64), np.full(len(at), k, dtype=np.int32), at))
         if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["h1", "h2", "b", "doc_id", "k", "start"])
+            columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            first, later = _firsts_of(columns[:2], columns[2:])
+            keep = first | later
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (*columns, later)], names=["h1", "h2", "b", "doc_id", "k", "start", "later"])
 
 
 def _strip(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -122,58 +156,119 @@ def _among(texts: DataFrame, keys: DataFrame) -> DataFrame:
 _PLACE = ("b", "doc_id", "k", "start")
 
 
-@contextmanager
 def _copartitioned(spark: SparkSession):
     """Tables bucketed by m meet on (m, c) as they lie, without a shuffle by both."""
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return settings(spark, requireAllClusterKeysForCoPartition="false")
+
+
+_RUN = ("m", "c", *_PLACE, "n", "again")
 
 
 @dataclass
 class FingerprintIndex:
-    """Runs of window fingerprints of all documents seen, for incremental dedup."""
+    """Runs of window fingerprints of all documents seen, for incremental dedup.
+
+    ``name``: of the index; its tables start with it.  ``texts_too``: keep the documents as well (compressed), so that
+    later batches can be verified without the tables that earlier ones came from.
+    """
 
     spark: SparkSession
+    name: str = ""
+    texts_too: bool = False
     buckets: int = 0
-    runs: list[str] = field(default_factory=list)
     batches: int = 0
+    runs: list[str] = field(default_factory=list)
+    hot_parts: list[str] = field(default_factory=list)
+    hot_lists: list[str] = field(default_factory=list)
+    text_parts: list[str] = field(default_factory=list)
 
     def __post_init__(self):
+        self.name = self.name or f"fingerprints_{uuid.uuid4().hex}"
         self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _save(self, df: DataFrame) -> str:
-        """``df`` must be partitioned by m in as many parts as there are buckets."""
-        table = f"fingerprints_{uuid.uuid4().hex}"
+    @classmethod
+    def open(cls, spark: SparkSession, name: str) -> FingerprintIndex:
+        """The index as its last batch left it."""
+        last = spark.table(f"{name}_manifest").orderBy(F.col("version").desc()).head()
+        return cls(spark, name, last.texts_too, last.buckets, last.batches, list(last.runs), list(last.hot_parts), list(last.hot_lists), list(last.text_parts))
+
+    def _publish(self) -> None:
+        """A new version of the manifest; the runs that it names are never changed."""
+        strings = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
+        lists = {k: strings(getattr(self, k)) for k in ("runs", "hot_parts", "hot_lists", "text_parts")}
+        values = {"version": F.lit(self.batches), "buckets": F.lit(self.buckets), "batches": F.lit(self.batches), "texts_too": F.lit(self.texts_too), **lists}
+        self.spark.range(1).select(*(v.alias(k) for k, v in values.items())).write.mode("append").saveAsTable(f"{self.name}_manifest")
+
+    def _table(self, kind: str) -> str:
+        return f"{self.name}_{kind}_{uuid.uuid4().hex[:12]}"
+
+    def _save(self, df: DataFrame, kind: str) -> str:
+        table = self._table(kind)
         with settings(self.spark, execution_arrow_maxRecordsPerBatch=BATCH_ROWS):
-            df.write.bucketBy(self.buckets, "m").sortBy("m", "c").saveAsTable(table)
+            df.write.saveAsTable(table)
+        return table
+
+    def _save_run(self, df: DataFrame) -> str:
+        """``df`` must be partitioned by m in as many parts as there are buckets."""
+        table = self._table("run")
+        df.select(*_RUN).write.bucketBy(self.buckets, "m").sortBy("m", "c").saveAsTable(table)
         return table
 
     @staticmethod
     def _firsts(run: DataFrame) -> DataFrame:
         return run.groupBy("m", "c").agg(F.min(F.struct(*_PLACE)).alias("p"), F.first("n").alias("n"), F.max("again").alias("again"))
 
-    def add(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
+    def add(self, batch: DataFrame, texts: DataFrame | None = None) -> DataFrame:
         """Judge ``batch`` (doc_id, text) against all earlier batches and itself, then keep its run.
 
-        ``texts`` must hold every document of this and earlier batches (as ``named`` gives them); only those whose
-        entries are not settled by their hashes are read.  Returns (doc_id, k, start, n): windows start to
-        start + n - 1 are repeats.
+        ``texts`` must hold every document of this and earlier batches (as ``named`` gives them), unless the index keeps
+        texts; only those whose entries are not settled by their hashes are read.  Returns (doc_id, k, start, n):
+        windows start to start + n - 1 are repeats.
         """
+        if len(self.runs) >= MAX_RUNS:
+            self.compact()
         self.batches += 1
-        schema = "m long, c long, doc_id long, k int, start int, n int, again boolean"
-        found = named(batch).mapInArrow(_entries, schema).select("m", "c", F.lit(self.batches).alias("b"), "doc_id", "k", "start", "n", "again")
-        fresh = self._save(found.repartition(self.buckets, "m"))
+        if self.texts_too:
+            self.text_parts.append(self._save(named(batch), "texts"))
+        schema = "m long, c long, doc_id long, k int, start int, n int, again boolean, later boolean"
+        found = self._save(named(batch).mapInArrow(_entries, schema), "found")
+        entries = self.spark.table(found).withColumn("b", F.lit(self.batches))
+        known = written(entries.filter("later").select("doc_id", "k", "start", "n"), "repeats")
+        fresh, ranges = self._part_hot(entries.filter("NOT later").select(*_RUN))
+        run = self._save_run(fresh.repartition(self.buckets, "m"))
+        self.spark.sql(f"DROP TABLE {found}")
         with _copartitioned(self.spark):
-            repeats, unsettled = self._judge(self.spark.table(fresh))
-        self.runs.append(fresh)
-        if len(self.runs) > MAX_RUNS:
-            self.compact()
-        return repeats.union(self._verify(unsettled, texts))
+            repeats, unsettled = self._judge(self.spark.table(run))
+        self.runs.append(run)
+        out = known.union(repeats).union(self._verify(unsettled.union(ranges) if ranges is not None else unsettled, texts))
+        self._publish()
+        return out
+
+    def _hot(self) -> DataFrame | None:
+        """All m that are or were hot: a few for each bucket and batch."""
+        lists = [self.spark.table(t) for t in self.hot_lists]
+        return reduce(DataFrame.union, lists).distinct() if lists else None
+
+    def _part_hot(self, entries: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The entries for the buckets, and the ranges of all entries (of earlier runs, too) whose m is hot."""
+        # A bucket has total / buckets entries, a hot m a HOT-th of that or more: SEEN of them are expected in the sample.
+        share = min(1.0, SEEN * HOT * self.buckets / max(entries.count(), 1))
+        seen = entries.filter(F.shiftrightunsigned(F.xxhash64("doc_id", "k", "start", "m"), 11) <= int(share * (1 << 53)))
+        new = seen.groupBy("m").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > SEEN // 2).select("m")
+        old = self._hot()
+        new = written(new.join(small(old), "m", "left_anti") if old is not None else new, "hot")
+        if not new.isEmpty():
+            earlier = [self.spark.table(r).join(small(new), "m", "left_semi").select(*_RUN) for r in self.runs]
+            if earlier:
+                self.hot_parts.append(self._save(reduce(DataFrame.union, earlier), "hot"))
+            self.hot_lists.append(self._save(new, "hots"))
+        hot = self._hot()
+        if hot is None:
+            return entries, None
+        hot = small(hot)
+        self.hot_parts.append(self._save(entries.join(hot, "m", "left_semi").select(*_RUN), "hot"))
+        ranges = reduce(DataFrame.union, [self.spark.table(t).select(*_PLACE, "n") for t in self.hot_parts])
+        return entries.join(hot, "m", "left_anti").select(*_RUN), ranges
 
     def _judge(self, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Entries that repeat as a whole, and the ranges of windows that hashes don't settle.
@@ -198,31 +293,41 @@ class FingerprintIndex:
             ranges = ranges.union(run.join(open_, "m", "left_semi").select("p.b", "p.doc_id", "p.k", "p.start", "n"))
         return judged.filter("repeat").select("doc_id", "k", "start", "n"), written(ranges, "unsettled")
 
-    def _verify(self, ranges: DataFrame, texts: DataFrame) -> DataFrame:
+    def _verify(self, ranges: DataFrame, texts: DataFrame | None) -> DataFrame:
         """Single windows of this batch that start earlier elsewhere, by 128-bit hashes of their words."""
+        if texts is None:
+            texts = reduce(DataFrame.union, [self.spark.table(t) for t in self.text_parts])
         by_doc = written(ranges.groupBy("b", "doc_id", "k").agg(F.collect_list(F.struct("start", "n")).alias("ranges")), "unsettled-docs")
         checked = _among(texts, by_doc).select("b", "doc_id", "k", "text", "ranges")
-        hashes = written(checked.mapInArrow(_window_hashes, "h1 long, h2 long, b int, doc_id long, k int, start int"), "windows")
-        first = hashes.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("p"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-        later = hashes.filter(F.col("b") == self.batches).join(first, ["h1", "h2"]).filter(F.struct(*_PLACE) > F.col("p"))
-        return written(later.select("doc_id", "k", "start", F.lit(1).alias("n")), "singles")
+        hashes = written(checked.mapInArrow(_window_hashes, "h1 long, h2 long, b int, doc_id long, k int, start int, later boolean"), "windows")
+        first = hashes.filter("NOT later").groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("p"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
+        # Written, so that a hot window's rows are joined by tables that Spark may split, not in the task that counted them.
+        first = written(first, "window-firsts")
+        fresh = hashes.filter(F.col("b") == self.batches)
+        later = fresh.filter("NOT later").join(small(first), ["h1", "h2"]).filter(F.struct(*_PLACE) > F.col("p"))
+        return written(fresh.filter("later").unionByName(later.drop("p")).select("doc_id", "k", "start", F.lit(1).alias("n")), "singles")
 
     def compact(self) -> None:
-        """Merge all runs into one; of equal entries the first stays."""
+        """Merge all runs into one, bucket by bucket; of equal entries the first stays."""
         with _copartitioned(self.spark):
             rows = self._firsts(self.spark.table(self.runs[0]))
             for r in self.runs[1:]:
                 more = self._firsts(self.spark.table(r)).select("m", "c", F.col("p").alias("q"), F.col("n").alias("o"), F.col("again").alias("a"))
                 rows = rows.join(more, ["m", "c"], "full").select("m", "c", F.least("p", "q").alias("p"), F.coalesce("n", "o").alias("n"), F.coalesce(F.greatest("again", "a"), F.lit(False)).alias("again"))
-            # A full join leaves its rows in no known partitioning.
-            done = self._save(rows.select("m", "c", "p.*", "n", "again").repartition(self.buckets, "m"))
-        self.drop()
-        self.runs = [done]
+            # The rows lie in the tasks of their buckets, although Spark doesn't know that after a full join.
+            done = self._save_run(rows.select("m", "c", "p.*", "n", "again"))
+        hot = self.hot_parts
+        if hot:
+            merged = self._firsts(reduce(DataFrame.union, [self.spark.table(t) for t in hot])).select("m", "c", "p.*", "n", "again")
+            self.hot_parts = [self._save(merged.select(*_RUN), "hot")]
+        gone, self.runs = [*self.runs, *hot], [done]
+        for t in gone:
+            self.spark.sql(f"DROP TABLE {t}")
 
     def drop(self) -> None:
-        for r in self.runs:
-            self.spark.sql(f"DROP TABLE {r}")
-        self.runs = []
+        for t in (*self.runs, *self.hot_parts, *self.hot_lists, *self.text_parts, f"{self.name}_manifest"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        self.runs, self.hot_parts, self.hot_lists, self.text_parts = [], [], [], []
 
 
 def strip(docs: DataFrame, repeats: DataFrame, with_text: bool = False) -> DataFrame:
@@ -242,17 +347,18 @@ def strip(docs: DataFrame, repeats: DataFrame, with_text: bool = False) -> DataF
     return out if with_text else out.drop("kept")
 
 
-def dedup_substrings(docs: DataFrame, batches: int = 2, with_text: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, batches: int = BATCHES, with_text: bool = False) -> DataFrame:
     """Feed ``docs`` to an index in ``batches`` of ascending doc_id, then strip what repeats."""
     spark, texts = docs.sparkSession, named(docs)
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     shares = [i / batches for i in range(1, batches)]
     cuts = sorted(set(docs.select(F.percentile_approx(ids, shares, 1000)).head()[0] or [])) if shares else []
-    index, repeats = FingerprintIndex(spark), None
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        part = docs if low is None else docs.filter(ids > low)
-        part = part if high is None else part.filter(ids <= high)
-        found = index.add(part.select("doc_id", "text"), texts)
-        repeats = found if repeats is None else repeats.union(found)
-    index.drop()
-    return strip(docs, repeats, with_text)
+    index, found = FingerprintIndex(spark), []
+    try:
+        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+            part = docs if low is None else docs.filter(ids > low)
+            part = part if high is None else part.filter(ids <= high)
+            found.append(index.add(part.select("doc_id", "text"), texts))
+    finally:
+        index.drop()
+    return strip(docs, reduce(DataFrame.union, found), with_text)

@@ -482,15 +482,49 @@ def test_substring_cases(spark, awkward):
 
 def test_index_grows_and_compacts(spark, docs, texts):
     index, found = substrings.FingerprintIndex(spark), None
-    for i in range(7):
-        part = docs.filter((F.col("doc_id") >= i * 30) & (F.col("doc_id") < (i + 1) * 30 if i < 6 else F.lit(True)))
+    for i in range(5):
+        part = docs.filter((F.col("doc_id") >= i * 40) & (F.col("doc_id") < (i + 1) * 40 if i < 4 else F.lit(True)))
         new = index.add(part, substrings.named(docs))
         found = new if found is None else found.union(new)
-    assert 1 <= len(index.runs) <= substrings.MAX_RUNS
+        assert 1 <= len(index.runs) <= substrings.MAX_RUNS
     index.drop()
     check_substrings(substrings.strip(docs, found), list(texts.items()))
 
 
+def passages(n):
+    """Documents around a hot passage that ends differently everywhere, and copies."""
+    hot = base(40, 3)
+    return [(i, " ".join([*base(i % 5, i), *hot[: 40 - i % 9], *base(25, 1000 + i)]) if i % 4 else " ".join(hot)) for i in range(n)]
+
+
+def test_another_session_goes_on(spark):
+    rows = passages(40)
+    part = lambda lo, hi: spark.createDataFrame(rows[lo:hi], "doc_id long, text string")
+    index = substrings.FingerprintIndex(spark, "kept_index", texts_too=True)
+    found = index.add(part(0, 15)).union(index.add(part(15, 25)))
+    again = substrings.FingerprintIndex.open(spark.newSession(), "kept_index")
+    assert again is not index and again.batches == 2 and again.runs == index.runs
+    found = found.collect() + again.add(again.spark.createDataFrame(rows[25:], "doc_id long, text string")).collect()
+    assert len(again.runs) == 2 and again.batches == 3
+    again.drop()
+    repeats = spark.createDataFrame(found, "doc_id long, k int, start int, n int")
+    check_substrings(substrings.strip(part(0, 40), repeats), rows)
+
+
+def test_hot_passages(spark, monkeypatch):
+    """They change where rows are worked on only: hot from a later batch on, when an earlier one has them in its run."""
+    monkeypatch.setattr(substrings, "BATCH_ROWS", "4")
+    monkeypatch.setattr(substrings, "SEEN", 4)
+    rows = [*[(i - 1000, " ".join(base(30, 5000 + i))) for i in range(20)], *passages(36), *[(i, " ".join([*base(40, 3), *base(20, i)])) for i in range(100, 120)]]
+    part = lambda lo, hi: spark.createDataFrame(rows[lo:hi], "doc_id long, text string").withColumns({c: F.lit(1) for c in ("m", "c", "b", "later", "p")})
+    index, all_, found = substrings.FingerprintIndex(spark), substrings.named(part(0, len(rows))), []
+    for k, (lo, hi) in enumerate(((0, 22), (22, 56), (56, 76))):
+        found += index.add(part(lo, hi), all_).collect()
+        assert bool(index.hot_lists) == (k > 0)
+    index.drop()
+    check_substrings(substrings.strip(part(0, len(rows)), spark.createDataFrame(found, "doc_id long, k int, start int, n int")), rows)
+
+
 # 7
 
 
