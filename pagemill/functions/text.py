@@ -5,8 +5,6 @@ Character classes are spelled out where Java's, Python's and SQL engines' defaul
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +36,21 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
 
 
+def stem_of(term: str) -> str:
+    """``stem`` of a single word of a query."""
+    rules = (("ies", 4, 3, "y"), ("es", 3, 2, ""), ("s", 3, 1, ""), ("ing", 5, 3, ""), ("ed", 4, 2, ""))
+    for end, longer, cut, to in rules:
+        if term.endswith(end) and len(term) > longer and not (end == "s" and term.endswith("ss")):
+            return term[:-cut] + to
+    return term
+
+
+def variants(stemmed: str) -> list[str]:
+    """All words with this stem."""
+    forms = [stemmed + end for end in ("", "s", "es", "ing", "ed")] + ([stemmed[:-1] + "ies"] if stemmed.endswith("y") else [])
+    return [f for f in forms if stem_of(f) == stemmed]
+
+
 def stem(term: Column) -> Column:
     """Light English stemming: plural, -ing and -ed endings of words that are long enough."""
     n = F.length(term)
@@ -112,20 +125,22 @@ def _ratio(part: Column, whole: Column) -> Column:
 def ocr_quality(text: Column) -> Column:
     """Ratios of characters and words, and a score that steps down where a ratio is out of its usual range."""
     text = F.coalesce(text, F.lit(""))
-    found = F.regexp_extract_all(text, F.lit("([a-zA-Z]+)"), F.lit(1))
-    lower = F.transform(found, F.lower)
-    n, chars = F.size(found), F.length(text)
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
-    symbols = chars - F.length(F.translate(text, SCAN_SYMBOLS, ""))
-    count = lambda test: F.size(F.filter(lower, test))
-    ratios = {
-        "alpha_ratio": _ratio(letters, chars),
-        "symbol_noise": _ratio(symbols, chars),
-        "vowel_ratio": _ratio(count(lambda w: w.rlike("[aeiouy]")), n),
-        "common_ratio": _ratio(count(lambda w: w.isin(COMMON_WORDS)), n),
-        "fragmentation": _ratio(count(lambda w: (F.length(w) == 1) & ~w.isin("a", "i")), n),
-    }
-    # (ratio, is it worse below?, (limit, penalty) from the worst on); all penalties in hundredths
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    without = lambda pattern: F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+    whole = lambda pattern: f"(?<![a-zA-Z])(?:{pattern})(?![a-zA-Z])"
+    counted = F.struct(
+        F.length(text).alias("chars"), without(r"\p{L}+").alias("letters"), (F.length(text) - F.length(F.translate(text, SCAN_SYMBOLS, ""))).alias("symbols"),
+        count("[a-zA-Z]+").alias("n"), without("[a-zA-Z]+").alias("plain"), count("[a-zA-Z]*[aeiouyAEIOUY][a-zA-Z]*").alias("voiced"),
+        count("(?i)" + whole("|".join(COMMON_WORDS))).alias("common"), count(whole("[b-hj-zB-HJ-Z]")).alias("single"),
+    )
+    # A list of one: its element's counts are worked out once and used many times.
+    return F.get(F.transform(F.array(counted), _scored), F.lit(0))
+
+
+def _scored(c: Column) -> Column:
+    n = c["n"]
+    ratios = {"alpha_ratio": _ratio(c["letters"], c["chars"]), "symbol_noise": _ratio(c["symbols"], c["chars"]), "vowel_ratio": _ratio(c["voiced"], n), "common_ratio": _ratio(c["common"], n), "fragmentation": _ratio(c["single"], n)}
+    # Fixed values: (ratio, is it worse below?, (limit, penalty) from the worst on); all penalties in hundredths
     steps = (
         ("alpha_ratio", True, ((0.60, 35), (0.72, 15))),
         ("symbol_noise", False, ((0.03, 30), (0.01, 15))),
@@ -138,7 +153,7 @@ def ocr_quality(text: Column) -> Column:
         r = ratios[name]
         penalty = penalty + F.coalesce(*(F.when(r < at if below else r > at, by) for at, by in limits), F.lit(0))
     score = F.when(n == 0, 0.0).otherwise(F.greatest(F.lit(0), 100 - penalty) / 100)
-    mean = _ratio(reduce(lambda a, b: a + b, [F.length(F.array_join(found, ""))]), n)
+    mean = _ratio(c["plain"], n)
     return F.struct(*(F.round(r, 3).alias(k) for k, r in ratios.items()), F.round(mean, 2).alias("mean_word"), n.cast("long").alias("n_words"), score.alias("score"))
 
 

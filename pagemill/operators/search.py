@@ -13,8 +13,9 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import stem, terms
+from pagemill.functions.text import stem, terms, variants
 from pagemill.operators.ranking import top_per_group
+from pagemill.scratch import written
 
 K1, B = 1.2, 0.75
 
@@ -23,17 +24,22 @@ def stems(text: Column) -> Column:
     return F.transform(terms(text), stem)
 
 
+def term_counts(text: Column, query: Sequence[str]) -> dict[str, Column]:
+    """The number of terms of a text, and of those with each stem of the query, without splitting it."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    whole = lambda forms: f"(?<![a-z0-9])(?:{'|'.join(forms)})(?![a-z0-9])"
+    counts = {f"_tf{i}": F.regexp_count(low, F.lit(whole(variants(w)))) for i, w in enumerate(query)}
+    return {"_n": F.regexp_count(low, F.lit("[a-z0-9]+")), **counts}
+
+
 def bm25(docs: DataFrame, namespace: str, key: str, query: Mapping[str, float]) -> DataFrame:
-    """``docs``: namespace, key, tokens. Adds ``score``; ``query``: token and boost. Texts without any token of it go.
+    """``docs``: namespace, key, text. Adds ``score``; ``query``: stem and boost. Texts without any term of it go.
 
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)), with N, df and the mean length of the namespace.
+    idf = ln(1 + (N - df + 0.5) / (df + 0.5)), with N, df and the mean length of the namespace.  Each text is read once:
+    its counts are written, and both the namespace's figures and the scores come from them.
     """
     names = list(query)
-
-    def times(word: str) -> Column:
-        return F.size(F.filter("tokens", lambda t: t == word))
-
-    counted = docs.withColumn("_n", F.size("tokens")).withColumns({f"_tf{i}": times(w) for i, w in enumerate(names)}).drop("tokens")
+    counted = written(docs.withColumns(term_counts(F.col("text"), names)).drop("text"), "term-counts")
     figures = counted.groupBy(F.col(namespace).alias("_ns")).agg(F.count(F.lit(1)).alias("_docs"), F.avg("_n").alias("_mean"), *(F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(names))))
     joined = counted.join(figures, counted[namespace] == figures["_ns"])
 

@@ -90,10 +90,9 @@ def title_clean(spark: SparkSession, sf: str) -> DataFrame:
   CAST(1 + page_id % 3 AS INTEGER) AS edition FROM (SELECT page_id, 'https://x.test/resource/sn' || page_id || '/1915-07-' || lpad(CAST(1 + page_id % 28 AS VARCHAR), 2, '0') || '/ed-' || (1 + page_id % 3) || '/?st=gallery' AS u FROM pages)""")
 def url_parse(spark: SparkSession, sf: str) -> DataFrame:
     day, ed = F.lpad((1 + F.col("page_id") % 28).cast("string"), 2, "0"), (1 + F.col("page_id") % 3).cast("string")
-    two = F.lpad(ed, 2, "0")
-    start = F.concat(F.lit("https://x.test/resource/sn"), F.col("page_id").cast("string"))
-    # Both shapes of URL name the same issue.
-    url = F.when(F.col("page_id") % 2 == 0, F.concat(start, F.lit("/1915-07-"), day, F.lit("/ed-"), ed, F.lit("/?st=gallery"))).otherwise(F.concat(start, F.lit("/191507"), day, two, F.lit("/")))
+    # All shapes of URL name the same issue.
+    start = F.concat(F.lit("https://x.test/"), F.get(F.array(*map(F.lit, ("resource", "item", "lccn"))), F.col("page_id") % 3), F.lit("/sn"), F.col("page_id").cast("string"))
+    url = F.when(F.col("page_id") % 2 == 0, F.concat(start, F.lit("/1915-07-"), day, F.lit("/ed-"), ed, F.lit("/?st=gallery"))).otherwise(F.concat(start, F.lit("/191507"), day, F.lpad(ed, 2, "0"), F.lit("/")))
     return table(spark, sf, "pages").select("page_id", links.issue_of_url(url).alias("i")).select("page_id", "i.lccn", "i.date", "i.edition")
 
 

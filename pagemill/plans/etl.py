@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from pagemill.functions import links
 from pagemill.functions import text as tx
 from pagemill.plans import query, table
-from pagemill.plans.views import pages as pages_view
 from pagemill.sources import layout as lay
 from pagemill.sources.listings import OWNERS, lookup
 
-PARTITIONS = ("state_slug", "newspaper_slug", "year")
+PARTITIONS = ("state_slug", "newspaper_slug", "year", "source_batch")
 
 
 def page_table(pages: DataFrame, titles: DataFrame, assets: DataFrame, batch: str, viewer: str, storage: str) -> DataFrame:
     """Rows of the page table.
 
-    ``pages``: archive_pages(); ``titles``: lccn, name, city, state; ``assets``: manifest_assets().  Text is the OCR
+    ``pages``: archive_pages(); ``titles``: lccn, name, city, state and, if known, ethnicity; ``assets``: manifest_assets().  Text is the OCR
     text, or what the layout says if that is empty; pages without text are left out.  Where the manifest has no
     image, asset URLs follow from the page's own key.
     """
@@ -26,7 +25,7 @@ def page_table(pages: DataFrame, titles: DataFrame, assets: DataFrame, batch: st
     p = pages.withColumn("lay", lay.layout("xml"))
     p = p.withColumn("raw", F.coalesce(F.nullif("txt", F.lit("")), lay.full_text(F.col("lay.blocks"))))
     p = p.withColumn("clean", F.trim("raw", F.lit(" \t\r\n"))).filter(F.length("clean") > 0)
-    t = titles.select("lccn", F.col("name").alias("_name"), F.col("city").alias("_city"), F.col("state").alias("_state"))
+    t = titles.select("lccn", F.col("name").alias("_name"), F.col("city").alias("_city"), F.col("state").alias("_state"), (F.col("ethnicity") if "ethnicity" in titles.columns else F.lit(None).cast("string")).alias("_ethnicity"))
     p = p.join(t, "lccn", "left").join(assets, ["lccn", "date", "edition", "sequence"], "left")
     unknown = awardee.upper() if len(awardee) == 2 else "Unknown"
     name = tx.blank_to(F.col("_name"), None)
@@ -46,7 +45,8 @@ def page_table(pages: DataFrame, titles: DataFrame, assets: DataFrame, batch: st
         F.col("clean").alias("text"), tx.clean_title(title).alias("newspaper_title"), title.alias("title"), "lccn", "date",
         tx.int_or(part[0], 0).alias("year"), tx.int_or(part[1], 0).alias("month"), tx.int_or(part[2], 0).alias("day"), "edition", "sequence",
         tx.blank_to(F.col("_city"), "Unknown").alias("city"), state.alias("state"), F.coalesce("reel_id", "reel").alias("reel_id"),
-        F.lit(batch).alias("source_batch"), F.coalesce(lookup(F.lit(awardee), OWNERS), F.lit(awardee)).alias("awardee"),
+        F.lit(batch).alias("source_batch"), F.coalesce(lookup(F.lit(awardee), OWNERS), F.lit(awardee)).alias("awardee"), F.lit(awardee).alias("awardee_code"),
+        tx.blank_to(F.col("_ethnicity"), "").alias("ethnicity"), F.concat(F.lit(viewer.rstrip("/") + "/item/"), "lccn", F.lit("/"), "date", F.lit("/ed-"), F.col("edition").cast("string"), F.lit("/")).alias("item_url"),
         F.length("raw").alias("char_count"), F.size(tx.words(F.col("raw"))).alias("word_count"),
         F.coalesce("lay.width", F.lit(0)).alias("page_width"), F.coalesce("lay.height", F.lit(0)).alias("page_height"), tx.blank_to(F.col("lay.unit"), "inch1200").alias("page_unit"), tx.blank_to(F.col("lay.engine"), "Unknown").alias("ocr_engine"),
         "pdf_url", "image_url", F.concat(F.lit(viewer.rstrip("/") + "/resource/"), "lccn", F.lit("/"), "date", F.lit("/ed-"), F.col("edition").cast("string"), F.lit("/?sp="), F.col("sequence").cast("string")).alias("page_url"),
@@ -56,12 +56,18 @@ def page_table(pages: DataFrame, titles: DataFrame, assets: DataFrame, batch: st
 
 
 def write_pages(rows: DataFrame, path: str) -> None:
-    """Add to the page table; a re-run replaces the partitions that it holds rows for."""
+    """Add a batch to the page table; a re-run of the batch replaces its own rows, and those of other batches stay."""
     # Rows of a publication's year go to a few tasks, so that partitions have few files and no task has them all.
     dealt = rows.repartition(*PARTITIONS, F.pmod(F.xxhash64("date"), F.lit(8)))
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*PARTITIONS).parquet(path)
 
 
+def write_catalog(rows: DataFrame, path: str) -> None:
+    """A catalog both as JSON lines and as Parquet."""
+    rows.coalesce(1).write.mode("overwrite").json(f"{path}/jsonl")  # a row for each publication
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/parquet")
+
+
 def catalog(spark: SparkSession, path: str) -> DataFrame:
     """Publications of a page table: files, pages, megabytes and years. Only the columns needed are read."""
     rows = spark.read.parquet(path).select("lccn", "title", "city", "state", "year", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
@@ -89,8 +95,3 @@ def layout_text(spark: SparkSession, sf: str) -> DataFrame:
     flat = lay.flattened(F.col("p"))
     out = read.select("doc_id", lay.full_text(F.col("p.blocks")).alias("full_text"), F.size(flat["lines"]).alias("n_lines"), F.size(flat["words"]).alias("n_words"), F.slice(flat["boxes"][0], 1, 2).alias("first_corner"))
     return out.filter("n_lines > 0")
-
-
-def export_year(spark: SparkSession, sf: str, path: str) -> None:
-    """The pages of a collection as a table partitioned like the page table."""
-    pages_view(spark, sf).repartition("state", "slug", "year").write.mode("overwrite").partitionBy("state", "slug", "year").parquet(path)

@@ -28,12 +28,8 @@ fig AS (SELECT ns, count(*) AS nd, avg(n) AS mean, {df} FROM tfs GROUP BY 1),
 bm AS (SELECT doc_id, tfs.ns, date, sequence, slug, month, day, {score} AS score FROM tfs JOIN fig ON tfs.ns = fig.ns WHERE {" + ".join(f"tf{i}" for i in range(len(_TERMS)))} > 0)"""
 
 
-def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return pages(spark, sf).withColumn("tokens", s.stems(F.col("text"))).drop("text")
-
-
 def _bm25(spark: SparkSession, sf: str, ns: str) -> DataFrame:
-    t = _tokens(spark, sf).select("doc_id", F.col(ns).alias("ns"), "date", "sequence", "slug", "month", "day", "tokens")
+    t = pages(spark, sf).select("doc_id", F.col(ns).alias("ns"), "date", "sequence", "slug", "month", "day", "text")
     return s.bm25(t, "ns", "doc_id", _TERMS)
 
 
@@ -119,7 +115,7 @@ SELECT label, id, round(score, 9) AS score, rank FROM (SELECT *, CAST(row_number
 def rrf_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Dense and lexical rankings of each namespace, fused by reciprocal ranks."""
     labels = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
-    lexical = s.bm25(_tokens(spark, sf).join(labels, "doc_id").select("doc_id", "label", "tokens"), "label", "doc_id", _TERMS).withColumn("score", F.round("score", 5))
+    lexical = s.bm25(table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id"), "label", "doc_id", _TERMS).withColumn("score", F.round("score", 5))
     lists = [s.ranked(_dense(spark, sf), ["label"], "vec_id", 20).withColumnRenamed("vec_id", "id"), s.ranked(lexical, ["label"], "doc_id", 20).withColumnRenamed("doc_id", "id")]
     return fused(lists, ["label"], "id", 10).withColumn("score", F.round("score", 9))
 

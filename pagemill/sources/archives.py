@@ -1,42 +1,85 @@
 """Page archives: bz2-compressed tar files of OCR text and layout XML.
 
-Such a file can't be split, so an archive is one task's work; its members leave the task one by one and are grouped
-into pages by Spark.
+Such a file can't be split, so an archive is one task's work.  It is read as a stream: a task holds the members of one
+small batch, however large the archive is.  Spark groups the members into pages.
 """
 
 from __future__ import annotations
 
 import bz2
-import io
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Member paths: publication, perhaps a reel, date, edition, page, kind.
-MEMBER = r"([^/]+)/(?:(\d{7,})/)?(\d{4})/(\d{2})/(\d{2})/ed-(\d+)/seq-(\d+)/ocr\.(txt|xml)$"
+from pagemill.functions.links import segments
 
+#: Bytes of members that a task holds at a time.
+HELD = 4 << 20
+_SCHEMA = "archive string, member string, content string"
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for name, content in zip(batch["path"], batch["content"], strict=True):
-            with tarfile.open(fileobj=bz2.BZ2File(io.BytesIO(content)), mode="r|") as tar:
-                for m in tar:
-                    if m.isfile() and m.name.endswith(("/ocr.txt", "/ocr.xml")):
-                        yield pd.DataFrame({"archive": [name], "member": [m.name], "content": [tar.extractfile(m).read().decode("utf-8", "replace")]})
 
+def open_uri(path: str) -> BinaryIO:
+    """A file of a local folder or of a store that Arrow knows (s3, gs, hdfs), as a stream."""
+    if path.startswith("file:"):
+        path = "file://" + path.removeprefix("file:").removeprefix("//")
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(name, compression=None)
 
-def read_members(spark: SparkSession, path: str) -> DataFrame:
-    """archive, member, content of the OCR files in all archives under ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.bz2").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(_members, "archive string, member string, content string")
 
+def members(stream: BinaryIO) -> Iterator[tuple[str, str]]:
+    """Name and text of each OCR file, one at a time."""
+    with tarfile.open(fileobj=bz2.BZ2File(stream), mode="r|") as tar:
+        for m in tar:
+            if m.isfile() and m.name.endswith(("/ocr.txt", "/ocr.xml")):
+                yield m.name, tar.extractfile(m).read().decode("utf-8", "replace")
 
-def archive_pages(members: DataFrame) -> DataFrame:
-    """One row for each page: its key, text (``txt``) and layout XML (``xml``), whichever there are."""
-    get = lambda k: F.regexp_extract("member", MEMBER, k)
-    rows = members.filter(F.col("member").rlike(MEMBER)).select("archive", get(1).alias("lccn"), F.nullif(get(2), F.lit("")).alias("reel"), F.concat_ws("-", get(3), get(4), get(5)).alias("date"), get(6).cast("int").alias("edition"), get(7).cast("int").alias("sequence"), get(8).alias("kind"), "content")
+
+def _read(opener: Callable[[str], BinaryIO]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names=["archive", "member", "content"])
+
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                held, size = [], 0
+                with opener(path) as stream:
+                    for name, content in members(stream):
+                        held.append((path, name, content))
+                        size += len(content)
+                        if size >= HELD:
+                            yield out()
+                            held, size = [], 0
+                if held:
+                    yield out()
+
+    return run
+
+
+def read_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_uri) -> DataFrame:
+    """archive, member, content of the OCR files in all archives under ``path``.
+
+    Spark lists the files; a task opens each with ``opener`` (for a store that Arrow doesn't know, give your own).
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.bz2").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.repartition(max(1, len(files.inputFiles()))).mapInArrow(_read(opener), _SCHEMA)
+
+
+def archive_pages(rows: DataFrame) -> DataFrame:
+    """One row for each page: its key, text (``txt``) and layout XML (``xml``), whichever there are.
+
+    Members: ``<lccn>/[<reel>/]<yyyy>/<mm>/<dd>/ed-<n>/seq-<n>/ocr.<kind>``; a reel has seven digits or more.
+    """
+    p = segments(F.col("member"))
+    part = lambda k: F.when(F.size(p) >= k, F.element_at(p, -k))
+    after = lambda c, mark: F.when(F.startswith(c, F.lit(mark)), F.substring(c, len(mark) + 1, 9)).try_cast("int")
+    reel = F.when(part(7).rlike("^[0-9]{7,}$") & (part(8) != "."), part(7))
+    keys = {"lccn": F.when(reel.isNotNull(), part(8)).otherwise(part(7)), "reel": reel, "date": F.concat_ws("-", part(6), part(5), part(4)), "edition": after(part(3), "ed-"), "sequence": after(part(2), "seq-"), "kind": F.substring_index(part(1), ".", -1)}
+    rows = rows.select("archive", *(v.alias(k) for k, v in keys.items()), "content")
+    rows = rows.filter("lccn IS NOT NULL AND edition IS NOT NULL AND sequence IS NOT NULL AND kind IN ('txt', 'xml')").filter(F.col("date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"))
     one = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("content"))).alias(kind)
     return rows.groupBy("archive", "lccn", "date", "edition", "sequence").agg(F.max("reel").alias("reel"), one("txt"), one("xml"))
