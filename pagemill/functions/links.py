@@ -43,9 +43,18 @@ def page_id(lccn: Column, date: Column, edition: Column, sequence: Column) -> Co
     return F.concat(lccn, F.lit("_"), date, F.lit("_ed-"), edition.cast("string"), F.lit("_seq-"), sequence.cast("string"))
 
 
+def page_part(prefix: Column, date: Column, edition: Column, sequence: Column) -> Column:
+    return F.concat(prefix, F.lit("#"), date, F.lit("#ed-"), edition.cast("string"), F.lit("#p"), _two(sequence))
+
+
 def chunk_id(prefix: Column, date: Column, edition: Column, sequence: Column, index: Column) -> Column:
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    return F.concat(prefix, F.lit("#"), date, F.lit("#ed-"), edition.cast("string"), F.lit("#p"), two(sequence), F.lit("#c"), two(index))
+    return F.concat(page_part(prefix, date, edition, sequence), F.lit("#c"), _two(index))
+
+
+def _two(n: Column) -> Column:
+    """A number of two digits or more."""
+    text = n.cast("string")
+    return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
 
 
 # A batch whose pages lack their reel; by day (with edition 1 to 9), what to add to page numbers up to a last one.

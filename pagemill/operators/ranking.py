@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from pagemill.scratch import written
+
 
 def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "n") -> DataFrame:
     return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
@@ -41,12 +43,29 @@ def insert_missing(current: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
     return current.unionByName(new.join(current.select(*keys), list(keys), "left_anti"))
 
 
-def first_middle_last(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def numbered_spread(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "n") -> DataFrame:
+    """``numbered``, for groups too large for a task: rows are sorted by ranges, numbered in each range, and moved on by
+    what the group's earlier ranges hold."""
+    keys = [*by, *order]
+    part = written(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "ranges")
+    counts = part.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_count"))  # a row for each group and range at most
+    before = counts.withColumn("_before", F.sum("_count").over(W.partitionBy(*by).orderBy("_part")) - F.col("_count")).drop("_count")
+    local = part.withColumn(name, F.row_number().over(W.partitionBy(*by, "_part").orderBy(*order)))
+    return local.join(before, [*by, "_part"]).withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
+
+
+def first_middle_last(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows 0, n // 2 and n - 1 of each group."""
-    size = F.count(F.lit(1)).over(W.partitionBy(*by))
-    at = numbered(df, by, order, "_n").withColumn("_at", F.col("_n") - 1).withColumn("_size", size)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    at = numbered_spread(df, by, order, "_n").join(sizes, list(by)).withColumn("_at", F.col("_n") - 1)
     picked = (F.col("_at") == 0) | (F.col("_at") == F.floor(F.col("_size") / 2)) | (F.col("_at") == F.col("_size") - 1)
-    return at.filter(picked).drop("_n", "_at", "_size")
+    return at.filter(picked).select(*df.columns)
+
+
+def in_shards(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
+    """``df`` with ``shard``: rows in order, ``size`` to a shard."""
+    all_ = df.withColumn("_all", F.lit(0))
+    return numbered_spread(all_, ["_all"], order, "_n").withColumn("shard", F.floor((F.col("_n") - 1) / size).cast("int")).drop("_all", "_n")
 
 
 def tiered(df: DataFrame, by: Sequence[str], tiers: Sequence[Column], order: Sequence[Column], k: int) -> DataFrame:

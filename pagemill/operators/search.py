@@ -69,6 +69,11 @@ def match_phrase(tokens: Column, wanted: Sequence[str], slop: int = 0) -> Column
     return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).rlike(" " + between.join(wanted) + " ")
 
 
+def match_phrase_prefix(tokens: Column, wanted: Sequence[str]) -> Column:
+    """The words next to each other in order, the last of them only begun."""
+    return F.concat(F.lit(" "), F.array_join(tokens, " ")).contains(" " + " ".join(wanted))
+
+
 def match_prefix(tokens: Column, prefix: str) -> Column:
     return F.exists(tokens, lambda t: t.startswith(prefix))
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from pagemill.functions import links, text as tx
 from pagemill.operators.export import export_documents, violations
-from pagemill.operators.ranking import first_middle_last, tiered
+from pagemill.operators.ranking import first_middle_last, numbered_spread, tiered
 from pagemill.operators.search import zero_filled
 from pagemill.plans import query, table
 from pagemill.plans.views import PAGES_SQL, TERMS_SQL, pages, with_id
@@ -53,7 +52,7 @@ def namespace_stats(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {PAGES_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY date, doc_id) - 1 AS k, count(*) OVER (PARTITION BY slug) AS c FROM pages_v)
 SELECT doc_id, slug, date FROM n WHERE k = 0 OR k = c // 2 OR k = c - 1""")
 def sample_first_mid_last(spark: SparkSession, sf: str) -> DataFrame:
-    return first_middle_last(pages(spark, sf).select("doc_id", "slug", "date"), ["slug"], [F.col("date"), F.col("doc_id")])
+    return first_middle_last(pages(spark, sf).select("doc_id", "slug", "date"), ["slug"], ["date", "doc_id"])
 
 
 @query(f"""WITH {PAGES_SQL}, t AS (SELECT doc_id, year, date, CASE WHEN date LIKE '%-01-01' THEN 0 WHEN month = 7 THEN 1 WHEN month IN (8, 12) THEN 2 ELSE 3 END AS tier FROM pages_v)
@@ -106,8 +105,8 @@ SELECT page_id, host, path, CAST(row_number() OVER (PARTITION BY host ORDER BY p
   first_value(path) OVER (PARTITION BY host ORDER BY path, page_id) AS first_path FROM p""")
 def asset_sequencing(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"), F.regexp_extract("url", "://[^/?#]*([^?#]*)", 1).alias("path"))
-    order = W.partitionBy("host").orderBy("path", "page_id")
-    return p.withColumn("sequence", F.row_number().over(order)).withColumn("first_path", F.first("path").over(order))
+    first = p.groupBy("host").agg(F.min("path").alias("first_path"))
+    return numbered_spread(p, ["host"], ["path", "page_id"], "sequence").withColumn("sequence", F.col("sequence").cast("int")).join(first, "host").select("page_id", "host", "path", "sequence", "first_path")
 
 
 @query(f"""WITH {PAGES_SQL} SELECT doc_id, 'newspapers/' || state || '/' || slug || '/' || year || '/' || slug || '_' || replace(date, '-', '_') || '.parquet' AS dest, year AS file_year FROM pages_v""")
@@ -135,7 +134,8 @@ def doc_assembly(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT c.conv_id, c.turn, 'c' || c.conv_id || '_seq-' || c.turn AS _id, n AS page_count, len(string_split_regex(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '[ \\t\\n\\r]+')) AS word_count
 FROM conversations c JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1) USING (conv_id) WHERE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) <> ''""")
 def issue_export(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "conversations").withColumn("page_count", F.count(F.lit(1)).over(W.partitionBy("conv_id")))
+    c = table(spark, sf, "conversations")
+    c = c.join(c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("page_count")), "conv_id")
     c = c.withColumn("_id", F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("_seq-"), F.col("turn").cast("string")))
     out = export_documents(c, F.col("_id"), F.col("text"), {"conv_id": F.col("conv_id"), "turn": F.col("turn"), "page_count": F.col("page_count")})
     return out.filter("word_count IS NOT NULL").select("conv_id", "turn", "_id", "page_count", F.col("word_count").cast("long").alias("word_count"))
@@ -150,18 +150,33 @@ def export_violations(spark: SparkSession, sf: str) -> DataFrame:
     return violations(bad).groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_id").alias("ids"))
 
 
-@query(f"""WITH w AS (SELECT doc_id, length(text) AS chars, length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(text, '[^\\^~|_*\\\\§#<>{{}}\\[\\]=@`]', '', 'g')) AS symbols,
-  list_transform(regexp_extract_all(text, '[a-zA-Z]+'), lambda x: lower(x)) AS ws FROM documents),
+def _ocr_sql(text: str) -> str:
+    return f"""w AS (SELECT doc_id, length({text}) AS chars, length(regexp_replace({text}, '[^\\p{{L}}]', '', 'g')) AS letters, length(regexp_replace({text}, '[^\\^~|_*\\\\§#<>{{}}\\[\\]=@`]', '', 'g')) AS symbols,
+  list_transform(regexp_extract_all({text}, '[a-zA-Z]+'), lambda x: lower(x)) AS ws FROM documents),
 r AS (SELECT doc_id, len(ws) AS n, letters / nullif(chars, 0) AS a, symbols / nullif(chars, 0) AS s, len(list_filter(ws, lambda x: regexp_matches(x, '[aeiouy]'))) / nullif(len(ws), 0) AS v,
   len(list_filter(ws, lambda x: x IN ({", ".join(f"'{w}'" for w in tx.COMMON_WORDS)}))) / nullif(len(ws), 0) AS c,
-  len(list_filter(ws, lambda x: length(x) = 1 AND x NOT IN ('a', 'i'))) / nullif(len(ws), 0) AS f FROM w)
-SELECT doc_id, CAST(n AS BIGINT) AS n_words, round(coalesce(a, 0), 3) AS alpha_ratio, round(coalesce(v, 0), 3) AS vowel_ratio, round(coalesce(c, 0), 3) AS common_ratio,
+  len(list_filter(ws, lambda x: length(x) = 1 AND x NOT IN ('a', 'i'))) / nullif(len(ws), 0) AS f FROM w),
+o AS (SELECT doc_id, CAST(n AS BIGINT) AS n_words, round(coalesce(a, 0), 3) AS alpha_ratio, round(coalesce(v, 0), 3) AS vowel_ratio, round(coalesce(c, 0), 3) AS common_ratio,
   CASE WHEN n = 0 THEN 0.0 ELSE greatest(0, 100 - (CASE WHEN a < 0.6 THEN 35 WHEN a < 0.72 THEN 15 ELSE 0 END) - (CASE WHEN s > 0.03 THEN 30 WHEN s > 0.01 THEN 15 ELSE 0 END) - (CASE WHEN v < 0.8 THEN 30 WHEN v < 0.9 THEN 15 ELSE 0 END)
-  - (CASE WHEN c < 0.1 THEN 25 WHEN c < 0.18 THEN 10 ELSE 0 END) - (CASE WHEN f > 0.1 THEN 25 ELSE 0 END)) / 100 END AS score FROM r""")
+  - (CASE WHEN c < 0.1 THEN 25 WHEN c < 0.18 THEN 10 ELSE 0 END) - (CASE WHEN f > 0.1 THEN 25 ELSE 0 END)) / 100 END AS score FROM r)"""
+
+
+@query(f"WITH {_ocr_sql('text')} SELECT * FROM o")
 def ocr_quality(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", tx.ocr_quality(F.col("text")).alias("q")).select("doc_id", "q.n_words", "q.alpha_ratio", "q.vowel_ratio", "q.common_ratio", "q.score")
 
 
+@query(f"""WITH {_ocr_sql('substring(text, 1, 900)')}, m AS (SELECT *, doc_id % 10 / 20 AS noise, doc_id % 7 / 10 AS flaws, doc_id % 9 / 12 AS gibberish FROM o),
+h AS (SELECT *, CAST(round_even(50 * least(greatest(0, 1 - (0.6 * noise + 0.4 * flaws)), 1 - gibberish) + 50 * score, 0) AS INTEGER) AS total FROM m)
+SELECT doc_id, total, CASE WHEN total >= 70 AND noise < 0.35 AND score >= 0.65 THEN 'GOOD_OCR' WHEN total <= 45 OR noise >= 0.55 OR score <= 0.35 OR gibberish >= 0.7 THEN 'BAD_OCR' ELSE 'MARGINAL_OCR' END AS verdict FROM h""")
+def ocr_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Composite verdicts from the first 900 characters; the model's probabilities are stood in for by the id."""
+    part = lambda n, of: (F.col("doc_id") % n) / of
+    d = table(spark, sf, "documents").select("doc_id", tx.ocr_quality(F.substring("text", 1, 900))["score"].alias("score"))
+    total, verdict = tx.ocr_verdict(F.col("score"), part(10, 20), part(7, 10), part(9, 12))
+    return d.select("doc_id", total.alias("total"), verdict.alias("verdict"))
+
+
 @query(f"""WITH v AS (SELECT term, count(*) AS n FROM (SELECT unnest({TERMS_SQL.format('text')}) AS term FROM documents) GROUP BY 1)
 SELECT term, n, CAST(levenshtein(term, 'thering') AS INTEGER) AS distance FROM v WHERE levenshtein(term, 'thering') <= 1""")
 def fuzzy_terms(spark: SparkSession, sf: str) -> DataFrame:
