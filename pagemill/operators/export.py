@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -38,8 +39,14 @@ def violations(df: DataFrame) -> DataFrame:
     return rows.unionByName(twice)
 
 
-def write_jsonl(df: DataFrame, path: str, rows_per_file: int | None = None, by: str | None = None) -> None:
-    """JSON lines, in files of at most so many rows, in a folder for each value of ``by``."""
-    w = df.write.option("ignoreNullFields", "true")
+def write_jsonl(df: DataFrame, path: str, rows_per_file: int | None = None, by: str | None = None, mode: str = "errorifexists") -> None:
+    """JSON lines, in files of at most so many rows, in a folder for each value of ``by``; ``mode``: append or overwrite."""
+    w = df.write.mode(mode).option("ignoreNullFields", "true")
     w = w.option("maxRecordsPerFile", rows_per_file) if rows_per_file else w
     (w.partitionBy(by) if by else w).json(path)
+
+
+def index_schema(df: DataFrame) -> str:
+    """The types of an index's fields, as JSON: what ``acceptable`` leaves, the text as full text."""
+    kind = lambda t: "string_list" if isinstance(t, T.ArrayType) else "boolean" if isinstance(t, T.BooleanType) else "number" if isinstance(t, T.NumericType) else "string"
+    return json.dumps({"fields": {f.name: {"type": kind(f.dataType), **({"full_text_search": True} if f.name == "text" else {})} for f in acceptable(df).schema if f.name != "_id"}})

@@ -174,3 +174,73 @@ SELECT event_type, day, n, n / max(n) OVER (PARTITION BY event_type) AS scaled F
 def timeline_scaled(spark: SparkSession, sf: str) -> DataFrame:
     h = table(spark, sf, "events").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return h.withColumn("scaled", F.col("n") / F.max("n").over(W.partitionBy("event_type")))
+
+
+@query("SELECT p_partkey, p_name, p_brand FROM part WHERE (p_name ILIKE '%e%' OR p_brand ILIKE '%e%') AND p_size >= 5 ORDER BY p_name, p_partkey LIMIT 50")
+def ordered_search(spark: SparkSession, sf: str) -> DataFrame:
+    hits = flt.where(table(spark, sf, "part"), flt.contains(["p_name", "p_brand"], "e"), flt.at_least("p_size", 5))
+    return hits.orderBy("p_name", "p_partkey").limit(50).select("p_partkey", "p_name", "p_brand")
+
+
+_PENDING_SQL = f"""{_QUEUE_SQL}, b AS (SELECT CAST(o_orderkey AS VARCHAR) AS name, o_custkey AS owner, CASE WHEN o_orderkey % 17 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS size_bytes FROM orders)"""
+
+
+@query(f"WITH {_PENDING_SQL} SELECT q.name, size_bytes FROM queue q JOIN b ON q.name = b.name JOIN customer ON owner = c_custkey WHERE status = 'failed' AND upper(c_mktsegment) = 'BUILDING' ORDER BY size_bytes NULLS FIRST, q.name LIMIT 60")
+def pending_by_size(spark: SparkSession, sf: str) -> DataFrame:
+    """What is to be done after a retry, the smallest first."""
+    o = table(spark, sf, "orders")
+    owners = flt.where(table(spark, sf, "customer"), flt.equals_folded("c_mktsegment", "building")).select(F.col("c_custkey").alias("o_custkey"))
+    batches = o.join(owners, "o_custkey", "left_semi").select(F.col("o_orderkey").cast("string").alias("name"), F.when(F.col("o_orderkey") % 17 != 0, F.floor("o_totalprice")).alias("size_bytes"))
+    return q.pending(q.retry(_queue(spark, sf)), batches, 60).select("name", "size_bytes")
+
+
+@query(f"""WITH {_QUEUE_SQL}, f AS (SELECT name, CASE WHEN attempts = 1 THEN 'failed' ELSE status END AS status, pages, CASE WHEN attempts = 1 THEN 'broken' END AS error, attempts, c_mktsegment AS seg FROM queue LEFT JOIN customer ON o_custkey = c_custkey)
+SELECT name, CASE WHEN seg IN ('MACHINERY', 'BUILDING') THEN 'pending' ELSE status END AS status, CASE WHEN seg IN ('MACHINERY', 'BUILDING') THEN 0 ELSE pages END AS pages,
+  CASE WHEN seg IN ('MACHINERY', 'BUILDING') THEN NULL ELSE error END AS error, CASE WHEN seg = 'MACHINERY' THEN 0 ELSE attempts END AS attempts FROM f""")
+def queue_resets(spark: SparkSession, sf: str) -> DataFrame:
+    """Failures, then resets of some owners' batches: with their attempts made anew, or kept."""
+    queue, c = _queue(spark, sf), table(spark, sf, "customer")
+    of = lambda segment: queue.join(c.filter(F.col("c_mktsegment") == segment).select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi").select("name")
+    failed = q.fail(queue.drop("o_custkey"), F.col("attempts") == 1, F.lit("broken"))
+    return q.reset(q.reset(failed, of("MACHINERY")), of("BUILDING"), attempts=False).select("name", "status", "pages", "error", "attempts")
+
+
+@query("""WITH n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS k, count(*) OVER (PARTITION BY o_custkey) AS c FROM orders)
+SELECT o_custkey, bool_and(o_orderkey % 3 > 0) AS done FROM n WHERE k = 0 OR k = c // 2 OR k = c - 1 GROUP BY 1""")
+def queue_done_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Is a batch there already? Three of its issues tell."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    return q.already_done(o, o.filter("o_orderkey % 3 > 0"), "o_custkey", ["o_orderkey"], ["o_orderdate", "o_orderkey"])
+
+
+@query("SELECT DISTINCT o_orderdate, o_orderpriority FROM orders WHERE o_custkey % 10 = 3 ORDER BY o_orderdate DESC, o_orderpriority LIMIT 25")
+def issue_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The issues of a publication, newest first."""
+    issues = table(spark, sf, "orders").filter("o_custkey % 10 = 3").select("o_orderdate", "o_orderpriority").distinct()
+    return issues.orderBy(F.col("o_orderdate").desc(), "o_orderpriority").limit(25)
+
+
+@query("""WITH l AS (SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS xs FROM orders GROUP BY 1)
+SELECT o_custkey, '["' || array_to_string(xs, '","') || '"]' AS listed, contains(lower(array_to_string(xs, ',')), 'urg') AS loose, list_contains(xs, '2-HIGH') AS exact FROM l""")
+def json_membership(spark: SparkSession, sf: str) -> DataFrame:
+    lists = table(spark, sf, "orders").groupBy("o_custkey").agg(F.to_json(F.array_sort(F.collect_set("o_orderpriority"))).alias("listed"))
+    return lists.withColumns({"loose": flt.in_json_list("listed", "urg"), "exact": flt.in_json_list("listed", "2-HIGH", exact=True)})
+
+
+@query("SELECT lang AS state FROM documents UNION SELECT n_name FROM nation")
+def state_union(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(F.col("lang").alias("state")).union(table(spark, sf, "nation").select("n_name")).distinct()
+
+
+@query(f"""WITH {_QUEUE_SQL} SELECT c_mktsegment AS state, count(*) FILTER (status = 'completed') AS success, count(*) FILTER (status = 'failed') AS failed, CAST(coalesce(sum(pages) FILTER (status = 'completed'), 0) AS BIGINT) AS pages, CAST(grouping(c_mktsegment) AS INTEGER) AS overall
+FROM queue JOIN customer ON o_custkey = c_custkey GROUP BY ROLLUP (c_mktsegment)""")
+def run_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a run, by state and overall."""
+    rows = _queue(spark, sf).join(table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("state")), "o_custkey")
+    done = F.col("status") == "completed"
+    return rows.rollup("state").agg(F.count_if(done).alias("success"), F.count_if(F.col("status") == "failed").alias("failed"), F.coalesce(F.sum(F.when(done, F.col("pages"))), F.lit(0)).cast("long").alias("pages"), F.grouping("state").cast("int").alias("overall"))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey = 7")
+def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").filter("c_custkey = 7").select("c_custkey", "c_name", "c_acctbal")

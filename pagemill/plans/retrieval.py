@@ -18,19 +18,19 @@ _TERMS = {"hash": 1.0, "thering": 2.0, "and": 1.0}
 _STEMS_SQL = f"list_transform({TERMS_SQL.format('text')}, lambda w: {STEM_SQL.format('w')})"
 
 
-def _bm25_sql(source: str, ns: str) -> str:
-    tf = ", ".join(f"len(list_filter(tokens, lambda t: t = '{w}')) AS tf{i}" for i, w in enumerate(_TERMS))
-    df = ", ".join(f"count(*) FILTER (tf{i} > 0) AS df{i}" for i in range(len(_TERMS)))
-    score = " + ".join(f"{b} * ln(1 + (nd - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * ({_K1} + 1) / (tf{i} + {_K1} * (1 - {_B} + {_B} * n / mean))" for i, b in enumerate(_TERMS.values()))
+def _bm25_sql(source: str, ns: str, terms: dict[str, float] = _TERMS) -> str:
+    tf = ", ".join(f"len(list_filter(tokens, lambda t: t = '{w}')) AS tf{i}" for i, w in enumerate(terms))
+    df = ", ".join(f"count(*) FILTER (tf{i} > 0) AS df{i}" for i in range(len(terms)))
+    score = " + ".join(f"{b} * ln(1 + (nd - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * ({_K1} + 1) / (tf{i} + {_K1} * (1 - {_B} + {_B} * n / mean))" for i, b in enumerate(terms.values()))
     return f"""tok AS (SELECT doc_id, {ns} AS ns, date, sequence, slug, month, day, {_STEMS_SQL} AS tokens FROM {source}),
 tfs AS (SELECT doc_id, ns, date, sequence, slug, month, day, len(tokens) AS n, {tf} FROM tok),
 fig AS (SELECT ns, count(*) AS nd, avg(n) AS mean, {df} FROM tfs GROUP BY 1),
-bm AS (SELECT doc_id, tfs.ns, date, sequence, slug, month, day, {score} AS score FROM tfs JOIN fig ON tfs.ns = fig.ns WHERE {" + ".join(f"tf{i}" for i in range(len(_TERMS)))} > 0)"""
+bm AS (SELECT doc_id, tfs.ns, date, sequence, slug, month, day, {score} AS score FROM tfs JOIN fig ON tfs.ns = fig.ns WHERE {" + ".join(f"tf{i}" for i in range(len(terms)))} > 0)"""
 
 
-def _bm25(spark: SparkSession, sf: str, ns: str) -> DataFrame:
+def _bm25(spark: SparkSession, sf: str, ns: str, terms: dict[str, float] = _TERMS) -> DataFrame:
     t = pages(spark, sf).select("doc_id", F.col(ns).alias("ns"), "date", "sequence", "slug", "month", "day", "text")
-    return s.bm25(t, "ns", "doc_id", _TERMS)
+    return s.bm25(t, "ns", "doc_id", terms)
 
 
 @query(f"""WITH {PAGES_SQL}, {_bm25_sql('pages_v', 'year')}
@@ -143,3 +143,77 @@ def highlights(spark: SparkSession, sf: str) -> DataFrame:
     from pagemill.operators.highlight import highlight
 
     return table(spark, sf, "documents").select("doc_id", highlight(F.col("text"), ["things", "hash"], ["ther"], [("tions", 1)]).alias("html"))
+
+
+_SIDES_SQL = f"""{PAGES_SQL}, {_bm25_sql('pages_v', 'year')}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug, ns ORDER BY round(score, 5) DESC, doc_id) AS rank FROM bm WHERE slug IN ('src0', 'src1', 'src2')) WHERE rank <= 3)"""
+
+
+def _sides(spark: SparkSession, sf: str) -> DataFrame:
+    scored = _bm25(spark, sf, "year").filter(metadata({"slug": {"$in": ["src0", "src1", "src2"]}})).withColumn("score", F.round("score", 5))
+    return s.ranked(scored, ["slug", "ns"], "doc_id", 3)
+
+
+@query(f"WITH {_SIDES_SQL} SELECT slug, ns AS year, count(*) AS hits, CAST(sum(count(*)) OVER (PARTITION BY slug) AS BIGINT) AS total FROM best GROUP BY 1, 2")
+def side_by_side_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits of each publication by year, and its total."""
+    counts = _sides(spark, sf).groupBy("slug", F.col("ns").alias("year")).agg(F.count(F.lit(1)).alias("hits"))
+    return counts.join(counts.groupBy("slug").agg(F.sum("hits").alias("total")), "slug")
+
+
+@query(f"WITH {_SIDES_SQL} SELECT slug, doc_id, date, sequence, CAST(row_number() OVER (ORDER BY date, sequence, doc_id) AS INTEGER) AS position FROM best")
+def side_by_side_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The publications' best in one list, in the order in which they appeared."""
+    from pagemill.operators.ranking import numbered_spread
+
+    best = _sides(spark, sf).select("slug", "doc_id", "date", "sequence").withColumn("all", F.lit(0))
+    return numbered_spread(best, ["all"], ["date", "sequence", "doc_id"], "position").withColumn("position", F.col("position").cast("int")).drop("all")
+
+
+@query(f"""WITH {PAGES_SQL}, {_DENSE_SQL}, {_bm25_sql("pages_v", "slug || '/' || (year % 3)")},
+v AS (SELECT slug || '/' || (year % 3) AS ns, doc_id AS id, score FROM dense JOIN pages_v ON vec_id = doc_id),
+d AS (SELECT ns, id, row_number() OVER (PARTITION BY ns ORDER BY score DESC, id) AS r FROM v),
+f AS (SELECT ns, doc_id AS id, row_number() OVER (PARTITION BY ns ORDER BY round(score, 5) DESC, doc_id) AS r FROM bm),
+u AS (SELECT coalesce(d.ns, f.ns) AS ns, coalesce(d.id, f.id) AS id, d.r AS dr, f.r AS fr FROM (FROM d WHERE r <= 10) d FULL JOIN (FROM f WHERE r <= 10) f ON d.ns = f.ns AND d.id = f.id),
+s AS (SELECT *, coalesce(1.0 / (60 + dr), 0) + coalesce(1.0 / (60 + fr), 0) AS score FROM u)
+SELECT split_part(ns, '/', 1) AS slug, CAST(split_part(ns, '/', 2) AS INTEGER) AS part, id, round(score, 9) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ns ORDER BY score DESC, coalesce(dr, 1 << 30), coalesce(fr, 1 << 30), id) AS INTEGER) AS rank FROM s) WHERE rank <= 5""")
+def rrf_by_publication(spark: SparkSession, sf: str) -> DataFrame:
+    """Two paths (twice as many hits of each), fused for every publication and period."""
+    p = pages(spark, sf).withColumn("part", F.col("year") % 3)
+    lexical = s.bm25(p.select("doc_id", F.concat_ws("/", "slug", "part").alias("ns"), "slug", "part", "text"), "ns", "doc_id", _TERMS).withColumn("score", F.round("score", 5))
+    dense = _dense(spark, sf).join(p.select(F.col("doc_id").alias("vec_id"), "slug", "part"), "vec_id")
+    lists = [s.ranked(dense, ["slug", "part"], "vec_id", 10).withColumnRenamed("vec_id", "id"), s.ranked(lexical, ["slug", "part"], "doc_id", 10).withColumnRenamed("doc_id", "id")]
+    return fused(lists, ["slug", "part"], "id", 5).withColumn("score", F.round("score", 9))
+
+
+_BOOSTED = {"the": 1.0, "thering": 2.5, "que": 0.5}
+
+
+@query(f"""WITH {PAGES_SQL}, {_bm25_sql('pages_v', 'year', _BOOSTED)}, {_CLAUSES_SQL}
+SELECT ns, doc_id, round(score, 5) AS score, rank FROM (SELECT bm.*, CAST(row_number() OVER (PARTITION BY ns ORDER BY round(score, 5) DESC, bm.doc_id) AS INTEGER) AS rank FROM bm JOIN t ON bm.doc_id = t.doc_id
+  WHERE list_contains(tokens, 'the') AND (contains(' ' || array_to_string(tokens, ' '), ' of th') OR len(list_filter(tokens, lambda x: levenshtein(x, 'tions') <= 1)) > 0) AND NOT list_contains(tokens, 'hash')) WHERE rank <= 10""")
+def boolean_scored(spark: SparkSession, sf: str) -> DataFrame:
+    """A scored combination: what must and should occur, with boosts; the begun phrase, the near word; what must not."""
+    p = pages(spark, sf).select("doc_id", F.col("year").alias("ns"), "text", terms(F.col("text")).alias("t"))
+    t = F.col("t")
+    either = s.boolean(should=[s.match_phrase_prefix(t, ["of", "th"]), s.match_fuzzy(t, "tions")])
+    fits = s.boolean(must=[F.array_contains(t, "the"), either], must_not=[F.array_contains(t, "hash")])
+    scored = s.bm25(p.select("doc_id", "ns", "text", fits.alias("fits")), "ns", "doc_id", _BOOSTED).filter("fits").withColumn("score", F.round("score", 5))
+    return s.ranked(scored, ["ns"], "doc_id", 10).select("ns", "doc_id", "score", "rank")
+
+
+#: Saved queries: stems with boosts, and the publications that they are asked of.
+_SAVED = {"alpha": ({"hash": 1.0, "thering": 2.0}, ["src0", "src1"]), "beta": ({"and": 1.0, "que": 3.0}, ["src2", "src3"])}
+
+
+def _saved_sql(name: str) -> str:
+    stems, slugs = _SAVED[name]
+    return f"(WITH {PAGES_SQL}, {_bm25_sql('pages_v', 'year', stems)} SELECT '{name}' AS story, slug, doc_id, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY slug ORDER BY round(score, 5) DESC, doc_id) AS INTEGER) AS rank FROM bm WHERE slug IN ({', '.join(repr(x) for x in slugs)})) WHERE rank <= 4)"
+
+
+@query(" UNION ALL ".join(map(_saved_sql, _SAVED)))
+def saved_queries(spark: SparkSession, sf: str) -> DataFrame:
+    parts = []
+    for name, (stems, slugs) in _SAVED.items():
+        scored = _bm25(spark, sf, "year", stems).filter(F.col("slug").isin(slugs)).withColumn("score", F.round("score", 5))
+        parts.append(s.ranked(scored, ["slug"], "doc_id", 4).select(F.lit(name).alias("story"), "slug", "doc_id", "rank"))
+    return parts[0].unionByName(parts[1])

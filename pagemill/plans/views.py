@@ -29,6 +29,20 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("date", F.concat_ws("-", F.col("year").cast("string"), two("month"), two("day")))
 
 
+#: Publications, a row for each source.
+PUBS_SQL = """
+pubs AS (SELECT slug, 'The Daily ' || slug AS title, CASE n % 3 WHEN 0 THEN 'west' WHEN 1 THEN 'east' ELSE 'plains' END AS region, 'City ' || n AS city, 'State ' || n % 4 AS state_name, 'sn' || lpad(CAST(n AS VARCHAR), 8, '0') AS lccn
+  FROM (SELECT DISTINCT source AS slug, CAST(regexp_extract(source, '[0-9]+') AS INTEGER) AS n FROM documents))
+"""
+
+
+def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("slug"), F.regexp_extract("source", "[0-9]+", 0).try_cast("int").alias("n")).distinct()
+    n = F.col("n").cast("string")
+    region = F.when(F.col("n") % 3 == 0, "west").when(F.col("n") % 3 == 1, "east").otherwise("plains")
+    return d.select("slug", F.concat(F.lit("The Daily "), "slug").alias("title"), region.alias("region"), F.concat(F.lit("City "), n).alias("city"), F.concat(F.lit("State "), (F.col("n") % 4).cast("string")).alias("state_name"), F.concat(F.lit("sn"), F.lpad(n, 8, "0")).alias("lccn"))
+
+
 def with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("page_id", page_id(F.col("lccn"), F.col("date"), F.col("edition"), F.col("sequence")))
 
