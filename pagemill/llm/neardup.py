@@ -45,7 +45,7 @@ PERCENT = 75
 #: Estimates this many standard errors below the threshold are dropped unverified.
 SIGMAS = 4.5
 #: Documents in a block when a bucket is compared across components, by sketches and by full sets.
-WIDE, BLOCK = 2048, 256
+WIDE, BLOCK = 768, 256
 #: Pairs with one document that are worked on together at most; more are dealt out.
 PART = 4096
 
