@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import links
 from pagemill.functions import text as tx
-from pagemill.operators import chunks, export, filters, highlight, queue, ranking, search
+from pagemill.operators import chunks, export, filters, highlight, patching, queue, ranking, search
+from pagemill.streaming import ingest
 
 
 def one(spark, column):
@@ -13,6 +14,7 @@ def one(spark, column):
 
 
 def test_slugs_and_titles(spark):
+    # The names that stored paths have.
     for text, want in (("The Monitor (Omaha, Neb.)", "the-monitor-omaha-neb"), ("New York", "new-york"), ("St. Louis", "st-louis")):
         assert one(spark, tx.slug(F.lit(text), "-")) == want
     for text, want in (("The Monitor (Omaha, Neb.) 1915-1928", "The Monitor"), ("Bee 1900-19??", "Bee"), ("Sun 1885", "Sun"), ("1885", "1885")):
@@ -20,7 +22,7 @@ def test_slugs_and_titles(spark):
 
 
 def test_urls(spark):
-    for url, want in (("https://x.test/resource/00225879/1915-07-03/ed-1/?st=gallery", ("00225879", "1915-07-03", 1)), ("https://x.test/item/sn85026945/1847-03-03/ed-2/", ("sn85026945", "1847-03-03", 2)), ("https://x.test/resource/sn84020657/1917012601/", ("sn84020657", "1917-01-26", 1)), ("https://x.test/about/", None)):
+    for url, want in (("https://x.test/resource/00225879/1915-07-03/ed-1/?st=gallery", ("00225879", "1915-07-03", 1)), ("https://x.test/item/sn85026945/1847-03-03/ed-2/", ("sn85026945", "1847-03-03", 2)), ("https://x.test/resource/sn84020657/1917012601/", ("sn84020657", "1917-01-26", 1)), ("https://x.test/lccn/sn1/19170126/", ("sn1", "1917-01-26", 1)), ("https://x.test/lccn/sn1/1917-01-26/ed-3/seq-2/", ("sn1", "1917-01-26", 3)), ("https://x.test/item/sn1/1917-1-26/", None), ("https://x.test/about/", None)):
         got = one(spark, links.issue_of_url(F.lit(url)))
         assert (tuple(got) if got else None) == want
     url = "https://x.test/data/batches/nbu_a_ver01/data/sn1/00175/1915070301/0004.jp2"
@@ -92,3 +94,61 @@ def test_export(spark, tmp_path):
     assert {"_id": "a", "text": "some text", "char_count": 9, "word_count": 2} in docs and {"_id": "b", "text": "", "title": "t"} in docs
     bad = spark.createDataFrame([("x", "t"), ("x", "t"), (" ", None)], "_id string, text string")
     assert sorted((r._id, r.rule) for r in export.violations(bad).collect()) == [(" ", "blank_id"), (" ", "no_text"), ("x", "duplicate_id")]
+
+
+def test_numbers_across_ranges(spark):
+    rows = [("hot", i % 50, i) for i in range(400)] + [("cold", 1, 1000), (None, None, 1001)]
+    df = spark.createDataFrame(rows, "g string, k int, id int").repartition(5)
+    got = {(r.g, r.id): r.n for r in ranking.numbered_spread(df, ["g"], ["k", "id"], "n").filter("g IS NOT NULL").collect()}
+    want = sorted((k, i) for g, k, i in rows if g == "hot")
+    assert all(got["hot", i] == n for n, (_, i) in enumerate(want, 1)) and got["cold", 1000] == 1 and len(got) == 401
+    picked = ranking.first_middle_last(df.filter("g = 'hot'"), ["g"], ["k", "id"]).collect()
+    assert sorted((r.k, r.id) for r in picked) == sorted([want[0], want[200], want[-1]])
+
+
+def test_patch_touches_what_changes(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.createDataFrame([(i, "a" if i < 5 else "b", "old", None) for i in range(10)], "id int, p string, x string, y int").write.partitionBy("p").parquet(path)
+    before = {f.name for f in tmp_path.glob("t/p=a/*.parquet")}
+    news = spark.createDataFrame([(7, "new", 3), (8, "", None), (1, "old", None)], "id int, x string, y int")
+    assert patching.patch(spark, path, news, ["id"], ["x", "y"], "p", dry_run=True) == 1
+    assert patching.patch(spark, path, news, ["id"], ["x", "y"], "p") == 1
+    got = {r.id: (r.p, r.x, r.y) for r in spark.read.parquet(path).collect()}
+    assert got[7] == ("b", "new", 3) and got[8] == ("b", "old", None) and len(got) == 10
+    assert {f.name for f in tmp_path.glob("t/p=a/*.parquet")} == before
+    assert patching.patch(spark, path, news, ["id"], ["x", "y"], "p") == 0
+
+
+def test_corrupt_files_and_late_rows(spark, tmp_path):
+    folder, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "key string, n int")
+    df.repartition(3).write.parquet(folder)
+    (tmp_path / "in" / "bad.parquet").write_bytes(b"PAR1 not a table")
+    run = lambda: ingest.ingest(ingest.file_stream(spark, folder, df.schema, 1), out, f"file://{tmp_path}/check", "key", "n")
+    run()
+    assert ingest.current(spark, out, "key").count() == 20
+    assert [r.path.rsplit("/", 1)[-1] for r in ingest.unread(spark, folder, out).collect()] == ["bad.parquet"]
+    spark.createDataFrame([("k3", 99)], "key string, n int").coalesce(1).write.mode("append").parquet(folder)
+    run()
+    assert {r.n for r in ingest.current(spark, out, "key").filter("key = 'k3'").collect()} == {99}
+    events = "ts timestamp, kind string, v int"
+    for k, times in enumerate((["2024-01-01 00:10", "2024-01-01 05:00"], ["2024-01-01 00:20"], ["2024-01-01 04:30"])):
+        spark.createDataFrame([(t, "a", 1) for t in times], "t string, kind string, v int").selectExpr("CAST(t AS timestamp) AS ts", "kind", "v").coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/ev")
+        stream = spark.readStream.schema(events).option("pathGlobFilter", "*.parquet").parquet(f"file://{tmp_path}/ev")
+        ingest.save_windows(ingest.windowed_counts(stream, "ts", "kind", "1 hour", "2 hours", "v"), f"file://{tmp_path}/w", f"file://{tmp_path}/wc")
+    got = {r.start.hour: (r.n, r.total) for r in ingest.latest_windows(spark, f"file://{tmp_path}/w", "kind").collect()}
+    assert got == {0: (1, 1), 5: (1, 1), 4: (1, 1)}  # 00:20 came more than two hours late
+
+
+def test_query_choices(spark):
+    assert [filters.number_of(x) for x in ("01 - January", "12", 7, "(any)", "", None, "all", "00")] == [1, 12, 7, None, None, None, None, None]
+    dim = spark.createDataFrame([("sun", "The Sun", "east", "New York"), ("call", "The Call", "west", "California")], "slug string, title string, region string, state_name string")
+    pick = lambda **k: sorted(r.slug for r in filters.publications(dim, **k).collect())
+    assert pick() == ["call", "sun"] and pick(region="WEST", state="New York") == ["call"] and pick(state="in california") == ["call"]
+    assert pick(newspaper="sun", region="west") == ["sun"] and pick(newspaper="east") == ["sun"] and pick(newspaper="from The Call today") == ["call"] and pick(newspaper=["call"]) == ["call"] and pick(newspaper="nothing") == []
+    assert {"story", "stories"} <= set(tx.variants("story")) and all(tx.stem_of(v) == w for w in ("story", "thing", "glass") for v in tx.variants(w))
+
+
+def test_index_schema(spark):
+    df = spark.createDataFrame([("a", "t", 1, ["x"], [1.5])], "_id string, text string, n int, tags array<string>, v array<double>")
+    assert json.loads(export.index_schema(df))["fields"] == {"text": {"type": "string", "full_text_search": True}, "n": {"type": "number"}, "tags": {"type": "string_list"}}

@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 from pagemill.plans import etl
 from pagemill.sources import archives, layout, listings
 
-WORDS = (("THE", 100, 100, 800, 300, ".95"), ("MONITOR", 1000, 100, 2500, 300, ".99"), ("OMAHA,", 100, 500, 1200, 300, ".90"), ("NEBRASKA", 1400, 500, 2400, 300, ".92"))
+WORDS = (("A", 30, 40, 60, 90, ".5"), ("SHIP", 150, 40, 310, 90, ".75"), ("came", 30, 200, 205, 80, ""), ("in.", 260, 200, 120, 80, "1.0"))
 
 
 def alto():
-    s = "".join(f'<String ID="S{i}" CONTENT="{t}" HPOS="{x}" VPOS="{y}" WIDTH="{w}" HEIGHT="{h}" WC="{c}"/><SP/>' + ("</TextLine><TextLine>" if i == 1 else "") for i, (t, x, y, w, h, c) in enumerate(WORDS))
-    return f'<alto xmlns="urn:alto"><Description><MeasurementUnit>inch1200</MeasurementUnit></Description><Layout><Page ID="P" WIDTH="15000" HEIGHT="20000"><PrintSpace><TextBlock ID="BLOCK1" HPOS="100" VPOS="100" WIDTH="9000" HEIGHT="800"><TextLine>{s}</TextLine></TextBlock><TextBlock ID="empty"/></PrintSpace></Page></Layout></alto>'
+    word = lambda i, t, x, y, w, h, c: f'<String ID="w{i}" CONTENT="{t}" HPOS="{x}" VPOS="{y}" WIDTH="{w}" HEIGHT="{h}"' + (f' WC="{c}"' if c else "") + "/>"
+    lines = ["".join(word(i, *WORDS[i]) for i in at) for at in ((0, 1), (2, 3))]
+    body = "".join(f"<TextLine>{x}</TextLine>" for x in lines)
+    return f'<alto xmlns="urn:own"><MeasurementUnit>pixel</MeasurementUnit><Layout><Page WIDTH="1000" HEIGHT="2000"><TextBlock ID="b7" HPOS="30" VPOS="40" WIDTH="600" HEIGHT="300">{body}</TextBlock><TextBlock ID="none"/></Page></Layout></alto>'
 
 
-METS = """<mets LABEL="The Monitor" xmlns:xlink="urn:l"><dmdSec><mods><identifier type="lccn">00225879</identifier><part><detail type="volume"><number>1</number></detail>
-<detail type="issue"><number>1</number></detail><detail type="edition"><number>1</number></detail></part><dateIssued>1915-07-03</dateIssued></mods></dmdSec>
-<fileSec><file ID="a"><FLocat xlink:href="./0004.xml"/></file><file ID="p"><FLocat xlink:href="./0004.pdf"/></file></fileSec>
-<structMap><div TYPE="np:issue"><div TYPE="page" ID="blank"/><div TYPE="page" ID="pg1"><fptr FILEID="a"/><fptr FILEID="p"/></div></div></structMap></mets>"""
+METS = """<mets LABEL="Own Paper" xmlns:l="urn:l"><identifier type="lccn">sn77</identifier><detail type="volume"><number>3</number></detail><detail type="issue"><number>9</number></detail>
+<detail type="edition"><number>2</number></detail><dateIssued>1901-02-03</dateIssued><fileSec><file ID="x"><FLocat l:href="p/7.xml"/></file><file ID="y"><FLocat l:href="p/7.pdf"/></file></fileSec>
+<structMap><div TYPE="page" ID="empty"/><div TYPE="page" ID="seven"><fptr FILEID="x"/><fptr FILEID="y"/></div></structMap></mets>"""
 
 
 def test_layout(spark):
@@ -25,19 +26,19 @@ def test_layout(spark):
     flat = layout.flattened(F.col("p"))
     got = {r.id: r for r in rows.select("id", "p", layout.full_text(F.col("p.blocks")).alias("text"), *(v.alias(k) for k, v in flat.items())).collect()}
     p = got[0]
-    assert p.text == "THE MONITOR\nOMAHA, NEBRASKA" and p.words == [w[0] for w in WORDS]
-    assert p.boxes[0] == [7, 5, 60, 20] and all(0 <= v <= 1000 for b in p.boxes for v in b)
-    assert (p.p.unit, p.p.width, p.p.height, len(p.p.blocks)) == ("inch1200", 15000, 20000, 1)
-    assert [x.text for x in p.lines] == ["THE MONITOR", "OMAHA, NEBRASKA"] and p.blocks[0].block_id == "BLOCK1"
-    assert [round(c, 2) for c in p.word_confidences] == [0.95, 0.99, 0.9, 0.92]
+    assert p.text == "A SHIP\ncame in." and p.words == [w[0] for w in WORDS]
+    assert p.boxes == [[30, 20, 90, 65], [150, 20, 460, 65], [30, 100, 235, 140], [260, 100, 380, 140]]
+    assert (p.p.unit, p.p.width, p.p.height, len(p.p.blocks)) == ("pixel", 1000, 2000, 1)
+    assert [x.text for x in p.lines] == ["A SHIP", "came in."] and p.blocks[0].block_id == "b7"
+    assert p.word_confidences == [0.5, 0.75, 1.0, 1.0]
     assert got[1].p is None and got[2].p is None and got[3].words == []
 
 
 def test_issue(spark):
     df = spark.createDataFrame([(METS, '<batch><issue lccn="a" issueDate="1915-07-03" editionOrder="1">x/1.xml</issue><issue lccn="b" issueDate="1915-07-10">y/2.xml</issue><issue lccn="c"/></batch>'), ("nope", None)], "m string, b string")
     one, two = df.select(layout.issue("m").alias("i"), layout.issue_refs("b").alias("r")).collect()
-    assert (one.i.lccn, one.i.date, one.i.volume, one.i.issue, one.i.edition) == ("00225879", "1915-07-03", "1", "1", "1")
-    assert [(x.sequence, x.page_id, x.alto, x.pdf, x.jp2) for x in one.i.pages] == [(1, "pg1", "./0004.xml", "./0004.pdf", None)]
+    assert (one.i.lccn, one.i.date, one.i.volume, one.i.issue, one.i.edition) == ("sn77", "1901-02-03", "3", "9", "2")
+    assert [(x.sequence, x.page_id, x.alto, x.pdf, x.jp2) for x in one.i.pages] == [(1, "seven", "p/7.xml", "p/7.pdf", None)]
     assert [(x.lccn, x.issue_date, x.edition, x.path) for x in one.r] == [("a", "1915-07-03", 1, "x/1.xml"), ("b", "1915-07-10", 1, "y/2.xml")]
     assert two.i is None and two.r is None
 
@@ -64,7 +65,7 @@ def test_archive_to_pages(spark, tmp_path):
     a, b, c = (got[k] for k in ("sn85026945_1915-07-03_ed-1_seq-1", "sn85026945_1915-07-03_ed-1_seq-2", "00225879_1915-07-03_ed-1_seq-1"))
     assert (a.text, a.char_count, a.word_count, a.year, a.awardee) == ("Front page", 12, 2, 1915, "University of Nebraska-Lincoln")
     assert a.image_url.endswith("/1915070301/0001.jp2") and a.pdf_url.endswith("/1915070301/0001.pdf") and a.newspaper_title == "The Evening Star."
-    assert b.text.startswith("THE MONITOR") and b.image_url.endswith("0002.jp2") and b.page_width == 15000
+    assert b.text.startswith("A SHIP") and b.image_url.endswith("0002.jp2") and b.page_width == 1000
     assert c.reel_id == "00175032496" and c.title == "Newspaper 00225879" and c.state == "Unknown" and c.page_unit == "inch1200"
     cat = {r.lccn: r for r in etl.catalog(spark, f"file://{tmp_path}/pages").collect()}
     assert cat["sn85026945"].total_pages == 2 and cat["sn85026945"].years == "1915-1915"
@@ -84,3 +85,29 @@ def test_listings(spark):
 def test_json_lines(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\nbroken\n{"a": 2}\n')
     assert sorted(r.a for r in listings.json_lines(spark, f"file://{tmp_path}/x.jsonl", "a int").collect()) == [1, 2]
+
+
+def test_batches_of_one_year_both_stay(spark, tmp_path):
+    path, base = f"file://{tmp_path}/pages", "sn85026945/1915/07/"
+    none = spark.createDataFrame([], "lccn string, name string, city string, state string, ethnicity string")
+    assets = listings.manifest_assets(spark.createDataFrame([], "value string"), "https://x.test")
+    batches = {"nbu_a_ver01": ("03", 1, "one"), "nbu_b_ver01": ("10", 1, "two"), "nbu_a_ver02": ("03", 2, "three")}
+    for k, (name, (day, ed, text)) in enumerate(list(batches.items()) + [("nbu_a_ver01", ("03", 1, "again"))]):
+        (tmp_path / f"in{k}").mkdir()
+        _archive(tmp_path / f"in{k}" / f"{name}.tar.bz2", {f"{base}{day}/ed-{ed}/seq-1/ocr.txt": text})
+        pages = archives.archive_pages(archives.read_members(spark, f"file://{tmp_path}/in{k}"))
+        etl.write_pages(etl.page_table(pages, none, assets, name, "https://v.test", "https://x.test"), path)
+    assert sorted((r.date, r.edition, r.text) for r in spark.read.parquet(path).collect()) == [("1915-07-03", 1, "again"), ("1915-07-03", 2, "three"), ("1915-07-10", 1, "two")]
+
+
+def test_archives_are_streamed(spark, tmp_path, monkeypatch):
+    """An archive of many times what a task holds leaves it in many parts, each member once."""
+    texts = {f"sn1/1915/07/03/ed-1/seq-{i}/ocr.txt": f"page {i} " * 50 for i in range(300)}
+    _archive(tmp_path / "x.tar.bz2", {**texts, "./sn2/1915/07/04/ed-1/seq-1/ocr.txt": "dot"})
+    monkeypatch.setattr(archives, "HELD", 2000)
+    import pyarrow as pa
+
+    parts = list(archives._read(archives.open_uri)([pa.RecordBatch.from_pydict({"path": [f"file:{tmp_path}/x.tar.bz2"]})]))
+    assert len(parts) > 50 and max(p.num_rows for p in parts) < 10 and sum(p.num_rows for p in parts) == 301
+    pages = archives.archive_pages(archives.read_members(spark, f"file://{tmp_path}"))
+    assert pages.count() == 301 and pages.filter("lccn = 'sn2'").head().txt == "dot"
