@@ -12,6 +12,7 @@ from pagemill.llm.common import table
 from pagemill.llm.mixing import mix_digest
 from pagemill.llm.neardup import near_duplicates
 from pagemill.llm.packing import near_clusters, pack
+from pagemill.llm.periods import period_digest, planted
 from pagemill.llm.quality import BASE, quality
 from pagemill.llm.secrets import secrets_digest
 from pagemill.llm.sharding import shard
@@ -66,8 +67,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return period_digest(planted(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_near_dedup, op3_secrets, op4_topk, op5_chat_format, op6_substrings, op7_sharding, op8_mixing, op9_quality, op10_url_filter)}
+    return {f.__name__: f for f in (op1_packing, op2_near_dedup, op3_secrets, op4_topk, op5_chat_format, op6_substrings, op7_sharding, op8_mixing, op9_quality, op10_url_filter, op11_periods)}
 
 
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
@@ -104,6 +109,22 @@ SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
   sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)"""
 
 
+#: CRC-32, bit by bit; words by it; pairs of equal words at the distances that a run may have; their runs of neighbours.
+_OP11 = rf"""WITH h AS (SELECT doc_id, text, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ord(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) AS h FROM documents),
+o AS (SELECT doc_id, h, h // 10 AS g, {_WORDS.format("text")} AS ws FROM h),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN g % len(ws) END AS a FROM o),
+w AS (SELECT doc_id, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(len(ws)), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(ws) - a) // (3 + g % 8)) END]) END AS ws FROM a),
+t AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM w),
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.w = y.w AND x.i < y.i),
+r AS (SELECT doc_id, min(i) AS s, count(*) + q AS n, q FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM e) GROUP BY doc_id, q, k HAVING count(*) >= greatest(q, 12 - q)),
+f AS (SELECT doc_id, s, n, min(q) AS q FROM r GROUP BY ALL),
+d AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(s + q, s + n)) AS p FROM f) GROUP BY 1),
+z AS (SELECT doc_id, count(*) AS n_runs, max({{'n': n, 's': -s, 'q': -q}}) AS m, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS said FROM f GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -z.m.s AS start, z.m.n AS length, -z.m.q AS period, (1000 * z.m.n) // (-z.m.q) AS exponent_milli, sha256(coalesce(said, '')) AS runs_sha256,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i - 1)) END, ' ')) AS collapsed_sha256 FROM w LEFT JOIN z USING (doc_id) LEFT JOIN d USING (doc_id)"""
+
+
 def _op10_sql() -> str:
     rules = ", ".join(f"('{k}', '{h}', '{p}')" for k, h, p in DOMAIN_RULES)
     patterns = ", ".join(f"('{k}', '{p}')" for k, p in PATTERN_RULES)
@@ -116,4 +137,4 @@ SELECT page_id, host, path, d.m.rule AS rule, coalesce(d.m.kind, e.m.kind, 'allo
 
 def oracle_sql() -> dict[str, str]:
     """The others need Spark's hashes or a trained model, or positions in texts; tests hold them against plain versions."""
-    return {"op2_near_dedup": _OP2, "op4_topk": _OP4, "op5_chat_format": _OP5, "op6_substrings": _OP6, "op10_url_filter": _op10_sql()}
+    return {"op2_near_dedup": _OP2, "op4_topk": _OP4, "op5_chat_format": _OP5, "op6_substrings": _OP6, "op11_periods": _OP11, "op10_url_filter": _op10_sql()}
