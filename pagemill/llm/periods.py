@@ -110,19 +110,19 @@ def octave(words: np.ndarray, stretches: Stretches, k: int) -> Fragments:
     good = f + b >= least_agreeing(q)
     start, end, q = (c - b)[good], (c + q + f)[good], q[good]
     order = np.lexsort((q, end, start))
-    start, end, q = start[order], end[order], q[order]
-    first = np.ones(len(start), dtype=bool)
-    first[1:] = (start[1:] != start[:-1]) | (end[1:] != end[:-1])
-    return confirmed(words, start[first], end[first], q[first])
+    return confirmed(words, start[order], end[order], q[order])
 
 
 def confirmed(words: np.ndarray, start: np.ndarray, end: np.ndarray, q: np.ndarray) -> Fragments:
-    """The fragments as the words themselves have them."""
-    out = []
-    for s, e, p in zip(start.tolist(), end.tolist(), q.tolist(), strict=True):
+    """The fragments as the words themselves have them; of those with one start and end the first."""
+    out, whole = [], (-1, -1)
+    for s, e, p in zip(start.tolist(), np.minimum(end, len(words)).tolist(), q.tolist(), strict=True):
+        if whole == (s, e):
+            continue
         same = words[s : e - p] == words[s + p : e]
         if same.all():
             out.append((s, e, p))
+            whole = s, e
         else:
             edges = np.flatnonzero(np.diff(np.concatenate(([0], same, [0]))))
             out += [(s + x, s + y + p, p) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if y - x >= max(p, LEAST - p)]
@@ -259,7 +259,7 @@ def runs_of(scan: DataFrame) -> DataFrame:
     """Runs (KEYS, start, length, period) of the texts that ``scanned`` went over."""
     id_type = scan.schema["doc_id"].dataType.simpleString()
     own = scan.filter(F.col("tile").isNull() & (F.size("fragments") > 0)).select(*KEYS, F.explode("fragments").alias("f")).select(*KEYS, "f.*")
-    dealt = scan.filter(F.col("tile").isNotNull()).select(*KEYS, "first", "last", "at", "tile").distinct().repartition(*KEYS, "first", "at")
+    dealt = scan.filter(F.col("tile").isNotNull()).select(*KEYS, "first", "last", "at", "tile").repartition(*KEYS, "first", "at")
     solved = dealt.mapInArrow(_solve_tiles, f"doc_id {id_type}, text_key long, start long, end long, period long")
     return stitched(own.unionByName(solved))
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.chat import chat_digest
 from pagemill.llm.common import table
+from pagemill.llm.infill import infill_digest
+from pagemill.llm.licenses import license_digest
 from pagemill.llm.mixing import mix_digest
 from pagemill.llm.neardup import near_duplicates
 from pagemill.llm.packing import near_clusters, pack
@@ -71,8 +73,16 @@ def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return period_digest(planted(table(spark, sf_dir, "documents")))
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_near_dedup, op3_secrets, op4_topk, op5_chat_format, op6_substrings, op7_sharding, op8_mixing, op9_quality, op10_url_filter, op11_periods)}
+    return {f.__name__: f for f in (op1_packing, op2_near_dedup, op3_secrets, op4_topk, op5_chat_format, op6_substrings, op7_sharding, op8_mixing, op9_quality, op10_url_filter, op11_periods, op12_infill, op13_licenses)}
 
 
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
@@ -125,6 +135,15 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -z.m.s AS start, z.m.n AS length,
   sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i - 1)) END, ' ')) AS collapsed_sha256 FROM w LEFT JOIN z USING (doc_id) LEFT JOIN d USING (doc_id)"""
 
 
+_OP12 = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS ts FROM documents),
+h AS (SELECT *, len(ts) AS n, list_transform(range(4), lambda i: CAST('0x' || h[1 + 8 * i : 8 + 8 * i] AS BIGINT)) AS hs FROM t),
+c AS (SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 90 THEN 'plain' WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, n, form, text, array_to_string(ts[1 : a], '') AS p, array_to_string(ts[a + 1 : b], '') AS m, array_to_string(ts[b + 1 : n], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
+
 def _op10_sql() -> str:
     rules = ", ".join(f"('{k}', '{h}', '{p}')" for k, h, p in DOMAIN_RULES)
     patterns = ", ".join(f"('{k}', '{p}')" for k, p in PATTERN_RULES)
@@ -137,4 +156,4 @@ SELECT page_id, host, path, d.m.rule AS rule, coalesce(d.m.kind, e.m.kind, 'allo
 
 def oracle_sql() -> dict[str, str]:
     """The others need Spark's hashes or a trained model, or positions in texts; tests hold them against plain versions."""
-    return {"op2_near_dedup": _OP2, "op4_topk": _OP4, "op5_chat_format": _OP5, "op6_substrings": _OP6, "op11_periods": _OP11, "op10_url_filter": _op10_sql()}
+    return {"op2_near_dedup": _OP2, "op4_topk": _OP4, "op5_chat_format": _OP5, "op6_substrings": _OP6, "op11_periods": _OP11, "op12_infill": _OP12, "op10_url_filter": _op10_sql()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -107,3 +108,79 @@ def chat(rows):
     said = "".join(f"{r}\n{x}\n" for _, r, x in rows)
     loss = "".join(x for _, r, x in rows if r == "assistant")
     return len(rows), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def runs(w):
+    """(start, length, period) of all runs of at least 12 words."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            s = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i - s >= max(q, 12 - q):
+                found.setdefault((s, i + q), q)
+            i = i + 1 if i == s else i
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def runs_by_equality(w):
+    """``runs`` of a long text: the words q apart compared at once."""
+    import numpy as np
+
+    x, found = np.unique(np.array(w, dtype=object), return_inverse=True)[1], {}
+    for q in range(1, len(w) // 2 + 1):
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], x[:-q] == x[q:], [0]))))
+        for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if e - s >= max(q, 12 - q):
+                found.setdefault((s, e + q), q)
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def planted(doc_id, text):
+    w, h = words(text), zlib.crc32(str(doc_id).encode())
+    if h % 10 or not w:
+        return text or ""
+    n, g = len(w), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return " ".join(w[i] if i < a else w[a + (i - a) % p] for i in range(n))
+
+
+def period_digest(text):
+    """n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256."""
+    w = words(text)
+    found = runs_by_equality(w)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    digests = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{s},{n},{q}\n" for s, n, q in found), " ".join(x for i, x in enumerate(w) if i not in gone))]
+    if not found:
+        return 0, None, None, None, None, *digests
+    s, n, q = min(found, key=lambda r: (-r[1], r[0], r[2]))
+    return len(found), s, n, q, 1000 * n // q, *digests
+
+
+def infill(doc_id, text):
+    """n, form, prefix_chars, middle_chars, output_sha256, restored_sha256."""
+    text = text or ""
+    tokens = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    a, b = sorted(x % (len(tokens) + 1) for x in h[:2])
+    p, m, s = ("".join(x) for x in (tokens[:a], tokens[a:b], tokens[b:]))
+    form = "plain" if text == "" or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90 else "spm" if h[3] % 100 < 20 else "psm"
+    out = {"plain": text, "psm": f"<P>{p}<S>{s}<M>{m}", "spm": f"<S>{s}<P>{p}<M>{m}"}[form]
+    chars = (None, None) if form == "plain" else (len(p), len(m))
+    return len(tokens), form, *chars, hashlib.sha256(out.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
+
+def license_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def license_phrases(text):
+    """n_words, n_base, first_word, last_word, base_labels."""
+    w = license_words(text)
+    at = {(i, label) for phrase, label in (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")) for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split()}
+    starts = [i for i, _ in at]
+    return len(w), len(at), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in at}))
