@@ -13,7 +13,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import stem, terms, variants
+from pagemill.functions.text import stem, stem_of, terms, variants
 from pagemill.operators.ranking import top_per_group
 from pagemill.scratch import written
 
@@ -33,12 +33,16 @@ def term_counts(text: Column, query: Sequence[str]) -> dict[str, Column]:
 
 
 def bm25(docs: DataFrame, namespace: str, key: str, query: Mapping[str, float]) -> DataFrame:
-    """``docs``: namespace, key, text. Adds ``score``; ``query``: stem and boost. Texts without any term of it go.
+    """``docs``: namespace, key, text. Adds ``score``; ``query``: word or stem, and boost (words of one stem add up).
+    Texts without any term of it go.
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)), with N, df and the mean length of the namespace.  Each text is read once:
     its counts are written, and both the namespace's figures and the scores come from them.
     """
-    names = list(query)
+    stemmed: dict[str, float] = {}
+    for word, boost in query.items():
+        stemmed[stem_of(word)] = stemmed.get(stem_of(word), 0.0) + boost
+    query, names = stemmed, list(stemmed)
     counted = written(docs.withColumns(term_counts(F.col("text"), names)).drop("text"), "term-counts")
     figures = counted.groupBy(F.col(namespace).alias("_ns")).agg(F.count(F.lit(1)).alias("_docs"), F.avg("_n").alias("_mean"), *(F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(names))))
     joined = counted.join(figures, counted[namespace] == figures["_ns"])
@@ -65,8 +69,10 @@ def match_phrase(tokens: Column, wanted: Sequence[str], slop: int = 0) -> Column
     """The words next to each other in order; with ``slop`` up to so many other words between the first and the last."""
     if not slop:
         return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).contains(" " + " ".join(wanted) + " ")
-    between = rf"(?: \S+){{0,{slop}}} "
-    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).rlike(" " + between.join(wanted) + " ")
+    # From a first word on, as many words as the phrase and the slop have: the gaps share the slop.
+    inside = "^" + r"(?:\S+ )*?".join(rf"\Q{w}\E " for w in wanted)
+    found = F.filter(tokens, lambda t, i: (t == wanted[0]) & F.concat(F.array_join(F.slice(tokens, i + 1, F.lit(len(wanted) + slop)), " "), F.lit(" ")).rlike(inside))
+    return F.size(found) > 0
 
 
 def match_phrase_prefix(tokens: Column, wanted: Sequence[str]) -> Column:

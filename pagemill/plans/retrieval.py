@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import terms
+from pagemill.functions.text import stem_of, terms
 from pagemill.operators import search as s
 from pagemill.operators.filters import metadata
 from pagemill.operators.ranking import fused, top_per_group
@@ -13,12 +13,13 @@ from pagemill.plans import query, table
 from pagemill.plans.views import PAGES_SQL, STEM_SQL, TERMS_SQL, pages
 
 _K1, _B = 1.2, 0.75
-#: Query terms (stems) and boosts.
+#: Query terms and boosts.
 _TERMS = {"hash": 1.0, "thering": 2.0, "and": 1.0}
 _STEMS_SQL = f"list_transform({TERMS_SQL.format('text')}, lambda w: {STEM_SQL.format('w')})"
 
 
 def _bm25_sql(source: str, ns: str, terms: dict[str, float] = _TERMS) -> str:
+    terms = {stem_of(w): b for w, b in terms.items()}
     tf = ", ".join(f"len(list_filter(tokens, lambda t: t = '{w}')) AS tf{i}" for i, w in enumerate(terms))
     df = ", ".join(f"count(*) FILTER (tf{i} > 0) AS df{i}" for i in range(len(terms)))
     score = " + ".join(f"{b} * ln(1 + (nd - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * ({_K1} + 1) / (tf{i} + {_K1} * (1 - {_B} + {_B} * n / mean))" for i, b in enumerate(terms.values()))
@@ -68,12 +69,12 @@ _CLAUSES_SQL = f"""t AS (SELECT doc_id, {TERMS_SQL.format('text')} AS tokens, '
 
 
 @query(f"""WITH {_CLAUSES_SQL} SELECT doc_id, list_has_all(tokens, ['of', 'the']) AS all_terms, list_has_any(tokens, ['casino', 'is']) AS any_term, contains(line, ' of the ') AS phrase,
-  regexp_matches(line, ' of(?: \\S+){{0,2}} and ') AS near, len(list_filter(tokens, lambda x: starts_with(x, 'thering'))) > 0 AS prefix, len(list_filter(tokens, lambda x: levenshtein(x, 'tions') <= 1)) > 0 AS fuzzy,
+  regexp_matches(line, ' of(?: \\S+){{0,2}} and ') AS near, len(list_filter(range(1, len(tokens) + 1), lambda i: tokens[i] = 'the' AND regexp_matches(array_to_string(tokens[i : i + 5], ' ') || ' ', '^the (?:\\S+ )*?of (?:\\S+ )*?and '))) > 0 AS near_three, len(list_filter(tokens, lambda x: starts_with(x, 'thering'))) > 0 AS prefix, len(list_filter(tokens, lambda x: levenshtein(x, 'tions') <= 1)) > 0 AS fuzzy,
   len(list_filter(tokens, lambda x: regexp_full_match(x, 'th[aeiou]t'))) > 0 AS regex FROM t""")
 def term_filters(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select("doc_id", terms(F.col("text")).alias("t"))
     t = F.col("t")
-    return d.select("doc_id", s.match_all(t, ["of", "the"]).alias("all_terms"), s.match_any(t, ["casino", "is"]).alias("any_term"), s.match_phrase(t, ["of", "the"]).alias("phrase"), s.match_phrase(t, ["of", "and"], 2).alias("near"), s.match_prefix(t, "thering").alias("prefix"), s.match_fuzzy(t, "tions").alias("fuzzy"), s.match_regex(t, "th[aeiou]t").alias("regex"))
+    return d.select("doc_id", s.match_all(t, ["of", "the"]).alias("all_terms"), s.match_any(t, ["casino", "is"]).alias("any_term"), s.match_phrase(t, ["of", "the"]).alias("phrase"), s.match_phrase(t, ["of", "and"], 2).alias("near"), s.match_phrase(t, ["the", "of", "and"], 3).alias("near_three"), s.match_prefix(t, "thering").alias("prefix"), s.match_fuzzy(t, "tions").alias("fuzzy"), s.match_regex(t, "th[aeiou]t").alias("regex"))
 
 
 @query(f"""WITH {_CLAUSES_SQL} SELECT doc_id FROM t WHERE (list_contains(tokens, 'the') AND (contains(line, ' of the ') OR list_contains(tokens, 'que'))) AND NOT list_contains(tokens, 'hash')""")

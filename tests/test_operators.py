@@ -152,3 +152,28 @@ def test_query_choices(spark):
 def test_index_schema(spark):
     df = spark.createDataFrame([("a", "t", 1, ["x"], [1.5])], "_id string, text string, n int, tags array<string>, v array<double>")
     assert json.loads(export.index_schema(df))["fields"] == {"text": {"type": "string", "full_text_search": True}, "n": {"type": "number"}, "tags": {"type": "string_list"}}
+
+
+def test_patch_settles_or_refuses_repeated_keys(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.createDataFrame([(i, "a", i % 3) for i in range(30)], "id long, x string, p int").write.partitionBy("p").parquet(path)
+    news = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (2, "d", 1), (2, "d", 1)], "id long, x string, at int")
+    with pytest.raises(Exception, match="several values for the key"):
+        patching.patch(spark, path, news, ["id"], ["x"], "p")
+    assert patching.patch(spark, path, news, ["id"], ["x"], "p", order=["at"], task_rows=3) == 2
+    rows = spark.read.parquet(path)
+    assert rows.count() == 30 and {(r.id, r.x) for r in rows.filter("x != 'a'").collect()} == {(1, "c"), (2, "d")}
+
+
+def test_slop_is_shared_by_the_gaps(spark):
+    lines = ["a b c", "a x b y c", "a x b y z w c", "a a x x x b c", "x a b b c", "c b a", "a", "", "a.b c x"]
+    tokens = spark.createDataFrame([(x.split(),) for x in lines], "t array<string>")
+    for slop in (1, 2, 4):
+        want = [any(w[0] == "a" and any("b" in w[1:j] and w[j] == "c" for j in range(2, min(len(w), 3 + slop))) for w in (x.split()[i:] for i in range(len(x.split())))) for x in lines]
+        assert [r[0] for r in tokens.select(search.match_phrase(F.col("t"), ["a", "b", "c"], slop)).collect()] == want
+    assert tokens.filter(search.match_phrase(F.col("t"), ["a.b", "c"], 1)).count() == 1
+
+
+def test_bm25_takes_words_as_they_are(spark):
+    docs = spark.createDataFrame([("n", 1, "many things"), ("n", 2, "a thing"), ("n", 3, "none")], "ns string, id long, text string")
+    assert {r.id for r in search.bm25(docs, "ns", "id", {"things": 1.0}).collect()} == {1, 2}
