@@ -12,8 +12,8 @@ Queries and candidates meet in blocks of bounded size, as matrices; no list is l
 similar norms, so that whole blocks can be passed over.
 
 Defined cases: null vectors and those with null or non-finite components take no part; vectors of different lengths
-are not compared; equal rows (vec_id and vector) count once, and no row with the query's vec_id is its candidate;
-a null vec_id takes no part; ties go to the smaller vec_id, and no tie is lost; a vector is whole in one row of a block,
+are not compared; of rows with one vec_id the one whose vector is smallest (by its components in order) counts; a vec_id
+may be of any integer type; a null one takes no part; a component or a score that 64 bits can't hold makes the job fail; ties go to the smaller vec_id, and no tie is lost; a vector is whole in one row of a block,
 however long; an empty table gives no rows; other columns are left out, whatever their names.
 """
 
@@ -37,17 +37,20 @@ GATHER = 8
 DENSE = 0.02
 #: Rows of a block of candidates, and of queries.
 BLOCK, QUERY_BLOCK = 4096, 512
-#: Components are floor(SCALE * x).
-SCALE = 256
+#: Components are floor(SCALE * x); neither they nor scores may reach MOST, a little less than what a long holds.
+SCALE, MOST = 256, 2.0**62.999
 _BLOCKS = "dim int, ids binary, rows binary"
 
 
 def integer_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (array of long): the vectors that take part."""
+    """vec_id (long), v (array of long): the vectors that take part."""
     # NaN and infinities are what x - x = 0 leaves out.
-    named = embeddings.select("vec_id", "embedding")
+    named = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     finite = named.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda x: F.coalesce(x - x == F.lit(0), F.lit(False))))
-    return finite.select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(SCALE) * x.cast("double")).cast("long")).alias("v")).distinct()
+    scaled = lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("long")
+    fits = F.forall("embedding", lambda x: F.abs(x.cast("double")) * SCALE < MOST)
+    refuse = F.raise_error(F.lit("a vector's components exceed 64 bits")).cast("array<bigint>")
+    return finite.select("vec_id", F.when(fits, F.transform("embedding", scaled)).otherwise(refuse).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _to_blocks(size: int):
@@ -141,6 +144,15 @@ def _pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return q, c, array(row["q_rows"]).reshape(len(q), row["dim"]), array(row["rows"]).reshape(len(c), row["dim"])
 
 
+def _refuse_overflow(q: np.ndarray, c: np.ndarray, qm: np.ndarray, cm: np.ndarray) -> None:
+    """Sums of longs would wrap unsaid."""
+    q_all, c_all = _norms(qm, [np.arange(qm.shape[1])]), _norms(cm, [np.arange(cm.shape[1])])
+    if q_all.max(initial=0) * c_all.max(initial=0) >= MOST:
+        over = np.abs(qm.astype(np.float64) @ cm.astype(np.float64).T) >= MOST
+        if (over & (q[:, None] != c)).any():
+            raise OverflowError("a score exceeds 64 bits")
+
+
 def _alike(batch: pa.RecordBatch) -> list[dict]:
     return [row for row in batch.to_pylist() if row["dim"] == row["q_dim"]]
 
@@ -171,6 +183,7 @@ def _resolve(k: int):
         for batch in batches:
             for row in _alike(batch):
                 q, c, qm, cm = _pair(row)
+                _refuse_overflow(q, c, qm, cm)
                 known = dict(zip(row["cut_ids"] or [], row["cuts"] or [], strict=True))
                 found = reaching(qm, cm, np.array([known.get(x, _LEAST) for x in q.tolist()], dtype=np.int64))
                 other = q[found.i] != c[found.j]

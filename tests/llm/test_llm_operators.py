@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -363,6 +364,23 @@ def test_topk_cases(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_topk_of_other_ids(spark):
+    """Ids of a narrower type; several vectors under one id, of which the smallest counts; what 64 bits can't hold."""
+    rng = random.Random(12)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(5)]) for i in range(120)]
+    narrow = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
+    check_topk(topk.top_k(narrow), [(i, [float(np.float32(x)) for x in v]) for i, v in rows])
+    again = [(i, [rng.uniform(-1, 1) for _ in range(5)]) for i in range(0, 120, 10)]
+    smallest = {}
+    for i, v in rows + again:
+        n = [math.floor(256 * x) for x in v]
+        smallest[i] = min(smallest.get(i, n), n)
+    check_topk(topk.top_k(spark.createDataFrame(rows + again, "vec_id long, embedding array<double>")), [(i, [x / 256 for x in v]) for i, v in smallest.items()])
+    for far in ([(0, [1e300, 2.0]), (1, [1.0, 1.0])], [(0, [1e8, 1e8]), (1, [1e8, 1e8])]):
+        with pytest.raises(Exception, match="64 bits"):
+            topk.top_k(spark.createDataFrame(far, "vec_id long, embedding array<double>")).collect()
+
+
 def test_every_query_gets_a_cutoff(spark, monkeypatch):
     """Also from blocks much larger than what is gathered from them."""
     rng, kept = np.random.default_rng(6), {}
