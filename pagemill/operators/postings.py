@@ -3,11 +3,11 @@
 A segment is what one batch of documents adds.  Its documents lie in cells: up to CELL documents of one namespace and
 of like length.  A block holds the postings of one term in one cell (places in the cell, frequencies and, for unstemmed
 terms, positions) with the greatest frequency and the smallest length in it, from which the greatest score that the
-block can give follows, whatever the namespace's figures are by then.  Blocks lie in folders by a hash of their term,
-sorted by term, namespace and cell; queries read the folders and row groups of their terms.
+block can give follows, whatever the namespace's figures are by then.  Blocks lie in folders by their field (stems or
+terms) and a hash of their term, sorted by it; queries read the folders and row groups of their terms.
 
-Cells are made of the documents that a task holds together, so blocks are ready before anything is shuffled; what is
-shuffled is blocks, once.  A frequent term has many blocks, dealt over tasks by their cells.
+Cells are made of the documents that a task holds together, so a batch is written without a shuffle.  Only ``merge``
+shuffles blocks; a frequent term has many, dealt over tasks by their cells.
 
 Top-k search passes over cells: figures of the blocks alone bound every cell's scores; the k cells with the greatest
 bounds hold k documents, whose k-th best score no other cell's bound must stay below.  The rest of the postings is not
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagemill.functions.text import stem, stem_of, terms
+from pagemill.functions.text import stem_of
 from pagemill.operators.ranking import top_per_group
 from pagemill.operators.search import K1, B
 from pagemill.operators.versions import Versions
@@ -43,78 +43,73 @@ from pagemill.scratch import written
 CELL, HELD_WORDS = 256, 1 << 20
 #: Folders of blocks.
 FOLDERS = 8
-STEM, TERM = "stem", "term"
+STEM, TERM, CELLS = "stem", "term", "cells"
 _BLOCK = "ns string, cell long, term string, n_docs int, max_tf int, min_n int, docs array<int>, tfs array<int>, positions array<array<int>>"
-_CELL = "ns string, cell long, keys array<long>, lens array<int>"
+_ROW = f"{_BLOCK}, keys array<long>"
 _FIGURES = "ns string, docs long, words long"
 
 
-def _grouped(codes: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Tokens (term, document, position) sorted; where each posting (term, document) and each term begins among them."""
-    order = np.lexsort((place, doc, codes))
-    codes, doc, place = codes[order], doc[order], place[order]
-    posting = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (doc[1:] != doc[:-1]))))
-    return codes[posting], doc[posting], place, posting
-
-
-def _blocks(ns: str, keys: np.ndarray, lists: dict[str, pa.ListArray]) -> Iterator[pa.RecordBatch]:
-    """The blocks of one cell, and its documents as a row without a term."""
-    lens = lists[TERM].value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
-    cell = int(keys.min())
-    for field, tokens in lists.items():
-        words = pc.dictionary_encode(tokens.flatten())
-        codes, doc = words.indices.to_numpy(), np.repeat(np.arange(len(lens), dtype=np.int32), lens)
-        if not len(codes):
-            continue
-        place = np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)
-        of, docs, places, posting = _grouped(codes, doc, place.astype(np.int32))
-        tfs = np.diff(np.append(posting, len(codes))).astype(np.int32)
-        term = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-        ends = pa.array(np.append(term, len(of)).astype(np.int32))
-        n = len(term)
-        lists_of = lambda values: pa.ListArray.from_arrays(ends, values)
-        if field == TERM:
-            positions = lists_of(pa.ListArray.from_arrays(pa.array(np.append(posting, len(codes)).astype(np.int32)), pa.array(places)))
-        else:
-            positions = pa.nulls(n, pa.list_(pa.list_(pa.int32())))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([field] * n), pa.array([ns] * n), pa.array(np.full(n, cell)), pc.take(words.dictionary, pa.array(of[term])), pa.array(np.diff(np.append(term, len(of))).astype(np.int32)),
-                pa.array(np.maximum.reduceat(tfs, term)), pa.array(np.minimum.reduceat(lens[docs], term)), lists_of(pa.array(docs)), lists_of(pa.array(tfs)), positions, pa.nulls(n, pa.list_(pa.int64())),
-            ],
-            names=_NAMES,
-        )
-    head = [pa.array([v], t) for v, t in (("", pa.string()), (ns, pa.string()), (cell, pa.int64()), (None, pa.string()), (len(keys), pa.int32()), (None, pa.int32()), (None, pa.int32()), (lens, pa.list_(pa.int32())), (None, pa.list_(pa.int32())), (None, pa.list_(pa.list_(pa.int32()))), (keys, pa.list_(pa.int64())))]
-    yield pa.RecordBatch.from_arrays(head, names=_NAMES)
+_NAMES = ["field", "ns", "cell", "term", "n_docs", "max_tf", "min_n", "docs", "tfs", "positions", "keys"]
+_KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())]
+#: What isn't part of a term, as a space (terms are ASCII, so bytes tell).
+_TERM_BYTES = bytes(b if chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for b in range(256))
 
 
-_NAMES = ["field", "ns", "cell", "term", "n_docs", "max_tf", "min_n", "docs", "tfs", "positions", "keys"]
+def _blocks(field: str, ns: str, cell: int, dictionary: pa.Array, codes: np.ndarray, lens: np.ndarray) -> pa.RecordBatch:
+    """The blocks of one cell: ``codes`` are its documents' words, one document after the other."""
+    doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
+    place = (np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
+    order = np.argsort(codes, kind="stable")  # within a term by document and place, as they come
+    codes, doc, place = codes[order], doc[order], place[order]
+    posting = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (doc[1:] != doc[:-1]))))
+    of, docs, tfs = codes[posting], doc[posting], np.diff(np.append(posting, len(codes))).astype(np.int32)
+    term = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    ends, n = pa.array(np.append(term, len(of)).astype(np.int32)), len(term)
+    lists_of = lambda values: pa.ListArray.from_arrays(ends, values)
+    positions = lists_of(pa.ListArray.from_arrays(pa.array(np.append(posting, len(codes)).astype(np.int32)), pa.array(place))) if field == TERM else pa.nulls(n, _KINDS[9])
+    sizes = pa.array(np.diff(np.append(term, len(of))).astype(np.int32))
+    columns = [pa.array([field] * n), pa.array([ns] * n), pa.array(np.full(n, cell)), pc.take(dictionary, pa.array(of[term])), sizes, pa.array(np.maximum.reduceat(tfs, term)), pa.array(np.minimum.reduceat(lens[docs], term).astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, lists_of(pa.array(docs)), lists_of(pa.array(tfs)), positions, pa.nulls(n, _KINDS[10])], names=_NAMES)
+
+
+def _cells(held: list[tuple[str, int, list[bytes]]], size: int) -> Iterator[pa.RecordBatch]:
+    """Blocks and cell rows of documents (ns, key, words)."""
+    held.sort(key=lambda d: (d[0], len(d[2]), d[1]))
+    lens = np.array([len(words) for _, _, words in held], dtype=np.int64)
+    ends = np.concatenate(([0], np.cumsum(lens)))
+    words = pc.dictionary_encode(pa.array([w for _, _, ws in held for w in ws], pa.binary()))
+    told = pc.cast(words.dictionary, pa.string())
+    # Words are stemmed once each.
+    stems = pc.dictionary_encode(pa.array([stem_of(w) for w in told.to_pylist()], pa.string()))
+    codes = words.indices.to_numpy()
+    fields = {TERM: (told, codes), STEM: (stems.dictionary, stems.indices.to_numpy()[codes] if len(codes) else codes)}
+    begin = 0
+    while begin < len(held):
+        ns, end = held[begin][0], begin + 1
+        while end < min(begin + size, len(held)) and held[end][0] == ns:
+            end += 1
+        keys = [key for _, key, _ in held[begin:end]]
+        if ends[end] > ends[begin]:
+            for field, (dictionary, all_) in fields.items():
+                yield _blocks(field, ns, min(keys), dictionary, all_[ends[begin] : ends[end]], lens[begin:end])
+        row = [CELLS, ns, min(keys), None, len(keys), None, None, lens[begin:end].tolist(), None, None, keys]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _KINDS, strict=True)], names=_NAMES)
+        begin = end
 
 
 def _in_cells(size: int):
-    def cells(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(held).combine_chunks()
-        lens = pc.list_value_length(t[TERM])
-        t = t.append_column("n", lens).sort_by([("ns", "ascending"), ("n", "ascending"), ("key", "ascending")]).combine_chunks()
-        names = pc.dictionary_encode(t["ns"].combine_chunks())
-        codes = names.indices.to_numpy()
-        edges = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), len(codes)]
-        for begin, end in zip(edges, edges[1:], strict=False):
-            for at in range(begin, end, size):
-                part = t.slice(at, min(size, end - at))
-                yield from _blocks(names.dictionary[int(codes[at])].as_py(), part["key"].to_numpy(), {f: part[f].combine_chunks() for f in (TERM, STEM)})
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                n += int(pc.sum(pc.list_value_length(batch.column(TERM))).as_py() or 0)
-            if n >= HELD_WORDS:
-                yield from cells(held)
-                held, n = [], 0
+            for ns, key, low in zip(batch.column("ns").to_pylist(), batch.column("key").to_pylist(), batch.column("low"), strict=True):
+                words = low.as_buffer().to_pybytes().translate(_TERM_BYTES).split()
+                held.append((ns, key, words))
+                n += len(words)
+                if n >= HELD_WORDS:
+                    yield from _cells(held, size)
+                    held, n = [], 0
         if held:
-            yield from cells(held)
+            yield from _cells(held, size)
 
     return run
 
@@ -132,45 +127,47 @@ class Index:
     def _segments(self) -> list[str]:
         return [r.segment for r in self.versions.parts()]
 
-    def _folder(self, term: Column) -> Column:
-        return F.pmod(F.xxhash64(term), F.lit(self.folders)).cast("int")
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """With ``h``, the term's hash, and the folder, which the field and the hash tell."""
+        rows = rows.withColumn("h", F.xxhash64("term"))
+        own = F.pmod("h", F.lit(self.folders))
+        return rows.withColumn("folder", F.when(F.col("field") == STEM, own).when(F.col("field") == TERM, own + self.folders).otherwise(2 * self.folders).cast("int")).drop("field")
 
     # Writing
 
     def add(self, docs: DataFrame) -> None:
-        """Add a segment of ``docs``: ns, key, text."""
-        tokens = docs.select(F.col("ns").cast("string").alias("ns"), F.col("key").cast("long").alias("key"), terms(F.col("text")).alias(TERM)).filter("ns IS NOT NULL AND key IS NOT NULL")
-        tokens = tokens.withColumn(STEM, F.transform(TERM, stem))
-        made = written(tokens.mapInArrow(_in_cells(self.cell), f"field string, {_BLOCK}, keys array<long>"), "blocks")
-        cells = made.filter("field = ''").select("ns", "cell", "keys", F.col("docs").alias("lens"))
-        self._write(made.filter("field <> ''").drop("keys"), cells)
-
-    def _write(self, blocks: DataFrame, cells: DataFrame, instead: bool = False) -> None:
-        """Write a segment and make it one more, or the only one."""
-        segment = self.versions.fresh()
-        # A term's blocks are dealt by their cells; a folder gets a file from each task that has blocks of it.
-        dealt = blocks.withColumn("folder", self._folder(F.col("term"))).repartition("field", "folder", F.pmod(F.xxhash64("cell"), F.lit(4)))
-        dealt.sortWithinPartitions("field", "folder", "term", "ns", "cell").write.partitionBy("field", "folder").parquet(self._path("blocks")(segment))
-        cells.write.parquet(self._path("cells")(segment))
-        figures = cells.groupBy("ns").agg(F.sum(F.size("keys")).alias("docs"), F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, n: a + n)).alias("words"))
-        figures.write.parquet(self._path("figures")(segment))
-        if self.spark.read.schema(_FIGURES).parquet(self._path("figures")(segment)).isEmpty():
-            return
-        self.versions.publish([(s,) for s in ([] if instead else self._segments())] + [(segment,)])
+        """Add a segment of ``docs``: ns, key, text.  Each task writes its own blocks, sorted, without a shuffle."""
+        texts = docs.select(F.col("ns").cast("string").alias("ns"), F.col("key").cast("long").alias("key"), F.lower(F.coalesce("text", F.lit(""))).alias("low")).filter("ns IS NOT NULL AND key IS NOT NULL")
+        self._write(self._placed(texts.mapInArrow(_in_cells(self.cell), f"field string, {_ROW}")), [])
 
     def merge(self) -> None:
         """One segment of all: the same blocks, sorted anew, in fewer files."""
         segments = self._segments()
         if len(segments) > 1:
-            self._write(self._all_blocks().drop("folder"), self.cells(), instead=True)
+            # A frequent term's blocks are dealt by their cells; a folder gets a file from each task that has blocks of it.
+            self._write(self._rows().repartition("folder", F.pmod(F.xxhash64("cell"), F.lit(4))), segments)
+
+    def _write(self, rows: DataFrame, instead_of: list[str]) -> None:
+        segment = self.versions.fresh()
+        rows.sortWithinPartitions("folder", "h").write.option("compression", "zstd").partitionBy("folder").parquet(self._path("blocks")(segment))
+        cells = self._cells([segment])
+        figures = cells.groupBy("ns").agg(F.sum(F.size("keys")).alias("docs"), F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, n: a + n)).alias("words"))
+        figures.write.parquet(self._path("figures")(segment))
+        if self.versions.read([segment], self._path("figures"), _FIGURES).isEmpty():
+            return
+        self.versions.publish([(s,) for s in self._segments() if s not in instead_of] + [(segment,)])
 
     # Reading
 
-    def _all_blocks(self) -> DataFrame:
-        return self.versions.read(self._segments(), self._path("blocks"), f"{_BLOCK}, field string, folder int")
+    def _rows(self, segments: list[str] | None = None) -> DataFrame:
+        return self.versions.read(self._segments() if segments is None else segments, self._path("blocks"), f"{_ROW}, h long, folder int")
+
+    def _cells(self, segments: list[str] | None = None) -> DataFrame:
+        return self._rows(segments).filter(F.col("folder") == 2 * self.folders).select("ns", "cell", "keys", F.col("docs").alias("lens"))
 
     def cells(self) -> DataFrame:
-        return self.versions.read(self._segments(), self._path("cells"), _CELL)
+        """ns, cell, keys, lens: a row for each cell, with its documents' keys and lengths."""
+        return self._cells()
 
     def figures(self) -> DataFrame:
         """ns, docs, words: of each namespace."""
@@ -179,12 +176,13 @@ class Index:
 
     def blocks(self, wanted: Sequence[str], field: str = STEM) -> DataFrame:
         """The blocks of some terms; only their folders are read."""
-        folders = self.spark.range(1).select(F.array_distinct(F.transform(F.array(*map(F.lit, wanted)), self._folder))).head()[0]
-        return self._all_blocks().filter((F.col("field") == field) & F.col("folder").isin(folders) & F.col("term").isin(list(wanted)))
+        told = self._placed(self.spark.createDataFrame([(field, w) for w in wanted], "field string, term string")).collect()
+        folders, hashes = sorted({r.folder for r in told}), [r.h for r in told]
+        return self._rows().drop("keys").filter(F.col("folder").isin(folders) & F.col("h").isin(hashes) & F.col("term").isin(list(wanted)))
 
     def terms(self) -> DataFrame:
         """All terms, unstemmed."""
-        return self._all_blocks().filter(F.col("field") == TERM).select("term").distinct()
+        return self._rows().filter((F.col("folder") >= self.folders) & (F.col("folder") < 2 * self.folders)).select("term").distinct()
 
     def weights(self, blocks: DataFrame) -> DataFrame:
         """ns, term, idf, mean: a row for each namespace and term of ``blocks``."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions import links
@@ -80,18 +80,22 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
 _WORDS = r"[ \t\n\r]+"
 
 
+def layout_xml(text: Column) -> Column:
+    """A text as layout XML, with a line for each line."""
+    safe = F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
+    xml = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    word = lambda w, i: F.concat(F.lit('<String CONTENT="'), xml(w), F.lit('" HPOS="'), (i * 10).cast("string"), F.lit('" VPOS="10" WIDTH="8.6" HEIGHT="12"/>'))
+    line = lambda t: F.concat(F.lit("<TextLine>"), F.array_join(F.transform(F.filter(F.split(t, _WORDS), lambda w: w != ""), word), "<SP/>"), F.lit("</TextLine>"))
+    body = F.array_join(F.transform(F.split(safe, "\n"), line), "")
+    return F.concat(F.lit('<alto xmlns="urn:x"><Layout><Page WIDTH="15000" HEIGHT="15000"><TextBlock ID="b">'), body, F.lit("</TextBlock></Page></Layout></alto>"))
+
+
 @query("""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g'), chr(10)), lambda x: array_to_string(list_filter(string_split_regex(x, '[ \\t\\n\\r]+'), lambda w: w <> ''), ' ')), lambda x: x <> '') AS ls FROM documents)
 SELECT doc_id, array_to_string(ls, chr(10)) AS full_text, CAST(len(ls) AS INTEGER) AS n_lines, CAST(coalesce(list_sum(list_transform(ls, lambda x: len(string_split(x, ' ')))), 0) AS INTEGER) AS n_words,
   [CAST(0 AS SMALLINT), CAST(round_even(10 / 15000 * 1000, 0) AS SMALLINT)] AS first_corner FROM l WHERE len(ls) > 0""")
 def layout_text(spark: SparkSession, sf: str) -> DataFrame:
     """Every document written as layout XML (a line for each line), read back by the layout reader."""
-    safe = F.regexp_replace("text", r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
-    xml = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
-    word = lambda w, i: F.concat(F.lit('<String CONTENT="'), xml(w), F.lit('" HPOS="'), (i * 10).cast("string"), F.lit('" VPOS="10" WIDTH="8.6" HEIGHT="12"/>'))
-    line = lambda t: F.concat(F.lit("<TextLine>"), F.array_join(F.transform(F.filter(F.split(t, _WORDS), lambda w: w != ""), word), "<SP/>"), F.lit("</TextLine>"))
-    body = F.array_join(F.transform(F.split(safe, "\n"), line), "")
-    doc = F.concat(F.lit('<alto xmlns="urn:x"><Layout><Page WIDTH="15000" HEIGHT="15000"><TextBlock ID="b">'), body, F.lit("</TextBlock></Page></Layout></alto>"))
-    read = table(spark, sf, "documents").select("doc_id", lay.layout(doc).alias("p"))
+    read = table(spark, sf, "documents").select("doc_id", lay.layout(layout_xml(F.col("text"))).alias("p"))
     flat = lay.flattened(F.col("p"))
     out = read.select("doc_id", lay.full_text(F.col("p.blocks")).alias("full_text"), F.size(flat["lines"]).alias("n_lines"), F.size(flat["words"]).alias("n_words"), F.slice(flat["boxes"][0], 1, 2).alias("first_corner"))
     return out.filter("n_lines > 0")

@@ -19,19 +19,18 @@ FOLDERS = 4
 
 
 def page_index(spark: SparkSession, sf: str, batches: int = 1) -> Index:
-    """The pages' index, with the year as namespace; made of several batches that are merged."""
+    """The pages' index, with the year as namespace; a segment for each batch."""
     index = Index(spark, scratch_path(spark, "index"), FOLDERS)
     p = pages(spark, sf).select(F.col("year").cast("string").alias("ns"), F.col("doc_id").alias("key"), "text")
     for b in range(batches):
         index.add(p.filter(F.col("key") % batches == b) if batches > 1 else p)
-    index.merge()
     return index
 
 
 @query(f"""WITH {PAGES_SQL}, {_bm25_sql('pages_v', 'year')}
 SELECT ns, doc_id, round(score, 5) AS score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ns ORDER BY round(score, 5) DESC, doc_id) AS INTEGER) AS rank FROM bm) WHERE rank <= 10""")
 def index_bm25(spark: SparkSession, sf: str) -> DataFrame:
-    """The ten best pages of every year, from postings alone, of two batches merged."""
+    """The ten best pages of every year, from the postings of two segments alone."""
     return page_index(spark, sf, 2).bm25(_TERMS, 10).select(F.col("ns").cast("int").alias("ns"), F.col("key").alias("doc_id"), "score", "rank")
 
 

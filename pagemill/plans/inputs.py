@@ -11,7 +11,6 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from pagemill.operators.ranking import numbered_spread
 from pagemill.plans import etl, query, table
 from pagemill.plans.views import PAGES_SQL, pages
 from pagemill.scratch import scratch_path, written
-from pagemill.sources import archives, layout, listings
+from pagemill.sources import archive_source, archives, layout, listings
 
 _text = lambda c: F.col(c).cast("string")
 
@@ -145,28 +144,92 @@ def json_lines_slice(spark: SparkSession, sf: str) -> DataFrame:
     return n.filter("n > 150 AND n <= 450").select("event_id", "user_id")
 
 
-def _write_archives(root: str):
-    """Archives of OCR files, one for each group; returns what was written."""
+#: Pages of an archive that the queries write, about.
+ARCHIVE_PAGES = 500
+
+
+def page_members(p: DataFrame, layouts: bool = False) -> DataFrame:
+    """OCR files of pages: k (0 to 7), member, content; ``layouts``: a sixth of the pages has layout XML and an empty text."""
+    key = F.col("doc_id")
+    two = lambda c: F.lpad(_text(c), 2, "0")
+    reel = F.when(key % 2 == 0, "00175032496/").otherwise("")
+    folder = F.concat("lccn", F.lit("/"), reel, _text("year"), F.lit("/"), two("month"), F.lit("/"), two("day"), F.lit("/ed-"), F.floor(1 + key / 168).cast("string"), F.lit("/seq-"), _text("sequence"))
+    p = p.select((key % 8).alias("k"), "doc_id", folder.alias("folder"), F.when((key % 6 == 0) & F.lit(layouts), "").otherwise(F.col("text")).alias("text"), "text")
+    p = p.toDF("k", "doc_id", "folder", "told", "text")
+    docs = p.select("k", "folder", F.lit("ocr.txt").alias("file"), F.col("told").alias("content"))
+    other = p.filter(key % 10 == 0).select("k", "folder", F.lit("notes.md"), F.lit("x"))
+    out = docs.union(other)
+    if layouts:
+        out = out.union(p.filter(key % 6 == 0).select("k", "folder", F.lit("ocr.xml"), etl.layout_xml(F.col("text"))))
+    return out.select("k", "folder", F.concat_ws("/", "folder", "file").alias("member"), "content")
+
+
+def write_archives(rows: DataFrame, root: str, prefix: str = "") -> None:
+    """Archives ``<prefix><k>-<n>.tar.bz2`` of OCR files, as many as their number needs; a page's files stay together."""
+    pieces = max(1, -(-rows.count() // (8 * ARCHIVE_PAGES)))
+    dealt = rows.withColumn("archive", F.concat(F.lit(prefix), _text("k"), F.lit("-"), F.pmod(F.xxhash64("folder"), F.lit(pieces)).cast("string")))
+    written(dealt.select("archive", "member", "content").groupBy("archive").applyInArrow(_write_archive(root), "archive string, members long"), "archived")
+
+
+def _write_archive(root: str):
+    """Writes one archive; returns what was written."""
 
     def run(group: pa.Table) -> pa.Table:
         name = group.column("archive")[0].as_py()
-        system, folder = fs.FileSystem.from_uri(root)
+        system, folder = archives.store_of(root)
         system.create_dir(folder, recursive=True)
-        held = io.BytesIO()
-        with bz2.BZ2File(held, "w") as packed, tarfile.open(fileobj=packed, mode="w|") as tar:
-            for member, content in zip(group.column("member").to_pylist(), group.column("content").to_pylist(), strict=True):
-                data = (content or "").encode()
-                info = tarfile.TarInfo(member)
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-        with system.open_output_stream(f"{folder}/{name}.tar.bz2", compression=None) as out:
-            out.write(held.getvalue())
+        with system.open_output_stream(f"{folder}/{name}.part", compression=None) as out:
+            with bz2.BZ2File(out, "w") as packed, tarfile.open(fileobj=packed, mode="w|") as tar:
+                for member, content in zip(group.column("member"), group.column("content"), strict=True):
+                    data = (content.as_py() or "").encode()
+                    info = tarfile.TarInfo(member.as_py())
+                    info.size = len(data)
+                    tar.addfile(info, io.BytesIO(data))
+        system.move(f"{folder}/{name}.part", f"{folder}/{name}.tar.bz2")  # whole from the first moment on
         return pa.table({"archive": [name], "members": pa.array([group.num_rows], pa.int64())})
 
     return run
 
 
-_ARCHIVE_SQL = f"""{PAGES_SQL}, a AS (SELECT *, 1 + doc_id // 168 AS ed, 'nbu_' || doc_id % 8 || '_ver01' AS batch, trim(text, chr(32) || chr(9) || chr(10) || chr(13)) AS clean FROM pages_v),
+def _write_broken(root: str, prefix: str):
+    """Archives that end in the midst of a member."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column("k").to_pylist():
+                system, folder = archives.store_of(root)
+                system.create_dir(folder, recursive=True)
+                info = tarfile.TarInfo(f"{k}/ocr.txt")
+                info.size = 10_000
+                data = bz2.compress(info.tobuf() + bytes(range(256)) * 30)
+                with system.open_output_stream(f"{folder}/{prefix}{k}-0.tar.bz2", compression=None) as out:
+                    out.write(data[: len(data) // 2])
+            yield pa.RecordBatch.from_arrays([batch.column("k")], names=["k"])
+
+    return run
+
+
+@query(f"""WITH {PAGES_SQL}, a AS (SELECT *, 1 + doc_id // 168 AS ed, doc_id % 8 AS k FROM pages_v)
+SELECT lccn, date, CAST(ed AS INTEGER) AS edition, sequence, text AS txt, NULL AS problem FROM a WHERE k NOT IN (2, 5) UNION ALL SELECT DISTINCT 'a' || k, NULL, NULL, NULL, NULL, 'broken' FROM a WHERE k IN (2, 5)""")
+def archive_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives that arrive in two lots, a broken one in each: pages of the whole ones, and what was set apart."""
+    root, members = scratch_path(spark, "archive-stream"), page_members(pages(spark, sf))
+    for lot in (0, 1):
+        rows, bad = members.filter(F.col("k") % 2 == lot), F.col("k").isin(2, 5)
+        write_archives(rows.filter(~bad), f"{root}/in", f"lot{lot}-")
+        written(rows.filter(bad).select("k").distinct().mapInArrow(_write_broken(f"{root}/in", f"lot{lot}-"), "k long"), "broken")
+        archive_source.run(spark, f"{root}/in", f"{root}/out")
+    none = lambda t: F.lit(None).cast(t)
+    good = archive_source.page_store(spark, f"{root}/out").read().select("lccn", "date", "edition", "sequence", "txt", none("string").alias("problem"))
+    apart = archive_source.quarantine(spark, f"{root}/out").read()
+    apart = apart.select(F.concat(F.lit("a"), F.regexp_extract("archive", r"lot\d-(\d)-", 1)).alias("lccn"), none("string").alias("date"), none("int").alias("edition"), none("int").alias("sequence"), none("string").alias("txt"), F.when(F.length("problem") > 0, "broken").alias("problem"))
+    return good.unionByName(apart)
+
+
+#: What is left of a text that was written as layout: its words, line by line.
+_LINES_SQL = r"""list_filter(list_transform(string_split(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), chr(10)), lambda x: array_to_string(list_filter(string_split_regex(x, '[ \t\n\r]+'), lambda w: w <> ''), ' ')), lambda x: x <> '')"""
+_ARCHIVE_SQL = f"""{PAGES_SQL}, a AS (SELECT *, 1 + doc_id // 168 AS ed, 'nbu_' || doc_id % 8 || '_ver01' AS batch, CASE WHEN doc_id % 6 = 0 THEN array_to_string(lines, chr(10)) ELSE text END AS raw, trim(CASE WHEN doc_id % 6 = 0 THEN array_to_string(lines, chr(10)) ELSE text END, chr(32) || chr(9) || chr(10) || chr(13)) AS clean,
+  CASE WHEN doc_id % 6 = 0 THEN list_sum(list_transform(lines, lambda x: len(string_split(x, ' ')))) ELSE 0 END AS words FROM (SELECT *, {_LINES_SQL} AS lines FROM pages_v)),
 r AS (SELECT lccn || '_' || date || '_ed-' || ed || '_seq-' || sequence AS _id, *, 'Paper ' || slug AS name FROM a WHERE clean <> '')"""
 
 
@@ -174,25 +237,19 @@ def _page_table(spark: SparkSession, sf: str) -> str:
     """The documents as archives, archives as a page table of two batches, the second of which is run twice."""
     root, key = scratch_path(spark, "archives"), F.col("doc_id")
     p = pages(spark, sf).withColumn("ed", (1 + F.floor(key / 168)).cast("string"))
-    two = lambda c: F.lpad(_text(c), 2, "0")
-    reel = F.when(key % 2 == 0, "00175032496/").otherwise("")
-    folder = F.concat("lccn", F.lit("/"), reel, _text("year"), F.lit("/"), two("month"), F.lit("/"), two("day"), F.lit("/ed-"), "ed", F.lit("/seq-"), _text("sequence"))
-    docs = p.select((key % 8).cast("string").alias("archive"), F.concat(folder, F.lit("/ocr.txt")).alias("member"), F.col("text").alias("content"))
-    other = p.filter(key % 10 == 0).select((key % 8).cast("string"), F.concat(folder, F.lit("/notes.md")), F.lit("x"))
-    done = written(docs.union(other).groupBy("archive").applyInArrow(_write_archives(root), "archive string, members long"), "archived")
-    assert done.count()
+    write_archives(page_members(pages(spark, sf), layouts=True), root)
     members = written(archives.archive_pages(archives.read_members(spark, root)), "archive-pages")
     titles = pages(spark, sf).filter("slug != 'src1'").select("lccn", F.concat(F.lit("Paper "), "slug", F.lit(" (Omaha, Neb.) 1915-19??")).alias("name"), F.lit("Omaha").alias("city"), F.lit("Nebraska").alias("state")).distinct()
     assets = p.filter(key % 3 == 0).select("lccn", "date", F.col("ed").cast("int").alias("edition"), "sequence", F.concat(F.lit("own/"), _text("doc_id"), F.lit(".jp2")).alias("image_url"), F.lit(None).cast("string").alias("pdf_url"), F.lit(None).cast("string").alias("reel_id"))
     out = scratch_path(spark, "page-table")
     for batch in (0, 1, 1):  # eight archives, two batches of four
-        mine = members.filter(F.pmod(F.regexp_extract("archive", r"(\d)\.tar\.bz2$", 1).cast("int"), F.lit(2)) == batch)
+        mine = members.filter(F.pmod(F.regexp_extract("archive", r"/(\d)-\d+\.tar\.bz2$", 1).cast("int"), F.lit(2)) == batch)
         etl.write_pages(etl.page_table(mine, titles, assets, f"nbu_{batch}_ver01", "https://v.test", "https://x.test"), out)
     return out
 
 
 @query(f"""WITH {_ARCHIVE_SQL} SELECT _id, clean AS text, CASE WHEN slug = 'src1' THEN 'Newspaper ' || left(lccn, length(lccn) - 4) ELSE name END AS newspaper_title, year, month, day, CASE WHEN slug = 'src1' THEN 'Unknown' ELSE 'Omaha' END AS city, CASE WHEN slug = 'src1' THEN 'Unknown' ELSE 'Nebraska' END AS state,
-  'nbu_' || doc_id % 2 || '_ver01' AS source_batch, 'University of Nebraska-Lincoln' AS awardee, length(text) AS char_count, 'inch1200' AS page_unit, 'Unknown' AS ocr_engine, 0 AS n_words,
+  'nbu_' || doc_id % 2 || '_ver01' AS source_batch, 'University of Nebraska-Lincoln' AS awardee, length(raw) AS char_count, 'inch1200' AS page_unit, 'Unknown' AS ocr_engine, CAST(words AS INTEGER) AS n_words,
   CASE WHEN doc_id % 3 = 0 THEN 'own/' || doc_id || '.jp2' ELSE 'https://x.test/batches/nbu_' || doc_id % 2 || '_ver01/data/' || lccn || '/' || CASE WHEN doc_id % 2 = 0 THEN '00175032496/' ELSE '' END || replace(date, '-', '') || lpad(CAST(ed AS VARCHAR), 2, '0') || '/' || lpad(CAST(sequence AS VARCHAR), 4, '0') || '.jp2' END AS image_url,
   'https://v.test/resource/' || lccn || '/' || date || '/ed-' || ed || '/?sp=' || sequence AS page_url FROM r WHERE year >= 1900""")
 def page_table_years(spark: SparkSession, sf: str) -> DataFrame:

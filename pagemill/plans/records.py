@@ -66,7 +66,7 @@ def hit_cards(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {PAGES_SQL}, {PUBS_SQL}, chosen AS (SELECT 'region' AS choice, slug FROM pubs WHERE region = 'west' UNION ALL SELECT 'title', slug FROM pubs WHERE slug = 'src1'
   UNION ALL SELECT 'state', slug FROM pubs WHERE state_name = 'State 2' UNION ALL SELECT 'list', slug FROM pubs WHERE slug IN ('src3', 'src4') UNION ALL SELECT 'all', slug FROM pubs)
-SELECT choice, p.slug, doc_id FROM pages_v p JOIN chosen c ON p.slug = c.slug WHERE month = 7 AND sequence = 1 AND (choice <> 'all' OR day = 7)""")
+SELECT choice, p.slug, doc_id FROM pages_v p JOIN chosen c ON p.slug = c.slug WHERE month = 5 AND sequence = 1 AND (choice <> 'all' OR day = 5)""")
 def filter_resolution(spark: SparkSession, sf: str) -> DataFrame:
     """Choices of a search form: a region over a state, a newspaper over both, months as they are shown."""
     dim, p = publications(spark, sf), pages(spark, sf)
@@ -74,7 +74,7 @@ def filter_resolution(spark: SparkSession, sf: str) -> DataFrame:
         "region": {"region": "West", "state": "State 2"}, "title": {"newspaper": "news of The Daily src1.", "region": "west"},
         "state": {"state": " state 2 "}, "list": {"newspaper": ["src3", "src4"]}, "all": {"newspaper": "(all)", "state": "All States"},
     }
-    parts = [flt.chosen(p, flt.publications(dim, **c), "07 - July", "07" if name == "all" else "(any)", front_page=True).select(F.lit(name).alias("choice"), "slug", "doc_id") for name, c in choices.items()]
+    parts = [flt.chosen(p, flt.publications(dim, **c), "05 - May", "05" if name == "all" else "(any)", front_page=True).select(F.lit(name).alias("choice"), "slug", "doc_id") for name, c in choices.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -177,12 +177,12 @@ def tiered_files(spark: SparkSession, sf: str) -> DataFrame:
     return tiered(p, ["year"], tiers, [F.col("date"), F.col("doc_id")], 6).select("doc_id", "year", "tier", "rank")
 
 
-@query(f"""WITH {PAGES_SQL} SELECT year, 'July ' || lpad(CAST(day AS VARCHAR), 2, '0') AS label, count(*) AS hits, list_sort(list(DISTINCT slug)) AS slugs FROM pages_v WHERE month = 7 AND day = 7 GROUP BY 1, 2""")
+@query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'July ' || lpad(CAST(day(o_orderdate) AS VARCHAR), 2, '0') AS label, count(*) AS hits, list_sort(list(DISTINCT o_orderpriority)) AS slugs FROM orders WHERE month(o_orderdate) = 7 AND day(o_orderdate) IN (4, 7) GROUP BY 1, 2""")
 def calendar_response(spark: SparkSession, sf: str) -> DataFrame:
-    """A day's pages by year; years without any are not there."""
-    p = pages(spark, sf).filter("month = 7 AND day = 7")
-    label = F.date_format(F.make_date(F.lit(2000), F.col("month"), F.col("day")), "MMMM dd")
-    return p.groupBy("year", label.alias("label")).agg(F.count(F.lit(1)).alias("hits"), F.array_sort(F.collect_set("slug")).alias("slugs"))
+    """What lies on some days, by year; years without any are not there."""
+    o = table(spark, sf, "orders").select("o_orderdate", "o_orderpriority").filter((F.month("o_orderdate") == 7) & F.dayofmonth("o_orderdate").isin(4, 7))
+    label = F.date_format("o_orderdate", "MMMM dd")
+    return o.groupBy(F.year("o_orderdate").alias("year"), label.alias("label")).agg(F.count(F.lit(1)).alias("hits"), F.array_sort(F.collect_set("o_orderpriority")).alias("slugs"))
 
 
 @query("""WITH q AS (SELECT *, CASE page_id % 3 WHEN 0 THEN '"san ' || page_id || '"~2 fire^2' WHEN 1 THEN 'quake~1 "big fire"' ELSE '/fl.*d/ storm~' END AS s FROM pages)
@@ -195,12 +195,18 @@ def query_features(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", query_marks(text).alias("m")).select("page_id", "m.*")
 
 
-@query("""SELECT doc_id, count(*) > 0 AS chunked, CAST(sum(n) AS BIGINT) AS words FROM (SELECT doc_id, len(list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda w: w <> '')) AS n FROM documents) WHERE n > 0 GROUP BY 1""")
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(text, chr(160) || chr(8195) || chr(11) || chr(12), ''), '[ \\t\\n\\r]+'), lambda w: w <> '') AS ws FROM documents)
+SELECT doc_id, true AS sized, true AS numbered, CAST(len(ws) AS BIGINT) AS words, md5(array_to_string(ws, ' ')) AS said FROM w WHERE len(ws) > 0""")
 def recursive_chunk_words(spark: SparkSession, sf: str) -> DataFrame:
-    """The recursive chunker loses and doubles nothing: each document's chunks hold its words, none more than 500."""
-    n = F.size(F.filter(F.split("text", r"[ \t\n\r]+"), lambda w: w != ""))
+    """The recursive chunker's chunks one after the other are the document, word by word; numbered in
+    that order, below their count; none has more than 500 tokens."""
     chunks = recursive_chunks(table(spark, sf, "documents").select("doc_id", F.translate("text", "\u00a0\u2003\x0b\x0c", "").alias("text")))
-    return chunks.groupBy("doc_id").agg(F.bool_and(F.col("token_count") <= 500).alias("chunked"), F.sum(n).cast("long").alias("words"))
+    each = chunks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "token_count", "text"))).alias("cs"), F.max("chunk_count").alias("n"))
+    words = F.filter(F.split(F.array_join(F.transform("cs", lambda c: c["text"]), " "), r"[ \t\n\r]+"), lambda w: w != "")
+    sized = F.forall("cs", lambda c: c["token_count"] <= 500)
+    index = F.transform("cs", lambda c: c["chunk_index"])
+    numbered = (index == F.array_distinct(index)) & (F.array_max(index) < F.col("n"))
+    return each.select("doc_id", sized.alias("sized"), numbered.alias("numbered"), F.size(words).cast("long").alias("words"), F.md5(F.array_join(words, " ").cast("binary")).alias("said"))
 
 
 @query("SELECT doc_id, regexp_replace(trim(regexp_replace(lower(source || ' ' || lang), '[^a-z0-9 -]', '', 'g')), '[- ]+', '-', 'g') AS slug, CAST(regexp_extract(source, '[0-9]+') AS INTEGER) AS number, doc_id % 4 = 0 OR doc_id % 4 = 2 AS listed FROM documents")

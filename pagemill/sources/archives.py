@@ -23,14 +23,25 @@ HELD = 4 << 20
 _SCHEMA = "archive string, member string, content string"
 
 
-def open_uri(path: str) -> BinaryIO:
-    """A file of a local folder or of a store that Arrow knows (s3, gs, hdfs), as a stream."""
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a local folder or of a store that Arrow knows (s3, gs, hdfs), and the path in it."""
     if path.startswith("file:"):
         path = "file://" + path.removeprefix("file:").removeprefix("//")
-    system, name = fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(path)
+
+
+def open_uri(path: str) -> BinaryIO:
+    """A file as a stream."""
+    system, name = store_of(path)
     return system.open_input_stream(name, compression=None)
 
 
+def open_file(path: str) -> BinaryIO:
+    """A file of which parts are read."""
+    system, name = store_of(path)
+    return system.open_input_file(name)
+
+
 def members(stream: BinaryIO) -> Iterator[tuple[str, str]]:
     """Name and text of each OCR file, one at a time."""
     with tarfile.open(fileobj=bz2.BZ2File(stream), mode="r|") as tar:
