@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from pagemill.llm.common import quoted, whole_row
+from pagemill.llm.common import quoted, small, whole_row
 from pagemill.scratch import written
 
 #: Bytes that a row costs besides its text.
@@ -155,6 +155,6 @@ def shard(docs: DataFrame, shards: int = 24, keep: list[str] | None = None, max_
     counts = rows.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
     offsets = counts.select(F.col("shard").alias("s"), F.col("block").alias("b"), (F.sum("n").over(W.partitionBy("shard").orderBy("block")) - F.col("n")).alias("before"))
     numbered = rows.withColumn("k", F.row_number().over(W.partitionBy("shard", "block").orderBy("doc_id", "h")))
-    # At most shards * SLOT_BLOCKS rows of three numbers.
-    out = numbered.join(F.broadcast(offsets), (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b")))
+    # At most shards * SLOT_BLOCKS rows of three numbers: broadcast if these are few.
+    out = numbered.join(small(offsets), (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b")))
     return out.select("doc_id", *[F.col("kept." + quoted(c)) for c in keep], "size", "text_crc32", "shard", (F.col("before") + F.col("k") - 1).cast("long").alias("slot"))

@@ -143,15 +143,20 @@ def domain_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
 def pattern_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``urls``: url; ``rules``: pattern, kind, tokens (sets of which every match holds a token). Returns url, pattern, kind for each distinct url that a rule matches."""
     rules = rules.dropDuplicates(["pattern"])
-    lower = F.lower(F.coalesce("url", F.lit("")))
-    words = urls.select("url", lower.alias("low"), F.explode(F.array_distinct(F.concat(F.regexp_extract_all(lower, F.lit(f"({_TOKEN})"), F.lit(1)), F.array(F.lit(""))))).alias("token"))
+    # A url has a row for each of its tokens, with its hash alone: the url would be copied as often as it is long.  Urls of
+    # one hash are tested for each other's rules, too; the pattern decides.
+    low = F.lower(F.coalesce("url", F.lit("")))
+    urls = written(urls.select("url").distinct().select("url", F.xxhash64("url").alias("at")), "urls")
+    tokens = F.array_distinct(F.concat(F.regexp_extract_all(low, F.lit(f"({_TOKEN})"), F.lit(1)), F.array(F.lit(""))))
+    words = urls.select("at", F.explode(tokens).alias("token"))
     keys = rules.select("pattern", F.posexplode_outer("tokens").alias("at", "set")).select("pattern", "at", F.explode_outer("set").alias("token")).withColumn("token", F.coalesce("token", F.lit("")))
     names = small(keys.select("token").distinct())
     held = words.join(names, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     sets = keys.join(held, "token", "left").groupBy("pattern", "at").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.array_sort(F.collect_set("token")).alias("set"))
     rarest = sets.groupBy("pattern").agg(F.min_by("set", F.struct("n", "set")).alias("set")).select("pattern", F.explode("set").alias("token"))
     index = written(rules.select("pattern", "kind").join(rarest, "pattern"), "url-index")
-    found = words.join(small(index), "token").filter("regexp_like(low, pattern)")
+    asked = words.join(small(index), "token").select("at", "pattern", "kind")
+    found = urls.join(asked, "at").withColumn("low", low).filter("regexp_like(low, pattern)")
     best = F.max(F.struct(F.length("pattern").alias("len"), F.when(F.col("kind") == "allow", 1).otherwise(0).alias("ok"), "pattern", "kind")).alias("m")
     return found.groupBy("url").agg(best).select("url", "m.pattern", "m.kind")
 

@@ -737,6 +737,15 @@ def test_url_cases(spark):
     assert urls.literal_tokens(r"[?&]replytocom=\d+") == ["replytocom"] and urls.literal_tokens(r"/checkout(?:/|\?|$)") == [] and urls.literal_tokens(r"/calendar/\d{4}") == ["calendar"]
 
 
+def test_long_urls_are_not_copied(spark, monkeypatch):
+    """A url of very many tokens, repeated: tokens go without it, and the verdict is that of the whole."""
+    long = "http://x.test/" + "".join(f"t{i}/" for i in range(25_000))
+    rows, kept = list(enumerate([long + "login", long + "log", long + "login", "http://x.test/login"])), {}
+    monkeypatch.setattr(urls, "written", lambda df, name, real=urls.written: kept.setdefault(name, real(df, name)))
+    check_urls(urls.judge(spark.createDataFrame(rows, "page_id long, url string")), rows)
+    assert kept["urls"].count() == 3 and kept["url-hits"].count() == 2
+
+
 def test_rules_have_keys(spark, monkeypatch):
     keyless = [p for _, p in urls.PATTERN_RULES if not urls.token_sets(p)]
     assert keyless == [r"[./-]porn[a-z]*[./-]"]
