@@ -16,6 +16,7 @@ empty write makes a version without a delta; deleting what isn't there changes n
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,26 +81,22 @@ class MergeTable:
         nothing = {c: F.lit(None).cast(self.schema[c].dataType) for c in self.schema.names if c not in self.keys}
         return self._write(gone.withColumns(nothing | {"_deleted": F.lit(True)}), token)
 
-    def _rows(self, parts: list, wanted) -> DataFrame:
-        """The rows of parts (name, buckets) whose buckets are ``wanted``; only their folders are read."""
-        out = self.spark.createDataFrame([], self.stored)
-        for part, live in parts:
-            some = sorted(b for b in live if b in wanted)
-            if some:
-                out = out.unionByName(self.spark.read.schema(self.stored).parquet(self._path(part)).filter(F.col("_bucket").isin(some)))
-        return out
+    def _scans(self, parts: list, wanted: set[int]) -> list[DataFrame]:
+        """The rows of each part whose buckets are ``wanted``; only their folders are read."""
+        some = [(r.part, sorted(b for b in r.live if b in wanted)) for r in parts]
+        return [self.spark.read.schema(self.stored).parquet(self._path(part)).filter(F.col("_bucket").isin(live)) for part, live in some if live]
 
     def _settled(self, now: list, touched: set[int]) -> DataFrame:
         """The last row of each key in the touched buckets, tombstones among them."""
-        base, deltas = [(r.part, r.live) for r in now if r.kind == BASE], [(r.part, r.live) for r in now if r.kind == DELTA]
-        return last_by(self._rows(base, touched).unionByName(self._rows(deltas, touched)), self.keys, ["_seq", "_deleted"])
+        rows = reduce(DataFrame.unionByName, self._scans([r for r in now if r.kind != TOKEN], touched))
+        return last_by(rows, self.keys, ["_seq", "_deleted"])
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version (the latest)."""
         now = self.versions.parts(version)
         touched = {b for r in now if r.kind == DELTA for b in r.live}
-        calm = self._rows([(r.part, r.live) for r in now if r.kind == BASE], set(range(self.buckets)) - touched)
-        rows = calm.unionByName(self._settled(now, touched)) if touched else calm
+        rows = self._scans([r for r in now if r.kind == BASE], set(range(self.buckets)) - touched) + ([self._settled(now, touched)] if touched else [])
+        rows = reduce(DataFrame.unionByName, rows) if rows else self.spark.createDataFrame([], self.stored)
         return rows.filter("NOT _deleted").select(*self.schema.names)
 
     def compact(self) -> int:

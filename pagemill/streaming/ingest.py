@@ -26,7 +26,8 @@ def file_stream(spark: SparkSession, folder: str, schema, files_per_batch: int |
 
 
 def unread(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """The dead letters: files of ``folder`` (path, bytes) that gave no row of ``target``. Mend them under a new name, and the next run takes them."""
+    """Files of ``folder`` (path, bytes) that have no row in ``target``: unreadable, empty, or superseded by later ones.
+    ``ledger.Ledger`` tells these apart, finds half-read files, and takes mended ones again."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select(F.col("path"), F.col("length").alias("bytes"))
     name = lambda c: F.substring_index(c, "/", -1)
     done = spark.read.parquet(target).select(name(F.col("file")).alias("name")).distinct()
