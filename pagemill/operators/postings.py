@@ -4,7 +4,8 @@ A segment is what one batch of documents adds.  Its documents lie in cells: up t
 of like length.  A block holds the postings of one term in one cell (places in the cell, frequencies and, for unstemmed
 terms, positions) with the greatest frequency and the smallest length in it, from which the greatest score that the
 block can give follows, whatever the namespace's figures are by then.  Blocks lie in folders by their field (stems or
-terms) and a hash of their term, sorted by it; queries read the folders and row groups of their terms.
+terms) and a hash of their term; merged segments are sorted by it.  Queries read the folders, and of merged segments the
+row groups, of their terms.
 
 Cells are made of the documents that a task holds together, so a batch is written without a shuffle.  Only ``merge``
 shuffles blocks; a frequent term has many, dealt over tasks by their cells.
@@ -41,6 +42,7 @@ from pagemill.scratch import written
 
 #: Documents of a cell, and words of documents that a task holds together.
 CELL, HELD_WORDS = 256, 1 << 20
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 #: Folders of blocks.
 FOLDERS = 8
 STEM, TERM, CELLS = "stem", "term", "cells"
@@ -136,20 +138,28 @@ class Index:
     # Writing
 
     def add(self, docs: DataFrame) -> None:
-        """Add a segment of ``docs``: ns, key, text.  Each task writes its own blocks, sorted, without a shuffle."""
+        """Add a segment of ``docs``: ns, key, text.  Each task writes its own blocks, without a shuffle or a sort."""
         texts = docs.select(F.col("ns").cast("string").alias("ns"), F.col("key").cast("long").alias("key"), F.lower(F.coalesce("text", F.lit(""))).alias("low")).filter("ns IS NOT NULL AND key IS NOT NULL")
-        self._write(self._placed(texts.mapInArrow(_in_cells(self.cell), f"field string, {_ROW}")), [])
+        rows = self._placed(texts.mapInArrow(_in_cells(self.cell), f"field string, {_ROW}"))
+        # Wide rows would be spilled if they were sorted by folder: a writer for each is open instead.
+        before = self.spark.conf.get(_WRITERS)
+        self.spark.conf.set(_WRITERS, str(2 * self.folders + 1))
+        try:
+            self._write(rows, [])
+        finally:
+            self.spark.conf.set(_WRITERS, before)
 
     def merge(self) -> None:
         """One segment of all: the same blocks, sorted anew, in fewer files."""
         segments = self._segments()
         if len(segments) > 1:
             # A frequent term's blocks are dealt by their cells; a folder gets a file from each task that has blocks of it.
-            self._write(self._rows().repartition("folder", F.pmod(F.xxhash64("cell"), F.lit(4))), segments)
+            dealt = self._rows().repartition("folder", F.pmod(F.xxhash64("cell"), F.lit(4)))
+            self._write(dealt.sortWithinPartitions("folder", "h"), segments)
 
     def _write(self, rows: DataFrame, instead_of: list[str]) -> None:
         segment = self.versions.fresh()
-        rows.sortWithinPartitions("folder", "h").write.option("compression", "zstd").partitionBy("folder").parquet(self._path("blocks")(segment))
+        rows.write.option("compression", "zstd").partitionBy("folder").parquet(self._path("blocks")(segment))
         cells = self._cells([segment])
         figures = cells.groupBy("ns").agg(F.sum(F.size("keys")).alias("docs"), F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, n: a + n)).alias("words"))
         figures.write.parquet(self._path("figures")(segment))
