@@ -143,7 +143,7 @@ class Index:
         rows = self._placed(texts.mapInArrow(_in_cells(self.cell), f"field string, {_ROW}"))
         # Wide rows would be spilled if they were sorted by folder: a writer for each is open instead.
         before = self.spark.conf.get(_WRITERS)
-        self.spark.conf.set(_WRITERS, str(2 * self.folders + 1))
+        self.spark.conf.set(_WRITERS, str(4 * self.folders + 8))  # well above the folders: at the limit Spark sorts
         try:
             self._write(rows, [])
         finally:
