@@ -111,3 +111,21 @@ def test_archives_are_streamed(spark, tmp_path, monkeypatch):
     assert len(parts) > 50 and max(p.num_rows for p in parts) < 10 and sum(p.num_rows for p in parts) == 301
     pages = archives.archive_pages(archives.read_members(spark, f"file://{tmp_path}"))
     assert pages.count() == 301 and pages.filter("lccn = 'sn2'").head().txt == "dot"
+
+
+def test_layouts_are_read_in_slices_and_once(spark, monkeypatch):
+    """A task holds the trees of a slice, not of a batch; a filter on what was read doesn't read again."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(layout, "SLICE", 300)
+    xml = [None, "<broken", *(f'<a><Page WIDTH="9"/><TextBlock ID="b{i}"><TextLine><String CONTENT="w{i}" HPOS="1.5"/></TextLine></TextBlock></a>' * (1 if i != 4 else 0) or "x" * 1000 for i in range(9))]
+    slices = [s.to_pylist() for s in layout._slices(pa.array(xml, pa.string()))]
+    assert [x for s in slices for x in s] == xml and len(slices) > 4
+    assert all(len(s) == 1 or sum(len(x or "") for x in s) <= 300 for s in slices)
+    df = spark.createDataFrame(list(enumerate(xml)), "i int, xml string").coalesce(1).select("i", layout.layout("xml").alias("p"))
+    got = {r.i: r.p for r in df.collect()}
+    assert {i: p and p.blocks[0].lines[0].words[0].text for i, p in got.items()} == {i: None if i in (0, 1, 6) else f"w{i - 2}" for i in range(len(xml))}
+    assert got[2].blocks[0].lines[0].words[0].x == 1 and got[2].width == 9
+    kept = df.select("i", layout.full_text("p.blocks").alias("t"), F.size(layout.flattened(F.col("p"))["words"]).alias("n")).filter("n > 0")
+    assert kept.count() == 8
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
