@@ -1,131 +1,115 @@
 """The work queue as a stream of events: keyed state that moves by events, and by time alone.
 
-Events (name, kind, at, seq, pages, error) arrive in files.  For each name Spark keeps the entry's state; a start sets a
-timer, and an entry that is neither completed nor failed when event time (the watermark) passes it has stalled: it is
-pending again, or failed once its attempts are used up.  So nothing has to look for stalled work.
+Events (name, kind, at, seq, pages, error) arrive in files.  The queue is a merge table with an entry's state for each
+name; a batch folds the events of each name, in order, into its entry (one join and one grouping, all expressions).  A
+start sets the time when it is due, and an entry that is neither completed nor failed when event time (the newest event
+of the batches so far, less ``late``) passes it has stalled: it is pending again, or failed once its attempts are used
+up.  So nothing has to look for stalled work.
 
 Kinds: enqueue (unless it is there), start (one more attempt, error cleared; enters what isn't there), complete and fail
 (of what is there), retry (of what failed: pending, no attempts).  Others, such as a tick that lets time pass, change
-nothing.  Each batch writes the last state of the names that it changed, and a merge table keeps them; a batch that is
-run again after a failure has its token there already.
+nothing.  A batch that is run again after a failure has its token in the table already.
 
-Defined cases: events of one batch apply in the order of (at, seq); events later than ``late`` behind the newest are
-left out (Spark drops them); a null name or time is left out; repeated events apply again, but for enqueue.
+Defined cases: events of one batch apply in the order of (at, seq), null last, then by their values; events later than
+``late`` behind the newest of earlier batches are left out; a null name or time is left out; repeated events apply
+again, but for enqueue.  A stream with a new checkpoint goes on from what the table holds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pagemill.operators.merging import MergeTable
 from pagemill.plans import query, table
 from pagemill.plans.catalog import _QUEUE_SQL
-from pagemill.scratch import scratch_path
+from pagemill.scratch import scratch_path, written
 
 EVENT = "name string, kind string, at timestamp, seq long, pages long, error string"
-ENTRY = "name string, status string, pages long, error string, attempts int, version long"
-_STATE = "status string, pages long, error string, attempts int, due long, version long"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class Entry(StatefulProcessor):
-    """One entry of the queue; ``limit``: milliseconds that a start may take, ``most``: attempts."""
-
-    def __init__(self, limit: int, most: int):
-        self.limit, self.most = limit, most
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("entry", _STATE)
-
-    def _due(self, old: int | None, new: int | None) -> int | None:
-        """Timers: the old one goes, a new one is set."""
-        if old is not None:
-            self.handle.deleteTimer(old)
-        if new is not None:
-            self.handle.registerTimer(new)
-        return new
-
-    def _out(self, key: tuple, entry: tuple) -> pd.DataFrame:
-        self.state.update(entry)
-        status, pages, error, attempts, _, version = entry
-        return pd.DataFrame({"name": [key[0]], "status": [status], "pages": pd.array([pages], dtype="Int64"), "error": [error], "attempts": [attempts], "version": [version]})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["at", "seq"], kind="stable")
-        entry = self.state.get() if self.state.exists() else None
-        before = entry
-        for e in events.itertuples():
-            at = int(e.at.value // 1_000_000)
-            if entry is not None and entry[4] is not None and entry[4] < at:
-                # The watermark hasn't passed the timer, but this event comes after it.
-                self._due(entry[4], None)
-                entry = self._stalled(entry)
-            status, pages, error, attempts, due, version = entry or (None, None, None, 0, None, 0)
-            if e.kind == "enqueue" and entry is None:
-                entry = ("pending", pages, error, attempts, due, version + 1)
-            elif e.kind == "start":
-                due = self._due(due, at + self.limit)
-                entry = ("processing", pages, None, attempts + 1, due, version + 1)
-            elif e.kind == "complete" and entry is not None:
-                entry = ("completed", None if pd.isna(e.pages) else int(e.pages), error, attempts, self._due(due, None), version + 1)
-            elif e.kind == "fail" and entry is not None:
-                entry = ("failed", pages, e.error, attempts, self._due(due, None), version + 1)
-            elif e.kind == "retry" and status == "failed":
-                entry = ("pending", pages, error, 0, self._due(due, None), version + 1)
-        if entry is not None and entry != before:
-            yield self._out(key, entry)
-
-    def _stalled(self, entry: tuple) -> tuple:
-        """What becomes of an entry whose start took too long."""
-        _, pages, error, attempts, _, version = entry
-        used = attempts >= self.most
-        return ("failed" if used else "pending", pages, "stalled" if used else error, attempts, None, version + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        entry = self.state.get()
-        if entry[0] == "processing":
-            yield self._out(key, self._stalled(entry))
-
-    def close(self) -> None:
-        pass
-
-
-@contextmanager
-def _state_store(spark: SparkSession):
-    """Keyed state with timers needs the store that keeps it on disk."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
-    try:
-        yield
-    finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+_STATE = {"status": "string", "pages": "long", "error": "string", "attempts": "int", "due": "long", "version": "long"}
+ENTRY = "name string, " + ", ".join(f"{k} {t}" for k, t in _STATE.items())
+
+
+def _entry(**fields: Column) -> Column:
+    return F.struct(*(fields[k].cast(t).alias(k) for k, t in _STATE.items()))
+
+
+def _stalled(entry: dict[str, Column], most: int) -> dict[str, Column]:
+    """What becomes of an entry whose start took too long."""
+    used = entry["attempts"] >= most
+    return {**entry, "status": F.when(used, "failed").otherwise("pending"), "error": F.when(used, "stalled").otherwise(entry["error"]), "due": F.lit(None), "version": entry["version"] + 1}
+
+
+def _after(limit: int, most: int):
+    """An entry after an event (times in milliseconds); the version of what isn't there is 0."""
+
+    def step(entry: Column, e: Column) -> Column:
+        old = {k: entry[k] for k in _STATE}
+        # Event time hasn't passed what is due, but this event comes after it.
+        over = old["due"] < e["millis"]
+        s = {k: F.when(over, v).otherwise(old[k]) for k, v in _stalled(old, most).items()}
+        is_, there = lambda kind: F.coalesce(e["kind"] == kind, F.lit(False)), old["version"] > 0
+        enqueue, start, complete, fail, retry = is_("enqueue") & ~there, is_("start"), is_("complete") & there, is_("fail") & there, is_("retry") & F.coalesce(s["status"] == "failed", F.lit(False))
+        moved = enqueue | start | complete | fail | retry
+        return _entry(
+            status=F.when(enqueue | retry, "pending").when(start, "processing").when(complete, "completed").when(fail, "failed").otherwise(s["status"]),
+            pages=F.when(complete, e["pages"]).otherwise(s["pages"]),
+            error=F.when(start, None).when(fail, e["error"]).otherwise(s["error"]),
+            attempts=F.when(start, s["attempts"] + 1).when(retry, 0).otherwise(s["attempts"]),
+            due=F.when(start, e["millis"] + limit).when(moved, None).otherwise(s["due"]),
+            version=s["version"] + moved.cast("long"),
+        )
+
+    return step
 
 
 def queue_table(spark: SparkSession, root: str) -> MergeTable:
     return MergeTable(spark, root, ENTRY, ["name"])
 
 
+def _clock(spark: SparkSession, root: str) -> MergeTable:
+    """The time of each stream's newest event, in microseconds."""
+    return MergeTable(spark, f"{root}/clock", "stream string, newest long", ["stream"], 1)
+
+
+def folded(queue: DataFrame, events: DataFrame, limit: int, most: int) -> DataFrame:
+    """The entries of ``queue`` that ``events`` change, and new ones."""
+    what = F.struct(F.unix_micros("at").alias("micros"), F.col("seq").isNull().alias("last"), "seq", F.unix_millis("at").alias("millis"), "kind", "pages", "error")
+    each = events.groupBy("name").agg(F.array_sort(F.collect_list(what)).alias("events"))
+    rows = each.join(queue.select("name", F.struct(*_STATE).alias("old")), "name", "left")
+    none = {"attempts": F.lit(0), "version": F.lit(0)}
+    old = _entry(**{k: F.coalesce(F.col(f"old.{k}"), none.get(k, F.lit(None))) for k in _STATE})
+    rows = rows.select("name", old.alias("old"), F.aggregate("events", old, _after(limit, most)).alias("new"))
+    return rows.filter("new.version > old.version").select("name", "new.*")
+
+
+def _milliseconds(spark: SparkSession, interval: str) -> int:
+    return spark.range(1).select(F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}"))).head()[0]
+
+
 def run(events: DataFrame, root: str, checkpoint: str, limit: str, most: int, late: str = "0 seconds") -> None:
     """Fold what is new in the stream ``events`` into the queue at ``root``; ``limit``: how long a start may take, such as
     "30 minutes"."""
     spark = events.sparkSession
-    milliseconds = spark.range(1).select(F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {limit}"))).head()[0]
-    timed = events.filter("name IS NOT NULL AND at IS NOT NULL").withWatermark("at", late)
-    states = timed.groupBy("name").transformWithStateInPandas(Entry(milliseconds, most), ENTRY, "Update", "EventTime")
+    may_take, behind = _milliseconds(spark, limit), 1000 * _milliseconds(spark, late)
 
     def save(batch: DataFrame, number: int) -> None:
-        queue_table(spark, root).upsert(batch, order=["version"], token=f"{checkpoint}/{number}")
-
-    with _state_store(spark):
-        states.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        queue, clock, token = queue_table(spark, root), _clock(spark, root), f"{checkpoint}/{number}"
+        rows = written(batch.filter("name IS NOT NULL AND at IS NOT NULL"), "queue-events")
+        told = rows.agg(F.max(F.unix_micros("at")).alias("newest")).head().newest
+        if told is None:
+            return
+        before = clock.read().filter(F.col("stream") == checkpoint).head()
+        in_time = rows.filter(F.unix_micros("at") >= before.newest - behind) if before else rows
+        queue.upsert(folded(queue.read(), in_time, may_take, most), order=["version"], token=token)
+        newest = max(told, before.newest) if before else told
+        clock.upsert(spark.createDataFrame([(checkpoint, newest)], "stream string, newest long"), order=["newest"], token=token)
+        now = {k: F.col(k) for k in _STATE}
+        over = queue.read().filter((F.col("status") == "processing") & (F.col("due") < (newest - behind) // 1000))
+        over = over.select("name", _entry(**_stalled(now, most)).alias("new")).select("name", "new.*")
+        queue.upsert(over, order=["version"], token=f"{token}/due")
+
+    events.writeStream.outputMode("append").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def order_events(spark: SparkSession, sf: str) -> DataFrame:

@@ -151,3 +151,38 @@ def test_archives_are_as_many_as_needed(spark, tmp_path, monkeypatch, n):
     inputs.write_archives(rows, f"file://{tmp_path}/a")
     files = list((tmp_path / "a").glob("*.tar.bz2")) if n else []
     assert len(files) == (0 if not n else len({f.name for f in files})) and (n == 0 or len(files) > 2)
+
+
+def test_queue_entries_are_folded_without_python(spark):
+    """Every event's effect is an expression: 20,000 names in one batch, some of them in the queue already."""
+    from pyspark.sql import functions as F
+
+    seconds = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("seq") * 60)
+    kinds = F.array(*map(F.lit, ["start", "enqueue", "start", "fail", "retry", "complete"]))
+    events = spark.range(20_000).select(F.col("id").cast("string").alias("name"), F.posexplode(F.slice(kinds, 1, (F.col("id") % 7).cast("int"))).alias("seq", "kind"))
+    events = events.select("name", "kind", seconds.alias("at"), F.col("seq").cast("long").alias("seq"), F.lit(5).cast("long").alias("pages"), F.lit("bad").alias("error"))
+    queue = spark.createDataFrame([("1", "processing", None, None, 1, 1_699_999_999_000, 3), ("9", "pending", 4, None, 0, None, 1)], queue_stream.ENTRY)
+    out = queue_stream.folded(queue, events, 90_000, 2)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 20_000 - len(range(0, 20_000, 7))
+    of = {r.name: r[1:] for r in out.filter("CAST(name AS INT) < 14").collect()}
+    start, millis = "processing", 1_700_000_000_000
+    assert of["1"] == (start, None, None, 2, millis + 90_000, 5)  # what it had was due before
+    assert of["8"] == of["2"] == (start, None, None, 1, millis + 90_000, 1)
+    assert of["9"] == (start, 4, None, 1, millis + 90_000, 2)
+    assert of["3"] == (start, None, None, 2, millis + 210_000, 3)  # stalled before its second start
+    assert of["4"] == ("failed", None, "bad", 2, None, 4)
+    assert of["5"] == ("pending", None, "bad", 0, None, 5)
+    assert of["6"] == ("completed", 5, "bad", 0, None, 6)
+
+
+def test_late_events_are_left_out(spark, tmp_path):
+    """What lies further back than ``late`` from the newest event of earlier batches; a repeated run changes nothing."""
+    root = f"file://{tmp_path}"
+    at = lambda minutes: BASE + datetime.timedelta(minutes=minutes)
+    lots = [[("a", "enqueue", at(60))], [("b", "enqueue", at(49)), ("c", "enqueue", at(50)), ("d", "start", at(90))], [], [("e", "tick", at(130)), ("c", "start", at(125))]]
+    for lot in [*lots, []]:
+        if lot:
+            spark.createDataFrame([(*e, 0, None, None) for e in lot], queue_stream.EVENT).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        queue_stream.run(spark.readStream.schema(queue_stream.EVENT).parquet(f"{root}/in"), f"{root}/queue", f"{root}/check", "25 minutes", 2, "10 minutes")
+    got = {r.name: (r.status, r.attempts) for r in queue_stream.queue_table(spark, f"{root}/queue").read().collect()}
+    assert got == {"a": ("pending", 0), "c": ("processing", 1), "d": ("pending", 1)}
