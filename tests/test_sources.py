@@ -129,3 +129,13 @@ def test_layouts_are_read_in_slices_and_once(spark, monkeypatch):
     kept = df.select("i", layout.full_text("p.blocks").alias("t"), F.size(layout.flattened(F.col("p"))["words"]).alias("n")).filter("n > 0")
     assert kept.count() == 8
     assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_page_table_reads_layouts_once(spark):
+    """The filter on pages without text isn't pushed below the layout reader, which would read each layout twice."""
+    pages = spark.createDataFrame([("a", "sn1", "1901-02-03", 1, i, None, t, x) for i, (t, x) in enumerate([("told", None), (None, alto()), (" ", None), ("", "<broken")])], "archive string, lccn string, date string, edition int, sequence int, reel string, txt string, xml string").coalesce(1)
+    titles = spark.createDataFrame([("sn1", "Paper", "Omaha", "Nebraska")], "lccn string, name string, city string, state string")
+    assets = spark.createDataFrame([], "lccn string, date string, edition int, sequence int, image_url string, pdf_url string, reel_id string")
+    rows = etl.page_table(pages, titles, assets, "nbu_x_ver01", "https://v.test", "https://x.test")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r.sequence: r.words for r in rows.collect()} == {0: [], 1: [w[0] for w in WORDS]}
