@@ -379,26 +379,36 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _in_blocks(rows: DataFrame, size: int) -> DataFrame:
-    """``rows`` (key, doc, members, ...) once for each pair of blocks of their key that they belong to."""
-    blocks = F.ceil(F.col("members") / size).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    """``rows`` (key, doc, label, ...) once for each pair of blocks of their key that they belong to.
+
+    The component with most documents of a key has blocks of its own, which are not paired with each other: a large
+    group of copies that link is dealt once for each block of other documents, not for each block of itself.
+    """
+    counts = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = F.max_by(F.struct("label", "n"), F.struct("n", -F.col("label")))
+    sizes = counts.groupBy("key").agg(most.alias("most"), F.sum("n").alias("all"))
+    in_blocks = lambda n: F.ceil(n / size).cast("int")
+    sizes = sizes.select("key", F.col("most.label").alias("_most"), in_blocks(F.col("most.n")).alias("_own"), in_blocks(F.col("all") - F.col("most.n")).alias("_rest")).filter("_rest > 0")
+    at, h = rows.join(small(written(sizes, "dup-sizes")), "key"), F.xxhash64("doc")
+    own = F.col("label") == F.col("_most")
+    at = at.withColumn("block", F.when(own, F.col("_rest") + F.pmod(h, F.col("_own"))).otherwise(F.pmod(h, F.col("_rest"))).cast("int"))
+    blocks = F.when(own, F.col("_rest")).otherwise(F.col("_rest") + F.col("_own"))
     others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    rows = rows.withColumn("p", F.explode(others)).select(*rows.columns, "p.i", "p.j")
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    at = at.withColumn("p", F.explode(others)).select(*rows.columns, "block", "p.i", "p.j")
+    return at.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
 def _cross(docs: DataFrame, shared: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     """Links (a, b) between components within buckets, found block by block."""
     at = shared.filter("members > 2").join(small(labels), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    at = written(at.select("key", "doc", "band", "label", "members"), "dup-at")
+    at = written(at.select("key", "doc", "band", "label"), "dup-at")
     mixed_ = at.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
     open_ = at.join(small(mixed_), "key").join(reps.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc")
-    open_ = written(open_.select("key", "doc", "band", "label", "members", "n", "sketch"), "dup-open")
+    open_ = written(open_.select("key", "doc", "band", "label", "n", "sketch"), "dup-open")
     live = written(_in_blocks(open_, WIDE).mapInArrow(_by_block_pair(_block_live), "key long, doc long").distinct(), "dup-live")
     if live.isEmpty():
         return live.select(F.col("doc").alias("a"), F.col("doc").alias("b"))
-    members = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    rows = open_.drop("members").join(small(live), ["key", "doc"]).join(small(members), "key").join(_sets(docs, live.select("doc")), "doc")
+    rows = open_.join(small(live), ["key", "doc"]).join(_sets(docs, live.select("doc")), "doc")
     return written(_in_blocks(rows, BLOCK).mapInArrow(_by_block_pair(_block_links), "a long, b long"), "dup-cross")
 
 

@@ -809,3 +809,21 @@ def test_word_hashes(monkeypatch):
     assert (low[2] == hashing.word_hashes([b"one two one two"])[0]).all()
     monkeypatch.setattr(hashing, "PIECE", 64)
     assert all((x == y).all() for x, y in zip(whole, hashing.word_hashes(texts), strict=True))
+
+
+def test_a_large_component_is_dealt_once_for_each_block_of_others(spark):
+    """1,000 documents that link and 20 others in one bucket: rows grow with the bucket, and every pair of different components meets."""
+    from pagemill.llm import neardup
+
+    labels = [0] * 1000 + list(range(1000, 1020))
+    rows = spark.createDataFrame([(7, d, l) for d, l in enumerate(labels)] + [(8, d, d) for d in range(30)] + [(9, d, 5) for d in range(40)], "key long, doc long, label long")
+    dealt = neardup._in_blocks(rows, 16).toPandas()
+    assert (dealt.key == 7).sum() <= 1000 * 2 + 20 * (2 + 63)  # 64 blocks of 16 would make 65,000
+    assert not (dealt.key == 9).any()  # all of one component
+    for key, n in ((7, 1020), (8, 30)):
+        met = set()
+        for (i, j), g in dealt[dealt.key == key].groupby(["i", "j"]):
+            first, second = g[g.block == i].doc, g[g.block == j].doc
+            met |= {(min(a, b), max(a, b)) for a in first for b in second if a != b}
+        of = labels if key == 7 else list(range(30))
+        assert {(a, b) for a in range(n) for b in range(a + 1, n) if of[a] != of[b]} <= met
