@@ -139,3 +139,35 @@ def test_page_table_reads_layouts_once(spark):
     rows = etl.page_table(pages, titles, assets, "nbu_x_ver01", "https://v.test", "https://x.test")
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert {r.sequence: r.words for r in rows.collect()} == {0: [], 1: [w[0] for w in WORDS]}
+
+
+def test_layouts_are_read_after_all_shuffles_a_few_pages_at_a_time(spark, tmp_path, monkeypatch):
+    """Joins and dealing move XML, not what is read from it, and a task's batches hold few pages."""
+    import pyarrow as pa
+
+    words = "".join(f"<String CONTENT='w{i}'/>" for i in range(20))
+    xml = f"<a><TextBlock ID='b'><TextLine>{words}</TextLine></TextBlock></a>"
+    pages = spark.range(300).select(F.lit("a").alias("archive"), F.lit("sn1").alias("lccn"), F.lit("1901-02-03").alias("date"), F.lit(1).alias("edition"), F.col("id").cast("int").alias("sequence"), F.lit(None).cast("string").alias("reel"), F.lit("").alias("txt"), F.lit(xml).alias("xml"))
+    titles = spark.createDataFrame([("sn1", "Paper", "Omaha", "Nebraska")], "lccn string, name string, city string, state string")
+    assets = spark.range(0, 300, 3).select(F.lit("sn1").alias("lccn"), F.lit("1901-02-03").alias("date"), F.lit(1).alias("edition"), F.col("id").cast("int").alias("sequence"), F.lit("own").alias("image_url"), F.lit(None).cast("string").alias("pdf_url"), F.lit(None).cast("string").alias("reel_id"))
+
+    def told(xml):
+        arrow = layout.to_arrow_type(layout.DataType.fromDDL(layout.LAYOUT))
+
+        def run(batch: pa.Array) -> pa.Array:
+            return pa.array([{"engine": str(len(batch)), "blocks": []}] * len(batch), arrow)
+
+        return F.arrow_udf(run, layout.LAYOUT).asNondeterministic()(xml)
+
+    rows = etl.page_table(pages, titles, assets, "nbu_x_ver01", "https://v.test", "https://x.test")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("ArrowEvalPython")
+    assert "Join" not in above and "Repartition" not in above and "Join" in below and "Repartition" in below
+    etl.write_pages(rows, f"file://{tmp_path}/pages")
+    got = spark.read.parquet(f"file://{tmp_path}/pages")
+    assert got.filter("size(words) = 20").count() == 300 and got.filter("image_url = 'own'").count() == 100
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(layout, "layout", told)  # the batch's size as the engine
+    etl.write_pages(etl.page_table(pages.withColumn("txt", F.lit("x")), titles, assets, "nbu_x_ver01", "https://v.test", "https://x.test"), f"file://{tmp_path}/told")
+    most = spark.read.parquet(f"file://{tmp_path}/told").select(F.max(F.col("ocr_engine").cast("int"))).head()[0]
+    assert most == etl.PAGES_AT_A_TIME and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
