@@ -97,7 +97,9 @@ def batch_info(names: DataFrame, given: DataFrame, catalog: DataFrame, remote: D
 def hashed_terms(text: Column, size: int = 16) -> Column:
     """An embedding without a model: counts of the terms by their first character. Blank texts give zeros."""
     first = F.transform(tx.terms(text), lambda t: F.ascii(t) % size)
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda b: F.size(F.filter(first, lambda x: x == b)).cast("double"))
+    counts = lambda first: F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda b: F.size(F.filter(first, lambda x: x == b)).cast("double"))
+    # As a variable of a function the terms are found once, not once for each place.
+    return F.transform(F.array(first), counts)[0]
 
 
 def embedded(df: DataFrame, embedder: Callable[[Column], Column] = hashed_terms) -> DataFrame:

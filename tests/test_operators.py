@@ -177,3 +177,13 @@ def test_slop_is_shared_by_the_gaps(spark):
 def test_bm25_takes_words_as_they_are(spark):
     docs = spark.createDataFrame([("n", 1, "many things"), ("n", 2, "a thing"), ("n", 3, "none")], "ns string, id long, text string")
     assert {r.id for r in search.bm25(docs, "ns", "id", {"things": 1.0}).collect()} == {1, 2}
+
+
+def test_embedder_finds_terms_once(spark):
+    """The terms stand outside of the function over places (a Python function can't stand inside it), and are right."""
+    from pagemill.operators import records
+
+    once = F.udf(lambda t: t, "string")
+    df = spark.createDataFrame([(1, "Aa b q, a"), (2, "  "), (3, None)], "i int, text string").withColumn("text", once("text"))
+    got = {r.i: r.embedding for r in records.embedded(df, lambda t: records.hashed_terms(once(t), 8)).collect()}
+    assert got == {1: [0.0, 3.0, 1.0] + [0.0] * 5, 2: [0.0] * 8, 3: [0.0] * 8}
