@@ -1,9 +1,9 @@
 """Terms of an index by likeness: near spellings, prefixes and patterns, without going over all terms.
 
-Near spellings: two terms of edit distance d or less have a form in common when up to d letters are taken out of the
-first HEAD letters of each (of an alignment's letters that stand in both heads, at most d are lost on either side).  So
-every term is filed under all forms of its head with up to DISTANCE letters out, 1 + HEAD + HEAD (HEAD - 1) / 2 at most
-whatever its length; a query's forms fetch its candidates, and the edit distance decides.
+Near spellings: a term is parted in two halves.  Of two edits at most one falls to one of them, and two stretches of
+edit distance 1 have a form in common when up to one letter is taken out of the first HEAD letters of each.  So every
+term is filed under its length and all forms of its halves, about two more than it has letters; a query's forms, at all
+lengths within reach, fetch its candidates, and the edit distance decides.  For one edit a half must stand as it is.
 
 Prefixes and patterns: every term, with marks at its begin and end, is filed under its three-letter grams.  A pattern's
 literal stretches give grams that its terms must hold; the rarest of them fetches candidates, and the pattern decides.
@@ -28,6 +28,8 @@ from pagemill.scratch import written
 
 HEAD, DISTANCE, GRAM = 10, 2, 3
 FOLDERS = 8
+#: Rows that one task sorts and writes, about.
+TASK_ROWS = 1_000_000
 BEGIN, END = "^", "$"
 
 
@@ -46,6 +48,32 @@ def forms(word: Column, distance: int = DISTANCE) -> Column:
     return F.array_distinct(out)
 
 
+def _sided(n: Column, side: str, found: Column) -> Column:
+    return F.transform(found, lambda f: F.concat(n.cast("string"), F.lit(side), f))
+
+
+def filed_forms(term: Column) -> Column:
+    """What ``term`` is filed under: its length, the half, and the half's forms with up to one letter out."""
+    n = F.length(term)
+    half = F.floor(n / 2).cast("int")
+    return F.concat(_sided(n, BEGIN, forms(F.left(term, half), 1)), _sided(n, END, forms(F.right(term, n - half), 1)))
+
+
+def asked_forms(q: Column, most: Column) -> Column:
+    """All that a term within ``most`` (1 or 2) edits of ``q`` may be filed under."""
+    size, shift = F.length(q), most - 1
+
+    def halves(side: str, part, n: Column, own: Column) -> Column:
+        parts = F.transform(F.filter(F.sequence(own - shift, own + shift), lambda k: (k >= 0) & (k <= size)), lambda k: part(q, k))
+        return F.flatten(F.transform(parts, lambda p: _sided(n, side, F.when(most < 2, F.array(F.left(p, F.lit(HEAD)))).otherwise(forms(p, 1)))))
+
+    def of_length(n: Column) -> Column:
+        half = F.floor(n / 2).cast("int")
+        return F.concat(halves(BEGIN, F.left, n, half), halves(END, F.right, n, n - half))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.greatest(F.lit(1), size - most), size + most), of_length)))
+
+
 def grams(word: Column) -> Column:
     marked = F.concat(F.lit(BEGIN), word, F.lit(END))
     n = F.length(marked) - (GRAM - 1)
@@ -92,8 +120,10 @@ class Vocabulary:
     def _folder(self, c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(self.folders)).cast("int")
 
-    def _filed(self, rows: DataFrame, key: str, path: str) -> None:
-        dealt = rows.withColumn("folder", self._folder(F.col(key))).repartition("folder", F.pmod(F.xxhash64(key, "term"), F.lit(4)))
+    def _filed(self, rows: DataFrame, key: str, path: str, n: int) -> None:
+        """Write about ``n`` rows in folders by their key, a folder by so many tasks as its rows need."""
+        pieces = max(4, -(-n // (self.folders * TASK_ROWS)))
+        dealt = rows.withColumn("folder", self._folder(F.col(key))).repartition("folder", F.pmod(F.xxhash64(key, "term"), F.lit(pieces)))
         dealt.sortWithinPartitions("folder", key, "term").write.partitionBy("folder").parquet(path)
 
     def add(self, terms: DataFrame, instead: bool = False) -> None:
@@ -103,11 +133,12 @@ class Vocabulary:
             new = new.join(self.terms(), "term", "left_anti")
         part = self.versions.fresh()
         new = written(new, "terms")
-        if new.isEmpty():
+        n = new.count()
+        if not n:
             return
-        self._filed(new, "term", self._path("terms")(part))
-        self._filed(new.select("term", F.explode(forms(F.col("term"))).alias("form")), "form", self._path("forms")(part))
-        self._filed(new.select("term", F.explode(grams(F.col("term"))).alias("gram")), "gram", self._path("grams")(part))
+        self._filed(new, "term", self._path("terms")(part), n)
+        self._filed(new.select("term", F.explode(filed_forms(F.col("term"))).alias("form")), "form", self._path("forms")(part), 10 * n)
+        self._filed(new.select("term", F.explode(grams(F.col("term"))).alias("gram")), "gram", self._path("grams")(part), 8 * n)
         self.versions.publish([(p,) for p in ([] if instead else self._parts())] + [(part,)])
 
     def merge(self) -> None:
@@ -123,7 +154,7 @@ class Vocabulary:
     def near(self, queries: DataFrame) -> DataFrame:
         """q, term, distance: for each q (q, most: 1 or 2) the terms within that edit distance."""
         wanted = queries.select("q", F.least("most", F.lit(DISTANCE)).alias("most")).filter("q <> ''").distinct()
-        asked = wanted.select("q", "most", F.explode(F.when(F.col("most") < 2, forms(F.col("q"), 1)).otherwise(forms(F.col("q")))).alias("form")).withColumn("folder", self._folder(F.col("form")))
+        asked = wanted.select("q", "most", F.explode(asked_forms(F.col("q"), F.col("most"))).alias("form")).withColumn("folder", self._folder(F.col("form")))
         pairs = self._table("forms", "form").join(asked, ["folder", "form"]).select("q", "most", "term").distinct()
         return pairs.select("q", "term", "most", F.levenshtein("q", "term", DISTANCE).alias("distance")).filter("distance >= 0 AND distance <= most").drop("most")
 

@@ -184,3 +184,15 @@ def test_patterns(spark, tmp_path):
 def test_forms(spark):
     got = set(spark.range(1).select(vocabulary.forms(F.lit("abc"))).head()[0])
     assert got == {"abc", "ab", "ac", "bc", "a", "b", "c"}
+
+
+def test_terms_are_filed_under_few_forms(spark):
+    """A term of ten letters was filed under 56 forms; every pair within reach still meets in one."""
+    rng = random.Random(5)
+    terms = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 14))) for _ in range(150)} | {"a", "ab", "z" * 30, "z" * 31 + "y", "y" + "z" * 30})
+    t = spark.createDataFrame([(x,) for x in terms], "term string")
+    filed = {r.term: r.f for r in t.select("term", vocabulary.filed_forms(F.col("term")).alias("f")).collect()}
+    assert all(len(f) == len(set(f)) <= len(x) + 4 for x, f in filed.items())
+    asked = {(r.term, r.m): set(r.f) for r in t.crossJoin(spark.range(1, 3).select(F.col("id").cast("int").alias("m"))).select("term", "m", vocabulary.asked_forms(F.col("term"), F.col("m")).alias("f")).collect()}
+    met = {(q, m, x) for (q, m), f in asked.items() for x in terms if not f.isdisjoint(filed[x])}
+    assert {(q, m, x) for q in terms for x in terms for m in (1, 2) if distance(q, x) <= m} <= met
