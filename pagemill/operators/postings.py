@@ -7,8 +7,10 @@ block can give follows, whatever the namespace's figures are by then.  Blocks li
 terms) and a hash of their term; merged segments are sorted by it.  Queries read the folders, and of merged segments the
 row groups, of their terms.
 
-Cells are made of the documents that a task holds together, so a batch is written without a shuffle.  Only ``merge``
-shuffles blocks; a frequent term has many, dealt over tasks by their cells.
+Cells are made of the documents that a task holds together, so a batch is written without a shuffle: a data source takes
+the documents, and each task writes its blocks as Parquet by Arrow's file systems (local, s3, gs, hdfs), under names that
+readers pass over until the job's commit renames them.  Only ``merge`` shuffles blocks; a frequent term has many, dealt
+over tasks by their cells.
 
 Top-k search passes over cells: figures of the blocks alone bound every cell's scores; the k cells with the greatest
 bounds hold k documents, whose k-th best score no other cell's bound must stay below.  The rest of the postings is not
@@ -23,15 +25,20 @@ an empty index finds nothing; a term that no document holds adds nothing; ties g
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.window import Window as W
 
 from pagemill.functions.text import stem_of
@@ -39,10 +46,11 @@ from pagemill.operators.ranking import top_per_group
 from pagemill.operators.search import K1, B
 from pagemill.operators.versions import Versions
 from pagemill.scratch import written
+from pagemill.sources.archives import store_of
 
 #: Documents of a cell, and words of documents that a task holds together.
 CELL, HELD_WORDS = 256, 1 << 20
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+SOURCE = "postings_segment"
 #: Folders of blocks.
 FOLDERS = 8
 STEM, TERM, CELLS = "stem", "term", "cells"
@@ -51,13 +59,13 @@ _ROW = f"{_BLOCK}, keys array<long>"
 _FIGURES = "ns string, docs long, words long"
 
 
-_NAMES = ["field", "ns", "cell", "term", "n_docs", "max_tf", "min_n", "docs", "tfs", "positions", "keys"]
-_KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())]
+_LISTS = pa.list_(pa.int32())
+_STORED = pa.schema([("ns", pa.string()), ("cell", pa.int64()), ("term", pa.string()), ("n_docs", pa.int32()), ("max_tf", pa.int32()), ("min_n", pa.int32()), ("docs", _LISTS), ("tfs", _LISTS), ("positions", pa.list_(_LISTS)), ("keys", pa.list_(pa.int64())), ("h", pa.int64())])
 #: What isn't part of a term, as a space (terms are ASCII, so bytes tell).
 _TERM_BYTES = bytes(b if chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for b in range(256))
 
 
-def _blocks(field: str, ns: str, cell: int, dictionary: pa.Array, codes: np.ndarray, lens: np.ndarray) -> pa.RecordBatch:
+def _blocks(field: str, ns: str, cell: int, dictionary: pa.Array, hashes: np.ndarray, codes: np.ndarray, lens: np.ndarray) -> pa.RecordBatch:
     """The blocks of one cell: ``codes`` are its documents' words, one document after the other."""
     doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
     place = (np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
@@ -68,23 +76,24 @@ def _blocks(field: str, ns: str, cell: int, dictionary: pa.Array, codes: np.ndar
     term = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
     ends, n = pa.array(np.append(term, len(of)).astype(np.int32)), len(term)
     lists_of = lambda values: pa.ListArray.from_arrays(ends, values)
-    positions = lists_of(pa.ListArray.from_arrays(pa.array(np.append(posting, len(codes)).astype(np.int32)), pa.array(place))) if field == TERM else pa.nulls(n, _KINDS[9])
+    positions = lists_of(pa.ListArray.from_arrays(pa.array(np.append(posting, len(codes)).astype(np.int32)), pa.array(place))) if field == TERM else pa.nulls(n, pa.list_(_LISTS))
     sizes = pa.array(np.diff(np.append(term, len(of))).astype(np.int32))
-    columns = [pa.array([field] * n), pa.array([ns] * n), pa.array(np.full(n, cell)), pc.take(dictionary, pa.array(of[term])), sizes, pa.array(np.maximum.reduceat(tfs, term)), pa.array(np.minimum.reduceat(lens[docs], term).astype(np.int32))]
-    return pa.RecordBatch.from_arrays([*columns, lists_of(pa.array(docs)), lists_of(pa.array(tfs)), positions, pa.nulls(n, _KINDS[10])], names=_NAMES)
+    columns = [pa.repeat(pa.scalar(ns, pa.string()), n), pa.array(np.full(n, cell, dtype=np.int64)), pc.take(dictionary, pa.array(of[term])), sizes, pa.array(np.maximum.reduceat(tfs, term)), pa.array(np.minimum.reduceat(lens[docs], term).astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, lists_of(pa.array(docs)), lists_of(pa.array(tfs)), positions, pa.nulls(n, pa.list_(pa.int64())), pa.array(hashes[of[term]])], schema=_STORED)
 
 
-def _cells(held: list[tuple[str, int, list[bytes]]], size: int) -> Iterator[pa.RecordBatch]:
-    """Blocks and cell rows of documents (ns, key, words)."""
+def _cells(held: list[tuple[str, int, list[bytes]]], size: int) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """Blocks, by field, and cell rows of documents (ns, key, words)."""
     held.sort(key=lambda d: (d[0], len(d[2]), d[1]))
     lens = np.array([len(words) for _, _, words in held], dtype=np.int64)
     ends = np.concatenate(([0], np.cumsum(lens)))
     words = pc.dictionary_encode(pa.array([w for _, _, ws in held for w in ws], pa.binary()))
     told = pc.cast(words.dictionary, pa.string())
-    # Words are stemmed once each.
+    # Words are stemmed and hashed once each.
     stems = pc.dictionary_encode(pa.array([stem_of(w) for w in told.to_pylist()], pa.string()))
+    hashed = lambda terms: np.array([zlib.crc32(t.encode()) for t in terms.to_pylist()], dtype=np.int64)
     codes = words.indices.to_numpy()
-    fields = {TERM: (told, codes), STEM: (stems.dictionary, stems.indices.to_numpy()[codes] if len(codes) else codes)}
+    fields = {TERM: (told, hashed(told), codes), STEM: (stems.dictionary, hashed(stems.dictionary), stems.indices.to_numpy()[codes] if len(codes) else codes)}
     begin = 0
     while begin < len(held):
         ns, end = held[begin][0], begin + 1
@@ -92,28 +101,88 @@ def _cells(held: list[tuple[str, int, list[bytes]]], size: int) -> Iterator[pa.R
             end += 1
         keys = [key for _, key, _ in held[begin:end]]
         if ends[end] > ends[begin]:
-            for field, (dictionary, all_) in fields.items():
-                yield _blocks(field, ns, min(keys), dictionary, all_[ends[begin] : ends[end]], lens[begin:end])
-        row = [CELLS, ns, min(keys), None, len(keys), None, None, lens[begin:end].tolist(), None, None, keys]
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _KINDS, strict=True)], names=_NAMES)
+            for field, (dictionary, hashes, all_) in fields.items():
+                yield field, _blocks(field, ns, min(keys), dictionary, hashes, all_[ends[begin] : ends[end]], lens[begin:end])
+        row = [ns, min(keys), None, len(keys), None, None, lens[begin:end].tolist(), None, None, keys, None]
+        yield CELLS, pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _STORED.types, strict=True)], schema=_STORED)
         begin = end
 
 
-def _in_cells(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            for ns, key, low in zip(batch.column("ns").to_pylist(), batch.column("key").to_pylist(), batch.column("low"), strict=True):
-                words = low.as_buffer().to_pybytes().translate(_TERM_BYTES).split()
-                held.append((ns, key, words))
-                n += len(words)
-                if n >= HELD_WORDS:
-                    yield from _cells(held, size)
-                    held, n = [], 0
-        if held:
-            yield from _cells(held, size)
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, int, list[bytes]]]]:
+    """Documents that a task holds together: ns, key, words."""
+    held, n = [], 0
+    for batch in batches:
+        for ns, key, low in zip(batch.column("ns").to_pylist(), batch.column("key").to_pylist(), batch.column("low"), strict=True):
+            words = low.as_buffer().to_pybytes().translate(_TERM_BYTES).split()
+            held.append((ns, key, words))
+            n += len(words)
+            if n >= HELD_WORDS:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
+
+
+def _in_folders(found: Iterator[tuple[str, pa.RecordBatch]], folders: int) -> Iterator[tuple[int, pa.Table]]:
+    """Rows by the folder that their field and their term's hash tell."""
+    parts: dict[str, list[pa.RecordBatch]] = {TERM: [], STEM: [], CELLS: []}
+    for field, rows in found:
+        parts[field].append(rows)
+    for field, first in ((STEM, 0), (TERM, folders)):
+        if parts[field]:
+            rows = pa.Table.from_batches(parts.pop(field)).combine_chunks()
+            own = rows.column("h").to_numpy() % folders
+            for f in range(folders):
+                some = np.flatnonzero(own == f)
+                if len(some):
+                    yield first + f, rows.take(pa.array(some))
+    yield 2 * folders, pa.Table.from_batches(parts[CELLS])
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    names: list[str]
+
+
+class SegmentWriter(DataSourceArrowWriter):
+    def __init__(self, options):
+        self.path, self.folders, self.cell = options["path"], int(options["folders"]), int(options["cell"])
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        (system, root), own = store_of(self.path), uuid.uuid4().hex
+        files: dict[int, pq.ParquetWriter] = {}
+        try:
+            for held in _held(iterator):
+                for folder, rows in _in_folders(_cells(held, self.cell), self.folders):
+                    if folder not in files:
+                        system.create_dir(f"{root}/folder={folder}", recursive=True)
+                        files[folder] = pq.ParquetWriter(f"{root}/folder={folder}/_{own}.parquet", _STORED, filesystem=system, compression="zstd")
+                    files[folder].write_table(rows)
+        finally:
+            for file in files.values():
+                file.close()
+        return Written([f"folder={folder}/_{own}.parquet" for folder in files])
+
+    def commit(self, messages: list[Written | None]) -> None:
+        system, root = store_of(self.path)
+        system.create_dir(root, recursive=True)
+        for name in (n for m in messages if m for n in m.names):
+            system.move(f"{root}/{name}", f"{root}/{name.replace('/_', '/')}")
+
+    def abort(self, messages: list[Written | None]) -> None:
+        """What a failed job wrote stays unread: no version names its segment, and its files' names are passed over."""
+
+
+class SegmentSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return SOURCE
 
-    return run
+    def schema(self) -> str:
+        return "ns string, key long, low string"
+
+    def writer(self, schema, overwrite: bool) -> SegmentWriter:
+        return SegmentWriter(self.options)
 
 
 class Index:
@@ -131,23 +200,19 @@ class Index:
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         """With ``h``, the term's hash, and the folder, which the field and the hash tell."""
-        rows = rows.withColumn("h", F.xxhash64("term"))
+        rows = rows.withColumn("h", F.crc32(F.col("term").cast("binary")))
         own = F.pmod("h", F.lit(self.folders))
-        return rows.withColumn("folder", F.when(F.col("field") == STEM, own).when(F.col("field") == TERM, own + self.folders).otherwise(2 * self.folders).cast("int")).drop("field")
+        return rows.withColumn("folder", F.when(F.col("field") == STEM, own).otherwise(own + self.folders).cast("int")).drop("field")
 
     # Writing
 
     def add(self, docs: DataFrame) -> None:
         """Add a segment of ``docs``: ns, key, text.  Each task writes its own blocks, without a shuffle or a sort."""
         texts = docs.select(F.col("ns").cast("string").alias("ns"), F.col("key").cast("long").alias("key"), F.lower(F.coalesce("text", F.lit(""))).alias("low")).filter("ns IS NOT NULL AND key IS NOT NULL")
-        rows = self._placed(texts.mapInArrow(_in_cells(self.cell), f"field string, {_ROW}"))
-        # Wide rows would be spilled if they were sorted by folder: a writer for each is open instead.
-        before = self.spark.conf.get(_WRITERS)
-        self.spark.conf.set(_WRITERS, str(4 * self.folders + 8))  # well above the folders: at the limit Spark sorts
-        try:
-            self._write(rows, [])
-        finally:
-            self.spark.conf.set(_WRITERS, before)
+        self.spark.dataSource.register(SegmentSource)
+        segment = self.versions.fresh()
+        texts.write.format(SOURCE).mode("append").options(path=self._path("blocks")(segment), folders=self.folders, cell=self.cell).save()
+        self._publish(segment, [])
 
     def merge(self) -> None:
         """One segment of all: the same blocks, sorted anew, in fewer files."""
@@ -155,11 +220,11 @@ class Index:
         if len(segments) > 1:
             # A frequent term's blocks are dealt by their cells; a folder gets a file from each task that has blocks of it.
             dealt = self._rows().repartition("folder", F.pmod(F.xxhash64("cell"), F.lit(4)))
-            self._write(dealt.sortWithinPartitions("folder", "h"), segments)
+            segment = self.versions.fresh()
+            dealt.sortWithinPartitions("folder", "h").write.option("compression", "zstd").partitionBy("folder").parquet(self._path("blocks")(segment))
+            self._publish(segment, segments)
 
-    def _write(self, rows: DataFrame, instead_of: list[str]) -> None:
-        segment = self.versions.fresh()
-        rows.write.option("compression", "zstd").partitionBy("folder").parquet(self._path("blocks")(segment))
+    def _publish(self, segment: str, instead_of: list[str]) -> None:
         cells = self._cells([segment])
         figures = cells.groupBy("ns").agg(F.sum(F.size("keys")).alias("docs"), F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, n: a + n)).alias("words"))
         figures.write.parquet(self._path("figures")(segment))

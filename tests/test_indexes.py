@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import stem_of
-from pagemill.operators import vocabulary
+from pagemill.operators import postings, vocabulary
 from pagemill.operators.postings import Index
 from pagemill.operators.vocabulary import Vocabulary
 
@@ -196,3 +196,21 @@ def test_terms_are_filed_under_few_forms(spark):
     asked = {(r.term, r.m): set(r.f) for r in t.crossJoin(spark.range(1, 3).select(F.col("id").cast("int").alias("m"))).select("term", "m", vocabulary.asked_forms(F.col("term"), F.col("m")).alias("f")).collect()}
     met = {(q, m, x) for (q, m), f in asked.items() for x in terms if not f.isdisjoint(filed[x])}
     assert {(q, m, x) for q in terms for x in terms for m in (1, 2) if distance(q, x) <= m} <= met
+
+
+def test_blocks_count_only_once_their_job_has_ended(spark, tmp_path):
+    """Tasks write their blocks themselves; what an attempt wrote is passed over until the commit names it."""
+    import pyarrow as pa
+
+    docs = rows(80, 6)
+    batch = pa.RecordBatch.from_pydict({"ns": [r[0] for r in docs], "key": [r[1] for r in docs], "low": [(r[2] or "").lower() for r in docs]})
+    writer = postings.SegmentWriter({"path": f"file://{tmp_path}/segment", "folders": "3", "cell": "16"})
+    lost, kept = writer.write(iter([batch])), writer.write(iter([batch]))
+    read = lambda: spark.read.schema("ns string, term string, n_docs int, keys array<long>, h long, folder int").parquet(f"file://{tmp_path}/segment")
+    assert len(lost.names) == len(kept.names) == 7 and read().count() == 0
+    writer.commit([kept, None])
+    assert sorted(k for r in read().filter("folder = 6").collect() for k in r.keys) == sorted(r[1] for r in docs)
+    wanted = {(w, stem) for r in docs for w in words_of(r[2]) for stem in (False, True)}
+    found = read().filter("folder < 6").collect()
+    assert {(r.term, False) for r in found if r.folder >= 3} == {x for x in wanted if not x[1]} and {r.term for r in found if r.folder < 3} == {stem_of(w) for w, _ in wanted}
+    assert read().filter("folder < 6 AND (h <> crc32(CAST(term AS BINARY)) OR folder % 3 <> h % 3)").count() == 0
