@@ -25,11 +25,8 @@ from pyspark.sql.types import StructType
 from pagemill.operators.patching import settled
 from pagemill.operators.ranking import last_by
 from pagemill.operators.versions import Versions
-from pagemill.scratch import written
 
 BUCKETS = 16
-#: Rows of a bucket that one task writes, about.
-TASK_ROWS = 1_000_000
 BASE, DELTA, TOKEN = "base", "delta", "token"
 _OWN = ("_deleted", "_seq", "_bucket")
 
@@ -51,13 +48,12 @@ class MergeTable:
     def _store(self, rows: DataFrame) -> tuple[str, list[int]]:
         """Write a part; its name, and the buckets that it has rows of."""
         part = self.versions.fresh()
-        rows = written(rows.withColumn("_bucket", self._bucket()), "part")
-        sizes = {r["_bucket"]: r["count"] for r in rows.groupBy("_bucket").count().collect()}  # a row for each bucket at most
-        if sizes:
-            tasks = F.element_at(F.create_map(*(F.lit(x) for b, n in sizes.items() for x in (b, -(-n // TASK_ROWS)))), F.col("_bucket"))
-            dealt = rows.withColumn("_task", F.pmod(F.xxhash64(*self.keys, F.lit(1)), tasks)).repartition("_bucket", "_task").drop("_task")
-            dealt.sortWithinPartitions("_bucket", *self.keys).write.partitionBy("_bucket").parquet(self._path(part))
-        return part, sorted(sizes)
+        # Spark deals the rows by bucket, and a large bucket to several tasks by its size: written once, without a count.
+        dealt = rows.withColumn("_bucket", self._bucket()).hint("rebalance", "_bucket")
+        dealt.sortWithinPartitions("_bucket", *self.keys).write.partitionBy("_bucket").parquet(self._path(part))
+        path, files = self.versions.files(f"parts/{part}")
+        names = [f.getPath().getName() for f in files.listStatus(path)]  # a folder for each bucket at most
+        return part, sorted(int(n.removeprefix("_bucket=")) for n in names if n.startswith("_bucket="))
 
     def _path(self, part: str) -> str:
         return f"{self.root}/parts/{part}"

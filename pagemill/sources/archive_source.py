@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from pagemill.operators.merging import MergeTable
+from pagemill.operators.versions import small
 from pagemill.sources import archives
 
 NAME, SCHEMA = "page_archives", "archive string, member string, content string, problem string"
@@ -108,9 +109,10 @@ class ArchiveSource(DataSource):
         return _StreamReader(self.options["path"])
 
 
-def whole(rows: DataFrame) -> DataFrame:
-    """archive, member, content of the archives that could be read to their end."""
-    return rows.filter("member IS NOT NULL").join(quarantined(rows).select("archive"), "archive", "left_anti").select("archive", "member", "content")
+def whole(rows: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """archive, member, content of the archives that could be read to their end; ``bad``: the others, if they are known."""
+    bad = quarantined(rows).select("archive") if bad is None else bad
+    return rows.filter("member IS NOT NULL").join(bad, "archive", "left_anti").select("archive", "member", "content")
 
 
 def quarantined(rows: DataFrame) -> DataFrame:
@@ -127,7 +129,10 @@ def run(spark: SparkSession, folder: str, root: str) -> None:
 
     def save(batch: DataFrame, number: int) -> None:
         rows = batch.persist()
-        page_store(spark, root).upsert(archives.archive_pages(whole(rows)), order=["txt", "xml"], token=f"pages-{number}")
+        bad = small(quarantined(rows).select("archive"))  # few names, so that contents aren't shuffled by archive
+        # Archives are read by a task each; as many tasks would cut a shuffle into too many pieces.
+        pages = whole(rows.coalesce(4 * spark.sparkContext.defaultParallelism), bad)
+        page_store(spark, root).upsert(archives.archive_pages(pages), order=["txt", "xml"], token=f"pages-{number}")
         quarantine(spark, root).upsert(quarantined(rows), order=["problem"], token=f"bad-{number}")
         rows.unpersist()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import random
 
 import pytest
@@ -80,3 +81,19 @@ def test_a_write_that_is_not_published_is_not_there(spark, tmp_path, monkeypatch
     with pytest.raises(ZeroDivisionError):
         t.upsert(spark.createDataFrame([(1, "b", 2)], SCHEMA))
     assert state(MergeTable(spark, f"file://{tmp_path}/t", SCHEMA, ["k"], 2).read()) == {1: ("a", 1)}
+
+
+def test_a_write_is_written_once_and_large_buckets_by_several_tasks(spark, tmp_path):
+    from pagemill.scratch import scratch_root
+
+    root = scratch_root(spark).removeprefix("file://")
+    beside = lambda: set(glob.glob(f"{root}/*/part-*"))
+    t, before, size = MergeTable(spark, f"file://{tmp_path}/t", SCHEMA, ["k"], 2), beside(), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "32k")
+    try:
+        t.upsert(spark.range(0, 40_000, 1, 8).selectExpr("id AS k", "uuid() AS v", "1 AS n"), order=["n"])
+    finally:
+        spark.conf.unset(size)
+    assert beside() == before and t.read().count() == 40_000
+    assert all(len(list(tmp_path.glob(f"t/parts/*/_bucket={b}/*.parquet"))) > 2 for b in (0, 1))
+    assert t.upsert(spark.createDataFrame([], SCHEMA)) == 2 and [r.live for r in t.versions.parts()] == [[0, 1]]

@@ -153,6 +153,36 @@ def test_archives_are_as_many_as_needed(spark, tmp_path, monkeypatch, n):
     assert len(files) == (0 if not n else len({f.name for f in files})) and (n == 0 or len(files) > 2)
 
 
+def test_archives_are_packed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Small as the rows are, they aren't put together into a task or two: packing takes long for its size."""
+    seen = []
+    monkeypatch.setattr(inputs, "ARCHIVE_PAGES", 1)
+    monkeypatch.setattr(inputs, "written", lambda df, name: seen.append(df.rdd.getNumPartitions()))
+    rows = spark.range(64).selectExpr("id % 8 AS k", "concat('f', id) AS folder", "concat('f', id, '/ocr.txt') AS member", "'x' AS content")
+    inputs.write_archives(rows, f"file://{tmp_path}/a")
+    assert seen == [64]
+
+
+def test_contents_of_archives_are_shuffled_once(spark):
+    """From members to settled pages: one shuffle, one sort, and a member's name is split once; same pages as by hand."""
+    from pyspark.sql import functions as F
+
+    from pagemill.operators.patching import settled
+    from pagemill.sources import archives
+
+    name = F.concat(F.lit("sn1/00175032496/1900/01/0"), (F.col("id") % 9 + 1).cast("string"), F.lit("/ed-"), F.floor(F.col("id") / 2).cast("string"), F.lit("/seq-1/ocr."), F.when(F.col("id") % 2 == 0, "txt").otherwise("xml"))
+    rows = spark.range(400).select(F.concat(F.lit("a"), (F.col("id") % 7).cast("string")).alias("archive"), name.alias("member"), F.col("id").cast("string").alias("content"), F.when(F.col("id") == 8, "cut").alias("problem"))
+    pages = archives.archive_pages(archive_source.whole(rows, F.broadcast(archive_source.quarantined(rows).select("archive"))))
+    keys = ["lccn", "date", "edition", "sequence"]
+    out = settled(pages, keys, ["archive", "reel", "txt", "xml"], ["txt", "xml"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(lccn") == 1 and plan.count("Sort [") == 1 and plan.count("split(") == 1
+    want = {}
+    for i in (i for i in range(400) if i % 7 != 1):
+        want.setdefault((f"1900-01-0{i % 9 + 1}", i // 2), []).append(str(i))
+    assert {(r.date, r.edition): [t for t in (r.txt, r.xml) if t] for r in out.collect()} == want
+
+
 def test_queue_entries_are_folded_without_python(spark):
     """Every event's effect is an expression: 20,000 names in one batch, some of them in the queue already."""
     from pyspark.sql import functions as F
